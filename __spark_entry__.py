@@ -37,6 +37,7 @@ from aval.operators.models import importances, top_importances  # noqa: E402
 from aval.plans import pipeline as pl  # noqa: E402
 from aval.plans import report as rp  # noqa: E402
 from aval.plans.scoring import Scorer, document_clients  # noqa: E402
+from aval.session import materialise  # noqa: E402
 from aval.sources import derived as dv  # noqa: E402
 from aval.sources.applicants import (  # noqa: E402
     APPLICANT_SCHEMA,
@@ -73,9 +74,14 @@ def _all_rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def _clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled per-client rows; queries that read them several times write them once."""
     return pl.client_rows(*dv.raw_sources(spark, sf_dir))
 
 
+def _stored_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(_clients(spark, sf_dir), "clients")
+
+
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.combined_table(*dv.raw_sources(spark, sf_dir))
 
@@ -231,7 +237,9 @@ def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _client_values(df: DataFrame) -> DataFrame:
-    return _rounded(df, {c.TOTAL_AMOUNT: 2, c.BALANCE: 4})
+    """Totals to the cent; averages to the unit, because averages of few decimals fall on exact
+    rounding ties, where the order of summation would show."""
+    return _rounded(df, {c.TOTAL_AMOUNT: 2, c.BALANCE: 0})
 
 
 @_query("aggregate_by_client")
@@ -269,7 +277,7 @@ def housing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("correlation_matrix")
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _all_rounded(ag.correlation_matrix(_clients(spark, sf_dir)))
+    return _all_rounded(ag.correlation_matrix(_stored_clients(spark, sf_dir)))
 
 
 @_query("correlation_lineitem")
@@ -280,29 +288,29 @@ def correlation_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("correlation_target")
 def correlation_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _all_rounded(ag.correlation_with_target(_clients(spark, sf_dir)))
+    return _all_rounded(ag.correlation_with_target(_stored_clients(spark, sf_dir)))
 
 
 @_query("correlation_top3")
 def correlation_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = ag.top_correlations(ag.correlation_with_target(_clients(spark, sf_dir)))
+    top = ag.top_correlations(ag.correlation_with_target(_stored_clients(spark, sf_dir)))
     return _all_rounded(top.select("variable", "r"))
 
 
 @_query("correlation_extremes")
 def correlation_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _all_rounded(ag.correlation_extremes(ag.correlation_with_target(_clients(spark, sf_dir))))
+    return _all_rounded(ag.correlation_extremes(ag.correlation_with_target(_stored_clients(spark, sf_dir))))
 
 
 # --- Preparation ---------------------------------------------------------------------------
 
 
 def _split_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sp.stratified_split(_clients(spark, sf_dir))
+    return sp.stratified_split(_stored_clients(spark, sf_dir))
 
 
 def _split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sp.stratified_split(dv.labelled_documents(spark, sf_dir))
+    return sp.stratified_split(materialise(dv.labelled_documents(spark, sf_dir), "documents"))
 
 
 @_query("stratified_split")
@@ -317,17 +325,18 @@ def stratified_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("kfold_assign")
 def kfold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sp.assign_folds(_clients(spark, sf_dir)).select(c.ID, c.TARGET, c.FOLD)
+    clients = _stored_clients(spark, sf_dir)
+    return sp.assign_folds(clients).select(c.ID, c.TARGET, c.FOLD)
 
 
-def _train_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_documents(spark, sf_dir).filter(F.col(c.SPLIT) == c.TRAIN)
+def _train(divided: DataFrame) -> DataFrame:
+    return divided.filter(F.col(c.SPLIT) == c.TRAIN)
 
 
 @_query("constant_columns")
 def constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["n_chars", "lang", "source", "toxic", "region"]
-    varying, constant = ag.varying_columns(_train_documents(spark, sf_dir), names)
+    varying, constant = ag.varying_columns(_train(_split_documents(spark, sf_dir)), names)
     rows = [(n, False) for n in varying] + [(n, True) for n in constant]
     return spark.createDataFrame(rows, "columna string, constante boolean")
 
@@ -341,14 +350,16 @@ def impute_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("impute_params_documents")
 def impute_params_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fills, _ = ft.learn_imputation(_train_documents(spark, sf_dir), ["n_chars", "lang", "source"])
+    train = _train(_split_documents(spark, sf_dir))
+    fills, _ = ft.learn_imputation(train, ["n_chars", "lang", "source"])
     return spark.createDataFrame(
         [(n, str(v)) for n, v in fills.items()], "columna string, valor string")
 
 
 def _filled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fills, _ = ft.learn_imputation(_train_documents(spark, sf_dir), ["n_chars", "lang", "source"])
-    return ft.impute(_split_documents(spark, sf_dir), fills)
+    divided = _split_documents(spark, sf_dir)
+    fills, _ = ft.learn_imputation(_train(divided), ["n_chars", "lang", "source"])
+    return ft.impute(divided, fills)
 
 
 @_query("impute_apply")
@@ -357,7 +368,7 @@ def impute_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_categories(filled: DataFrame) -> dict[str, list[str]]:
-    return ft.learn_categories(filled.filter(F.col(c.SPLIT) == c.TRAIN), ["lang", "source"])
+    return ft.learn_categories(_train(filled), ["lang", "source"])
 
 
 @_query("onehot_categories")
@@ -432,7 +443,7 @@ def _scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fold_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two fixed decisions per client with their fold."""
-    folds = sp.assign_folds(_clients(spark, sf_dir))
+    folds = sp.assign_folds(_stored_clients(spark, sf_dir))
     good = col(c.SCORE) > 600
     decisions = F.array(
         F.struct(F.lit(c.LOGISTIC).alias(c.MODEL), (good & (col(c.MAX_FREQUENCY) > 0)).alias("d")),

@@ -139,7 +139,7 @@ class EvaluationConfig:
     segment_counts: tuple[int, ...] = (2, 3, 4, 5)
     silhouette_block: int = 2_000
     silhouette_metric: str = "euclidean"
-    parallel_fits: int = 4
+    parallel_fits: int = 8
 
 
 @dataclass(frozen=True)

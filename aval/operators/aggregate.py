@@ -156,43 +156,32 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = (c.ID,)) -> list[s
     return [f.name for f in df.schema if is_numeric(f.dataType) and f.name not in exclude]
 
 
-def _pairwise(df: DataFrame, pairs: list[tuple[str, str]], chunk: int) -> DataFrame:
-    """Long ``(variable_1, variable_2, r)`` for the pairs: one scan per chunk of pairs.
+def _pairwise(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Long ``(variable_1, variable_2, r)`` for the pairs, in one scan.
 
-    ``corr`` skips rows where either side is missing and combines map-side. A pair that is
-    constant on its shared rows has no correlation: the guard keeps ``corr`` off it.
+    Each row yields one entry per pair that is complete in it, and the entries are reduced
+    map-side to one row per pair and task. The plan keeps its size however many pairs there
+    are. A pair that is constant on its shared rows has no correlation (NULL).
     """
-    parts = []
-    for start in range(0, len(pairs), chunk):
-        group = pairs[start:start + chunk]
-        measures = []
-        for i, (a, b) in enumerate(group):
-            x = without_nan(col(a).cast("double"), df.schema[a].dataType)
-            y = without_nan(col(b).cast("double"), df.schema[b].dataType)
-            both = x.isNotNull() & y.isNotNull()
-            x, y = F.when(both, x), F.when(both, y)
-            measures += [
-                F.covar_pop(x, y).alias(f"c{i}"),
-                F.stddev_pop(x).alias(f"x{i}"),
-                F.stddev_pop(y).alias(f"y{i}"),
-            ]
-        r = [
-            F.try_divide(F.col(f"c{i}"), F.col(f"x{i}") * F.col(f"y{i}"))
-            for i in range(len(group))
-        ]
-        parts.append(df.agg(*measures).select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("variable_1"), F.lit(b).alias("variable_2"),
-                     r[i].alias("r"))
-            for i, (a, b) in enumerate(group)
-        ]))))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def correlation_matrix(df: DataFrame, names: list[str] | None = None,
-                       chunk: int = 200) -> DataFrame:
+    def value(name: str) -> Column:
+        return without_nan(col(name).cast("double"), df.schema[name].dataType)
+
+    names = sorted({n for pair in pairs for n in pair})
+    values = df.select(*[value(n).alias(n) for n in names])
+    entries = values.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), col(a).alias("x"), col(b).alias("y"))
+        for i, (a, b) in enumerate(pairs)
+    ]))).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    measured = entries.groupBy("i").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("r"))
+    labels = df.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(pairs)],
+        "i int, variable_1 string, variable_2 string",
+    )
+    return labels.join(measured, "i", "left").select("variable_1", "variable_2", "r")
+
+
+def correlation_matrix(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of varying numeric columns, pairwise complete.
 
     Only one triangle is computed; the other and the diagonal follow from it.
@@ -206,7 +195,7 @@ def correlation_matrix(df: DataFrame, names: list[str] | None = None,
     pairs = list(combinations(varying, 2))
     if not pairs:
         return diagonal
-    upper = _pairwise(df, pairs, chunk)
+    upper = _pairwise(df, pairs)
     both = upper.select(F.inline(F.array(
         F.struct("variable_1", "variable_2", "r"),
         F.struct(F.col("variable_2").alias("variable_1"),
@@ -215,7 +204,7 @@ def correlation_matrix(df: DataFrame, names: list[str] | None = None,
     return both.unionByName(diagonal)
 
 
-def correlation_with_target(df: DataFrame, target: str = c.TARGET, chunk: int = 200,
+def correlation_with_target(df: DataFrame, target: str = c.TARGET,
                             thresholds: c.ChartThresholds | None = None) -> DataFrame:
     """Correlation of each varying column with the target, with sign and strength flags."""
     thresholds = thresholds or c.ChartThresholds()
@@ -225,7 +214,7 @@ def correlation_with_target(df: DataFrame, target: str = c.TARGET, chunk: int =
         raise PreparationError("the target does not vary, or no other column does")
     size = F.abs(F.col("r"))
     return (
-        _pairwise(df, [(n, target) for n in others], chunk)
+        _pairwise(df, [(n, target) for n in others])
         .filter(F.col("r").isNotNull())
         .select(
             F.col("variable_1").alias("variable"), "r",

@@ -152,7 +152,8 @@ def cross_validate(train: DataFrame, variables: list[str], config: c.EvaluationC
     training = training or c.TrainingConfig()
     if c.FOLD not in train.columns:
         train = assign_folds(train, config.folds, seed=config.seed)
-    data = assemble(train, variables).select("features", c.TARGET, c.FOLD).persist()
+    # Each MLlib fit caches its own input; here the (cached) rows are only projected.
+    data = assemble(train, variables).select("features", c.TARGET, c.FOLD)
     sizes = class_counts(data, c.FOLD)
     rows = sum(sizes.values())
     makers = classifiers or CLASSIFIERS

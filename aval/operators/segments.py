@@ -232,11 +232,12 @@ def mean_silhouette(per_row: DataFrame) -> DataFrame:
 def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
                     config: c.EvaluationConfig | None = None,
                     training: c.TrainingConfig | None = None,
-                    thresholds: c.ChartThresholds | None = None) -> DataFrame:
+                    thresholds: c.ChartThresholds | None = None,
+                    fitted: SegmentModel | None = None) -> DataFrame:
     """Silhouette of k-means for several k, the model's own k and the suggested one marked.
 
-    One model per k is fitted on the cached training rows, and the rows of the result are one
-    per k.
+    One model per k is fitted on the cached training rows, except for the k of ``fitted``,
+    whose fit would be repeated with the same seeds. The result has one row per k.
     """
     config = config or c.EvaluationConfig()
     training = training or c.TrainingConfig()
@@ -246,8 +247,13 @@ def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
     for k in config.segment_counts:
         if k >= n:
             continue
-        model = fit_segments(train, variables, k, training.segment_starts,
-                             training.segment_iterations, config.seed, config.parallel_fits, True)
+        if fitted is not None and fitted.k == k and training.seed == config.seed:
+            model = fitted
+        else:
+            model = fit_segments(
+                train, variables, k, training.segment_starts, training.segment_iterations,
+                config.seed, config.parallel_fits, checked=True,
+            )
         rows.append((k, model_silhouette(train, model, key, config), k == training.segments))
     table = spark.createDataFrame(rows, "k int, silueta double, es_el_modelo boolean")
     return with_suggestion(table, thresholds)

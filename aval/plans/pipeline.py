@@ -165,8 +165,10 @@ def evaluate(trained: Trained, config: c.PipelineConfig | None = None,
         folds = cross_validate(rows, variables, options, config.training, classifiers)
         summary = materialise(mt.fold_summary(folds), "cross-validation")
         silhouette = sg.silhouette_by_k(rows, variables, c.ID, options, config.training,
-                                        config.charts)
-        own = sg.model_silhouette(rows, trained.segmentation, c.ID, options)
+                                        config.charts, trained.segmentation).persist()
+        same = silhouette.filter(F.col("k") == trained.segmentation.k).first()
+        own = same["silueta"] if same else sg.model_silhouette(
+            rows, trained.segmentation, c.ID, options)
     finally:
         rows.unpersist()
     comparison = mt.compare_models(metrics, summary)

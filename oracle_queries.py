@@ -348,7 +348,7 @@ FROM applicants""", "applicants")
 # --- Helpers for statements ----------------------------------------------------------------
 
 _CLIENT_COLUMNS = """ID_Cliente, Edad, Ingreso_Declarado, Antiguedad_Laboral, Tipo_Vivienda,
-  round(Monto_Total, 2) AS Monto_Total, round(Saldo_Promedio_Mensual, 4) AS Saldo_Promedio_Mensual,
+  round(Monto_Total, 2) AS Monto_Total, round(Saldo_Promedio_Mensual) AS Saldo_Promedio_Mensual,
   Frecuencia_Deposito_Max, Num_Transacciones, Score_Buro, Creditos_Activos,
   Mantiene_Morosidad_Previa, credito_aprobado"""
 
@@ -422,13 +422,12 @@ _fixed_weights = {"Edad": 0.10, "Score_Buro": 1.25, "Mantiene_Morosidad_Previa":
                   "Frecuencia_Deposito_Max": 0.75, "Ingreso_Declarado": 0.20}
 FIXED_WEIGHTS, FIXED_INTERCEPT = _fixed_weights, -0.5
 
-_REASONS = """list_filter([
+_REASONS = """concat_ws('; ',
     CASE WHEN NOT coalesce(Edad BETWEEN 18 AND 69, false) THEN 'edad fuera de 18-69 o no válida' END,
     CASE WHEN NOT coalesce(Score_Buro > 600, false)
          THEN 'score de buró no mayor a 600 o faltante' END,
     CASE WHEN NOT coalesce(Mantiene_Morosidad_Previa = 0, false) THEN 'tiene morosidad previa' END,
-    CASE WHEN NOT coalesce(Frecuencia_Deposito_Max > 0, false) THEN 'sin depósitos registrados' END
-  ], x -> x IS NOT NULL)"""
+    CASE WHEN NOT coalesce(Frecuencia_Deposito_Max > 0, false) THEN 'sin depósitos registrados' END)"""
 
 
 def statements() -> dict[str, str]:
@@ -515,7 +514,7 @@ SELECT ID_Cliente, Score_Buro, Ingreso_Declarado FROM bureau JOIN profile USING
                                       "bureau", "profile")
     s["credits_vs_score"] = _statement("SELECT Creditos_Activos, Score_Buro FROM bureau", "bureau")
     s["rejection_reasons"] = _statement(
-        f"SELECT ID_Cliente, array_to_string({_REASONS}, '; ') AS motivos FROM clients", "clients")
+        f"SELECT ID_Cliente, {_REASONS} AS motivos FROM clients", "clients")
     s["aggregate_by_client"] = _statement(f"SELECT {_CLIENT_COLUMNS} FROM clients", "clients")
     s["client_table"] = s["aggregate_by_client"]
     s["aggregate_events"] = """
@@ -583,9 +582,9 @@ SELECT variable, round(media, 4) AS media, round(CASE WHEN desviacion = 0 THEN 1
   AS desviacion FROM scaling WHERE NOT binaria""", "scaling")
     s["prepare_clients"] = _statement("SELECT ID_Cliente, credito_aprobado, split, " + ", ".join(
         f"round({n}, 6) AS {n}" for n in NUMBERS) + " FROM prepared", "prepared")
-    s["imputed_flags"] = _statement("SELECT ID_Cliente, array_to_string(list_filter([" + ", ".join(
+    s["imputed_flags"] = _statement("SELECT ID_Cliente, concat_ws('; ', " + ", ".join(
         f"CASE WHEN {n} IS NULL THEN '{n}' END" for n in NUMBERS
-    ) + "], x -> x IS NOT NULL), '; ') AS imputados FROM clients", "clients")
+    ) + ") AS imputados FROM clients", "clients")
     s["exact_medians"] = " UNION ALL ".join(
         f"SELECT '{n}' AS columna, median({n}) AS mediana FROM lineitem" for n in _LINEITEM)
     s["value_modes"] = """
@@ -686,7 +685,7 @@ FROM (SELECT *, row_number() OVER (ORDER BY seq) AS n FROM applicants)""", "appl
 SELECT p.ID_Cliente, p.credito_aprobado AS regla_negocio,
   CAST({FIXED_INTERCEPT} + {weighted} > 0 AS INTEGER) AS prediccion,
   round(1 / (1 + exp(-({FIXED_INTERCEPT} + {weighted}))), 6) AS probabilidad,
-  array_to_string(CASE WHEN p.credito_aprobado = 0 THEN m.motivos ELSE [] END, '; ') AS motivos
+  CASE WHEN p.credito_aprobado = 0 THEN m.motivos ELSE '' END AS motivos
 FROM prepared p JOIN (SELECT ID_Cliente, {_REASONS} AS motivos FROM clients) m USING (ID_Cliente)""",
                                         "prepared", "clients")
     s["preview_rows"] = _statement("""
