@@ -47,18 +47,10 @@ def aggregate_by_client(df: DataFrame, order: str | None = None) -> DataFrame:
     return df.filter(col(c.ID).isNotNull()).groupBy(col(c.ID)).agg(*summary)
 
 
-def client_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
-                 rule: c.ApprovalRule | None = None) -> DataFrame:
-    """The labelled per-client table straight from normalised sources, in two shuffles.
-
-    Merging, labelling and summarising give the same rows through five shuffles. Here the
-    history is de-duplicated, the three sources are stacked, and one aggregation on the id
-    (with map-side combine) does the rest: first profile and bureau row of each client by
-    ``_seq``, history totals, and the rule.
-    """
-    rule = rule or c.ApprovalRule()
+def _stacked(profile: DataFrame, history: DataFrame, bureau: DataFrame) -> DataFrame:
+    """Rows of the three sources with an id, one under another; absent columns are NULL."""
     present = col(c.ID).isNotNull()
-    stacked = (
+    return (
         profile.filter(present).withColumnRenamed(c.SEQ, "_profile")
         .select(*[col(n) for n in c.PROFILE_COLUMNS], "_profile")
         .unionByName(
@@ -66,35 +58,62 @@ def client_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
             .select(*[col(n) for n in c.BUREAU_COLUMNS], "_bureau"),
             allowMissingColumns=True,
         )
-        .unionByName(
-            drop_identical(
-                history.filter(present).select(*[col(n) for n in c.HISTORY_COLUMNS])
-            ).drop(c.CURRENCY),
-            allowMissingColumns=True,
-        )
+        .unionByName(history.filter(present), allowMissingColumns=True)
     )
-    # min_by skips rows whose order is missing, i.e. the rows of the other sources.
-    first = [
+
+
+def _first_rows() -> list[Column]:
+    """First profile and bureau row of a client: min_by skips rows whose order is missing,
+    which are the rows of the other sources."""
+    return [
         F.min_by(col(n), F.col(order)).alias(n)
         for order, names in (("_profile", c.PROFILE_COLUMNS), ("_bureau", c.BUREAU_COLUMNS))
         for n in names if n != c.ID
     ]
-    per_client = stacked.groupBy(col(c.ID)).agg(
-        *first,
+
+
+def _approved(rule: c.ApprovalRule) -> Column:
+    met = profile_conditions(col(c.AGE), col(c.SCORE), col(c.DELINQUENCY), rule)
+    return (met & F.coalesce(col(c.MAX_FREQUENCY) > 0, F.lit(False))).cast("int")
+
+
+def client_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
+                 rule: c.ApprovalRule | None = None) -> DataFrame:
+    """The labelled per-client table straight from normalised sources, in two shuffles.
+
+    Merging, labelling and summarising give the same rows through five shuffles. Here the
+    history is de-duplicated, the three sources are stacked, and one aggregation on the id
+    (with map-side combine) does the rest: first profile and bureau row of each client by
+    ``_seq``, history totals, and the rule.
+    """
+    transactions = drop_identical(history.select(*[col(n) for n in c.HISTORY_COLUMNS]))
+    per_client = _stacked(profile, transactions.drop(c.CURRENCY), bureau).groupBy(col(c.ID)).agg(
+        *_first_rows(),
         F.sum(col(c.AMOUNT)).alias(c.TOTAL_AMOUNT),
         F.avg(col(c.BALANCE)).alias(c.BALANCE),
         F.max(col(c.FREQUENCY)).alias(c.MAX_FREQUENCY),
         F.count(col(c.FREQUENCY)).alias(c.N_TRANSACTIONS),
     )
-    approved = profile_conditions(col(c.AGE), col(c.SCORE), col(c.DELINQUENCY), rule) & (
-        F.coalesce(col(c.MAX_FREQUENCY) > 0, F.lit(False))
-    )
-    return per_client.withColumn(c.TARGET, approved.cast("int")).select(
+    return per_client.withColumn(c.TARGET, _approved(rule or c.ApprovalRule())).select(
         *[col(n) for n in c.PROFILE_COLUMNS], c.TOTAL_AMOUNT, c.BALANCE, c.MAX_FREQUENCY,
         c.N_TRANSACTIONS, *[col(n) for n in c.BUREAU_COLUMNS if n != c.ID], c.TARGET,
     )
 
 
+def client_outcomes(profile: DataFrame, history: DataFrame, bureau: DataFrame,
+                    rule: c.ApprovalRule | None = None) -> DataFrame:
+    """Only ``(id, label)`` per client from normalised sources, in one shuffle.
+
+    The rule reads the history's largest frequency, which repeated rows do not change, so the
+    history is neither de-duplicated nor read beyond two columns.
+    """
+    deposits = history.select(col(c.ID), col(c.FREQUENCY))
+    per_client = _stacked(profile, deposits, bureau).groupBy(col(c.ID)).agg(
+        *_first_rows(), F.max(col(c.FREQUENCY)).alias(c.MAX_FREQUENCY)
+    )
+    return per_client.select(col(c.ID), _approved(rule or c.ApprovalRule()).alias(c.TARGET))
+
+
 def count_clients(df: DataFrame) -> DataFrame:
     """Distinct non-missing ids."""
     return df.agg(F.count_distinct(col(c.ID)).alias("clientes"))
@@ -136,20 +155,26 @@ def housing_counts(profile: DataFrame) -> DataFrame:
     )
 
 
-def varying_columns(df: DataFrame, names: list[str]) -> tuple[list[str], list[str]]:
-    """Split ``names`` into ``(varying, constant)`` with one aggregation.
+def column_facts(df: DataFrame, names: list[str]) -> dict[str, tuple[int, bool]]:
+    """``(non-missing values, whether two of them differ)`` per column, in one aggregation.
 
-    Constant means at most one distinct non-missing value; minimum equals maximum says so
-    without counting distinct values.
+    Minimum below maximum answers the second without counting distinct values.
     """
     if not names:
-        return [], []
+        return {}
     clean = [without_nan(col(n), df.schema[n].dataType) for n in names]
-    row = df.agg(*[
-        (F.min(v) < F.max(v)).alias(f"v{i}") for i, v in enumerate(clean)
-    ]).first()
-    varying = [n for i, n in enumerate(names) if row[f"v{i}"]]
-    return varying, [n for n in names if n not in varying]
+    measures = []
+    for i, value in enumerate(clean):
+        measures += [F.count(value).alias(f"n{i}"), (F.min(value) < F.max(value)).alias(f"v{i}")]
+    row = df.agg(*measures).first()
+    return {n: (row[f"n{i}"], bool(row[f"v{i}"])) for i, n in enumerate(names)}
+
+
+def varying_columns(df: DataFrame, names: list[str]) -> tuple[list[str], list[str]]:
+    """Split ``names`` into ``(varying, constant)``; constant means at most one distinct value."""
+    facts = column_facts(df, names)
+    varying = [n for n in names if facts[n][1]]
+    return varying, [n for n in names if not facts[n][1]]
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = (c.ID,)) -> list[str]:

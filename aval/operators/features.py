@@ -14,7 +14,7 @@ from aval import config as c
 from aval.errors import InvalidTrainingDataError, PreparationError
 from aval.functions.statistics import exact_medians, modes, value_counts
 from aval.functions.values import col, is_numeric, nan_to_null, without_nan
-from aval.operators.aggregate import varying_columns
+from aval.operators.aggregate import column_facts
 
 _NOT_FEATURES = (c.ID, c.TARGET, c.SPLIT, c.FOLD, c.SEQ)
 
@@ -32,17 +32,16 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def learn_imputation(train: DataFrame, names: list[str],
-                     config: c.PreparationConfig | None = None
+                     config: c.PreparationConfig | None = None,
+                     counts: dict[str, int] | None = None
                      ) -> tuple[dict[str, object], list[str]]:
-    """``(fill values, columns without any value)``: median of numbers, mode of texts."""
+    """``(fill values, columns without any value)``: median of numbers, mode of texts.
+
+    ``counts`` saves a scan when the non-missing values per column are already known.
+    """
     config = config or c.PreparationConfig()
-    if not names:
-        return {}, []
-    row = train.agg(*[
-        F.count(without_nan(col(n), train.schema[n].dataType)).alias(f"n{i}")
-        for i, n in enumerate(names)
-    ]).first()
-    counts = {n: row[f"n{i}"] for i, n in enumerate(names)}
+    if counts is None:
+        counts = {n: found for n, (found, _) in column_facts(train, names).items()}
     filled = [n for n in names if counts[n]]
     numbers = {n: counts[n] for n in filled if is_numeric(train.schema[n].dataType)}
     texts = [n for n in filled if n not in numbers]
@@ -190,14 +189,18 @@ class FeatureModel:
 
 def fit_features(df: DataFrame, config: c.PreparationConfig | None = None,
                  dropped: dict[str, str] | None = None) -> FeatureModel:
-    """Learn the whole preparation from the rows whose ``split`` is train (all if absent)."""
+    """Learn the whole preparation from the rows whose ``split`` is train (all if absent).
+
+    Three aggregations when every column is a number: counts and variation, medians, moments.
+    """
     config = config or c.PreparationConfig()
     train = df.filter(col(c.SPLIT) == c.TRAIN) if c.SPLIT in df.columns else df
     train = nan_to_null(train)
     candidates = [n for n in train.columns if n not in _NOT_FEATURES]
-    varying, constant = varying_columns(train, candidates)
-    removed = {**(dropped or {}), **{n: CONSTANT for n in constant}}
-    fills, empty = learn_imputation(train, varying, config)
+    facts = column_facts(train, candidates)
+    varying = [n for n in candidates if facts[n][1]]
+    removed = {**(dropped or {}), **{n: CONSTANT for n in candidates if not facts[n][1]}}
+    fills, empty = learn_imputation(train, varying, config, {n: facts[n][0] for n in varying})
     removed.update({n: EMPTY for n in empty})
     used = [n for n in varying if n in fills]
     numbers = [n for n in used if is_numeric(train.schema[n].dataType)]

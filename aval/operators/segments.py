@@ -242,6 +242,7 @@ def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
     config = config or c.EvaluationConfig()
     training = training or c.TrainingConfig()
     n = train.count()
+    metric = silhouette_metric(n, config)
     spark = train.sparkSession
     rows = []
     for k in config.segment_counts:
@@ -254,21 +255,35 @@ def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
                 train, variables, k, training.segment_starts, training.segment_iterations,
                 config.seed, config.parallel_fits, checked=True,
             )
-        rows.append((k, model_silhouette(train, model, key, config), k == training.segments))
-    table = spark.createDataFrame(rows, "k int, silueta double, es_el_modelo boolean")
+        rows.append((k, model_silhouette(train, model, key, metric, config.silhouette_block),
+                     k == training.segments, metric))
+    table = spark.createDataFrame(
+        rows, "k int, silueta double, es_el_modelo boolean, metrica string"
+    )
     return with_suggestion(table, thresholds)
 
 
-def model_silhouette(df: DataFrame, model: SegmentModel, key: str,
-                     config: c.EvaluationConfig | None = None) -> float:
+EUCLIDEAN, SQUARED = "euclidean", "squaredEuclidean"
+
+
+def silhouette_metric(rows: int, config: c.EvaluationConfig) -> str:
+    """The metric that the configuration asks for at this number of rows."""
+    if config.silhouette_metric != "auto":
+        return config.silhouette_metric
+    return EUCLIDEAN if rows <= config.euclidean_rows else SQUARED
+
+
+def model_silhouette(df: DataFrame, model: SegmentModel, key: str, metric: str = EUCLIDEAN,
+                     block: int = 2_000) -> float:
     """Mean silhouette of the model's segments over ``df``."""
-    config = config or c.EvaluationConfig()
     vector = F.array(*[col(n).cast("double") for n in model.variables])
     assigned = model.assign(df).select(col(key), c.SEGMENT, vector.alias("_v"))
-    if config.silhouette_metric == "euclidean":
-        per_row = silhouette_euclidean(assigned, "_v", c.SEGMENT, key, config.silhouette_block)
-    else:
+    if metric == EUCLIDEAN:
+        per_row = silhouette_euclidean(assigned, "_v", c.SEGMENT, key, block)
+    elif metric == SQUARED:
         per_row = silhouette_squared(assigned, "_v", c.SEGMENT, key)
+    else:
+        raise EvaluationError(f"unknown silhouette metric '{metric}'")
     return float(mean_silhouette(per_row).first()["silueta"])
 
 

@@ -12,7 +12,7 @@ from aval.errors import PreparationError
 from aval.functions.values import col, with_sequence
 from aval.operators import metrics as mt
 from aval.operators import segments as sg
-from aval.operators.aggregate import aggregate_by_client, client_table
+from aval.operators.aggregate import aggregate_by_client, client_outcomes, client_table
 from aval.operators.cleaning import (
     clean_bureau,
     clean_history,
@@ -42,17 +42,25 @@ def combined_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
 
 def labelled_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
                    config: c.PipelineConfig | None = None) -> DataFrame:
-    """The merged table with its label, without merging twice.
+    """The merged table with its label, the transactions being joined once.
 
-    The label is a property of the client, so it is computed on the per-client table and
-    joined to the merged rows; ``label_approval`` does the same from any combined table.
+    The label belongs to the client and only clients with a profile can be approved, so it
+    rides on the profile row into the merge. ``label_approval`` does the same from any
+    combined table, at the price of shuffling its rows again.
     """
     config = config or c.PipelineConfig()
-    labels = client_rows(profile, history, bureau, config).select(c.ID, c.TARGET)
-    rows = combined_table(profile, history, bureau, config).drop(c.TARGET)
-    return rows.join(labels, c.ID, "left").withColumn(
-        c.TARGET, F.coalesce(col(c.TARGET), F.lit(0))
+    profile, bureau = with_sequence(profile), with_sequence(bureau)
+    labels = client_outcomes(
+        normalise_profile(profile, config.cleaning),
+        normalise_history(history, config.cleaning), normalise_bureau(bureau), config.rule,
     )
+    labelled = clean_profile(profile, config.cleaning).join(labels, c.ID, "left")
+    merged = merge_sources(
+        labelled, clean_history(history, config.cleaning), clean_bureau(bureau), target=None
+    )
+    order = [n for n in merged.columns if n != c.TARGET]
+    return merged.select(*[col(n) for n in order],
+                         F.coalesce(col(c.TARGET), F.lit(0)).alias(c.TARGET))
 
 
 def client_rows(profile: DataFrame, history: DataFrame, bureau: DataFrame,
@@ -168,7 +176,8 @@ def evaluate(trained: Trained, config: c.PipelineConfig | None = None,
                                         config.charts, trained.segmentation).persist()
         same = silhouette.filter(F.col("k") == trained.segmentation.k).first()
         own = same["silueta"] if same else sg.model_silhouette(
-            rows, trained.segmentation, c.ID, options)
+            rows, trained.segmentation, c.ID, sg.silhouette_metric(rows.count(), options),
+            options.silhouette_block)
     finally:
         rows.unpersist()
     comparison = mt.compare_models(metrics, summary)
