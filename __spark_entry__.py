@@ -91,7 +91,7 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("approval_summary")
 def approval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tg.approval_summary(_clients(spark, sf_dir))
+    return tg.approval_summary(pl.client_labels(*dv.raw_sources(spark, sf_dir)))
 
 
 # --- Cleaning and quality ------------------------------------------------------------------

@@ -50,10 +50,7 @@ def labelled_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
     """
     config = config or c.PipelineConfig()
     profile, bureau = with_sequence(profile), with_sequence(bureau)
-    labels = client_outcomes(
-        normalise_profile(profile, config.cleaning),
-        normalise_history(history, config.cleaning), normalise_bureau(bureau), config.rule,
-    )
+    labels = client_labels(profile, history, bureau, config)
     labelled = clean_profile(profile, config.cleaning).join(labels, c.ID, "left")
     merged = merge_sources(
         labelled, clean_history(history, config.cleaning), clean_bureau(bureau), target=None
@@ -63,6 +60,18 @@ def labelled_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
                          F.coalesce(col(c.TARGET), F.lit(0)).alias(c.TARGET))
 
 
+def client_labels(profile: DataFrame, history: DataFrame, bureau: DataFrame,
+                  config: c.PipelineConfig | None = None) -> DataFrame:
+    """Raw sources to ``(id, label)`` per client, in one shuffle."""
+    config = config or c.PipelineConfig()
+    return client_outcomes(
+        normalise_profile(with_sequence(profile), config.cleaning),
+        normalise_history(history, config.cleaning),
+        normalise_bureau(with_sequence(bureau)),
+        config.rule,
+    )
+
+
 def client_rows(profile: DataFrame, history: DataFrame, bureau: DataFrame,
                 config: c.PipelineConfig | None = None) -> DataFrame:
     """Raw sources to one labelled row per client, in two shuffles."""

@@ -32,14 +32,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType
                         ) -> tuple[DataFrame, DataFrame]:
-    """``(good rows, malformed lines)`` instead of stopping at the first malformed line."""
+    """``(good rows, malformed rows)`` instead of stopping at the first malformed line.
+
+    Malformed rows keep what could be parsed next to the whole text in ``linea``; Spark does
+    not allow reading that text alone from the file.
+    """
     whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = spark.read.options(
         header=True, mode="PERMISSIVE", escape='"', columnNameOfCorruptRecord=CORRUPT,
         enforceSchema=True,
     ).schema(whole).csv(path)
     good = normalise_null_tokens(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("linea"))
+    bad = rows.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "linea")
     return good, bad
 
 
