@@ -562,7 +562,7 @@ def segment_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     typical = profiles.select(
         c.SEGMENT, F.col("n_clientes").alias("segmento_n_clientes"),
         F.round(col(c.AGE), 2).alias("segmento_Edad"))
-    return mg.attach_by_key(rows.select(c.ID, c.SEGMENT), typical, c.SEGMENT)
+    return mg.attach_by_key(rows.select(c.ID, c.SEGMENT), typical, c.SEGMENT, few_keys=True)
 
 
 # --- Applicants ----------------------------------------------------------------------------
@@ -575,8 +575,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applicants with an id and every field as text, as the document reader gives them."""
     default = F.concat(F.lit("DOC-"), F.col(c.SEQ).cast("string"))
-    return _documents(spark, sf_dir).withColumn(c.ID, F.coalesce(col(c.ID), default))
+    return dv.applicant_records(spark, sf_dir).select(
+        c.SEQ, F.coalesce(col(c.ID), default).alias(c.ID),
+        *[col(n).cast(APPLICANT_SCHEMA[n].dataType).alias(n) for n in ("perfil", "historial", "buro")])
 
 
 @_query("nested_profile")

@@ -48,9 +48,8 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def number_from_text(value: Column) -> Column:
-    """A text as a finite double, NULL when it is not a number."""
-    number = F.when(value.rlike(NUMBER_PATTERN), strip(value).try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+    """A text as a double, NULL when it is not a number."""
+    return F.when(value.rlike(NUMBER_PATTERN), strip(value).try_cast("double"))
 
 
 def yes_from_text(value: Column) -> Column:

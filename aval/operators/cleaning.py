@@ -51,13 +51,16 @@ def normalise_profile(df: DataFrame, config: c.CleaningConfig | None = None) ->
     """Profile values in clean form; rows are kept, one for one."""
     config = config or c.CleaningConfig()
     require_columns(df, c.PROFILE_SOURCE)
-    age = tolerant_number(df, c.AGE)
-    return df.withColumns({
-        c.AGE: between_or_null(age, config.min_age, config.max_age),
+    typed = df.withColumns({
+        c.AGE: tolerant_number(df, c.AGE),
         c.INCOME: tolerant_number(df, c.INCOME),
         c.SENIORITY: tolerant_number(df, c.SENIORITY),
         c.HOUSING: equals_word(col(c.HOUSING), c.OWNED_HOUSING),
     })
+    # A second step, so that the text is parsed once and not once per comparison.
+    return typed.withColumn(
+        c.AGE, between_or_null(col(c.AGE), config.min_age, config.max_age)
+    )
 
 
 def normalise_bureau(df: DataFrame) -> DataFrame:

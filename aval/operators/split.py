@@ -15,6 +15,7 @@ from aval.functions.values import col
 
 #: Rows that one task may have to sort when a cut is located.
 _ROWS_PER_BUCKET = 1_000_000
+_MAX_CLASSES = 1_000
 
 
 def split_key(id_column: Column, seed: int) -> Column:
@@ -23,8 +24,12 @@ def split_key(id_column: Column, seed: int) -> Column:
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    """Rows per class. The driver receives one row per class."""
-    rows = df.groupBy(col(label).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    """Rows per class. The driver receives one row per class, so a column with more than
+    ``_MAX_CLASSES`` values (an id, a measurement) is refused as a label."""
+    counted = df.groupBy(col(label).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.limit(_MAX_CLASSES + 1).collect()
+    if len(rows) > _MAX_CLASSES:
+        raise PreparationError(f"'{label}' has more than {_MAX_CLASSES} values: it is not a class")
     return {r["k"]: r["n"] for r in sorted(rows, key=lambda r: (r["k"] is None, r["k"]))}
 
 

@@ -93,15 +93,16 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def applicant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested JSON text per order, shaped like an applicant document."""
+def applicant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested applicant per order, some sections and ids absent."""
     order, price = F.col("o_orderkey"), F.col("o_totalprice")
     movement = F.struct(
         price.alias(c.AMOUNT),
         F.when(F.col("o_orderpriority") == "5-LOW", "USD").otherwise("MXN").alias(c.CURRENCY),
         (price / 10).alias(c.BALANCE), (order % 9).alias(c.FREQUENCY),
     )
-    return table(spark, sf_dir, "orders").select(F.to_json(F.struct(
+    return table(spark, sf_dir, "orders").select(
+        order.alias(c.SEQ),
         F.when(order % 5 != 0, _text("SOL-", order)).alias(c.ID),
         F.when(order % 8 != 0, F.struct(
             (order % 80).alias(c.AGE), price.alias(c.INCOME),
@@ -115,7 +116,13 @@ def applicant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.lit(400) + (order * 37) % 451).alias(c.SCORE), (order % 7).alias(c.CREDITS),
             F.when(order % 5 == 1, "SI").otherwise("NO").alias(c.DELINQUENCY),
         )).alias("buro"),
-    )).alias("documento"), order.alias(c.SEQ))
+    )
+
+
+def applicant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same applicants as JSON texts."""
+    document = F.to_json(F.struct(c.ID, "perfil", "historial", "buro"))
+    return applicant_records(spark, sf_dir).select(c.SEQ, document.alias("documento"))
 
 
 _MOVEMENT = (

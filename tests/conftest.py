@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[*]").appName("aval-tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()

@@ -55,6 +55,12 @@ def test_small_classes_are_errors(spark):
         sp.assign_folds(df, 2)
 
 
+def test_a_measurement_is_not_a_class(spark):
+    df = spark.range(3000).selectExpr("id as ID_Cliente", "id as credito_aprobado")
+    with pytest.raises(PreparationError, match="not a class"):
+        sp.stratified_split(df)
+
+
 @pytest.fixture(scope="module")
 def mixed(spark):
     return spark.createDataFrame([
