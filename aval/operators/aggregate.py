@@ -52,23 +52,23 @@ def _stacked(profile: DataFrame, history: DataFrame, bureau: DataFrame) -> DataF
     present = col(c.ID).isNotNull()
     return (
         profile.filter(present).withColumnRenamed(c.SEQ, "_profile")
-        .select(*[col(n) for n in c.PROFILE_COLUMNS], "_profile")
         .unionByName(
-            bureau.filter(present).withColumnRenamed(c.SEQ, "_bureau")
-            .select(*[col(n) for n in c.BUREAU_COLUMNS], "_bureau"),
-            allowMissingColumns=True,
+            bureau.filter(present).withColumnRenamed(c.SEQ, "_bureau"), allowMissingColumns=True
         )
         .unionByName(history.filter(present), allowMissingColumns=True)
     )
 
 
-def _first_rows() -> list[Column]:
+def _own_columns(df: DataFrame) -> list[str]:
+    return [n for n in df.columns if n not in (c.ID, c.SEQ)]
+
+
+def _first_rows(profile: list[str], bureau: list[str]) -> list[Column]:
     """First profile and bureau row of a client: min_by skips rows whose order is missing,
     which are the rows of the other sources."""
     return [
         F.min_by(col(n), F.col(order)).alias(n)
-        for order, names in (("_profile", c.PROFILE_COLUMNS), ("_bureau", c.BUREAU_COLUMNS))
-        for n in names if n != c.ID
+        for order, names in (("_profile", profile), ("_bureau", bureau)) for n in names
     ]
 
 
@@ -84,19 +84,22 @@ def client_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
     Merging, labelling and summarising give the same rows through five shuffles. Here the
     history is de-duplicated, the three sources are stacked, and one aggregation on the id
     (with map-side combine) does the rest: first profile and bureau row of each client by
-    ``_seq``, history totals, and the rule.
+    ``_seq``, history totals, and the rule. Columns beyond the contract are kept.
     """
-    transactions = drop_identical(history.select(*[col(n) for n in c.HISTORY_COLUMNS]))
-    per_client = _stacked(profile, transactions.drop(c.CURRENCY), bureau).groupBy(col(c.ID)).agg(
-        *_first_rows(),
+    transactions = drop_identical(history).drop(c.CURRENCY)
+    about, credit = _own_columns(profile), _own_columns(bureau)
+    extra = [n for n in transactions.columns if n not in c.HISTORY_COLUMNS]
+    per_client = _stacked(profile, transactions, bureau).groupBy(col(c.ID)).agg(
+        *_first_rows(about, credit),
         F.sum(col(c.AMOUNT)).alias(c.TOTAL_AMOUNT),
         F.avg(col(c.BALANCE)).alias(c.BALANCE),
         F.max(col(c.FREQUENCY)).alias(c.MAX_FREQUENCY),
         F.count(col(c.FREQUENCY)).alias(c.N_TRANSACTIONS),
+        *[_first_present(n, None).alias(n) for n in extra],
     )
     return per_client.withColumn(c.TARGET, _approved(rule or c.ApprovalRule())).select(
-        *[col(n) for n in c.PROFILE_COLUMNS], c.TOTAL_AMOUNT, c.BALANCE, c.MAX_FREQUENCY,
-        c.N_TRANSACTIONS, *[col(n) for n in c.BUREAU_COLUMNS if n != c.ID], c.TARGET,
+        *[col(n) for n in [c.ID, *about, c.TOTAL_AMOUNT, c.BALANCE, c.MAX_FREQUENCY,
+                           c.N_TRANSACTIONS, *extra, *credit, c.TARGET]]
     )
 
 
@@ -107,9 +110,13 @@ def client_outcomes(profile: DataFrame, history: DataFrame, bureau: DataFrame,
     The rule reads the history's largest frequency, which repeated rows do not change, so the
     history is neither de-duplicated nor read beyond two columns.
     """
-    deposits = history.select(col(c.ID), col(c.FREQUENCY))
-    per_client = _stacked(profile, deposits, bureau).groupBy(col(c.ID)).agg(
-        *_first_rows(), F.max(col(c.FREQUENCY)).alias(c.MAX_FREQUENCY)
+    about, credit = (c.AGE,), (c.SCORE, c.DELINQUENCY)
+    stacked = _stacked(
+        profile.select(col(c.ID), c.SEQ, *about), history.select(col(c.ID), col(c.FREQUENCY)),
+        bureau.select(col(c.ID), c.SEQ, *credit),
+    )
+    per_client = stacked.groupBy(col(c.ID)).agg(
+        *_first_rows(about, credit), F.max(col(c.FREQUENCY)).alias(c.MAX_FREQUENCY)
     )
     return per_client.select(col(c.ID), _approved(rule or c.ApprovalRule()).alias(c.TARGET))
 

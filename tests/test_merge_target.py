@@ -146,3 +146,23 @@ def test_heavy_client_is_whole(spark):
     merged = tg.label_approval(mg.merge_sources(profile, history, bureau))
     counts = {r[0]: r[1] for r in merged.groupBy("credito_aprobado").count().collect()}
     assert counts == {1: 6667, 0: 20_000 - 6667 + 1}
+
+
+def test_extra_columns_reach_the_client_table(spark):
+    profile = spark.createDataFrame(
+        [(2, "a", "30", "1", "1", "propia", "norte"), (1, "a", "31", "1", "1", "propia", "sur")],
+        "_seq long, ID_Cliente string, Edad string, Ingreso_Declarado string, Antiguedad_Laboral string, "
+        "Tipo_Vivienda string, zona string")
+    history = spark.createDataFrame(
+        [("a", 5.0, "MXN", 1.0, 2, 7)], "ID_Cliente string, Monto_Transaccion double, Moneda string, "
+        "Saldo_Promedio_Mensual double, Frecuencia_Deposito int, canal int")
+    bureau = spark.createDataFrame(
+        [(1, "CLIENTE_a", 1.0, 1.0, "no", 0.5)], "_seq long, ID_Cliente string, Score_Buro double, "
+        "Creditos_Activos double, Mantiene_Morosidad_Previa string, mora double")
+    bureau = bureau.withColumn("ID_Cliente", bureau["ID_Cliente"].substr(9, 1))
+    short = pl.client_rows(profile, history, bureau)
+    assert [n for n in short.columns if n in ("zona", "canal", "mora")] == ["zona", "canal", "mora"]
+    row = short.first()
+    assert (row["zona"], row["canal"], row["mora"], row["Edad"]) == ("sur", 7, 0.5, 31.0)
+    long = pl.client_rows_from_combined(pl.combined_table(profile, history, bureau))
+    assert rows(long.select(*short.columns)) == rows(short)

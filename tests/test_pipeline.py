@@ -1,5 +1,7 @@
 """The whole pipeline, its models, scoring, report and stream, on derived sources."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -116,19 +118,25 @@ def test_another_classifier_can_be_added(fitted):
     assert model.predict(trained.prepared.test).select("modelo").distinct().first()[0] == "Árbol"
 
 
+def _document(number, perfil=None, historial=None, buro=None):
+    parts = {"ID_Cliente": f"NUEVO-{number:03d}", "perfil": perfil, "historial": historial, "buro": buro}
+    return json.dumps({k: v for k, v in parts.items() if v is not None})
+
+
+def _movement(amount, currency, balance, frequency):
+    return {c.AMOUNT: amount, c.CURRENCY: currency, c.BALANCE: balance, c.FREQUENCY: frequency}
+
+
+# Complies; fails score and delinquency, in dollars; incomplete without history; only an id.
 DOCS = [
-    '{"ID_Cliente": "NUEVO-001", "perfil": {"Edad": 35, "Ingreso_Declarado": 32000, "Antiguedad_Laboral": 6, '
-    '"Tipo_Vivienda": "Propia"}, "historial": [{"Monto_Transaccion": 1800, "Moneda": "MXN", '
-    '"Saldo_Promedio_Mensual": 16000, "Frecuencia_Deposito": 5}, {"Monto_Transaccion": 950, "Moneda": "MXN", '
-    '"Saldo_Promedio_Mensual": 16000, "Frecuencia_Deposito": 3}], "buro": {"Score_Buro": 720, '
-    '"Creditos_Activos": 1, "Mantiene_Morosidad_Previa": "NO"}}',
-    '{"ID_Cliente": "NUEVO-002", "perfil": {"Edad": 52, "Ingreso_Declarado": 18000, "Antiguedad_Laboral": 20, '
-    '"Tipo_Vivienda": "Rentada"}, "historial": [{"Monto_Transaccion": 90, "Moneda": "USD", '
-    '"Saldo_Promedio_Mensual": 600, "Frecuencia_Deposito": 1}], "buro": {"Score_Buro": 560, '
-    '"Creditos_Activos": 5, "Mantiene_Morosidad_Previa": "SI"}}',
-    '{"ID_Cliente": "NUEVO-003", "perfil": {"Edad": 27, "Tipo_Vivienda": "Alquilada"}, "historial": [], '
-    '"buro": {"Score_Buro": 650, "Creditos_Activos": 2, "Mantiene_Morosidad_Previa": "No"}}',
-    '{"ID_Cliente": "NUEVO-004"}',
+    _document(1, {c.AGE: 41, c.INCOME: 27500.5, c.SENIORITY: 9, c.HOUSING: "PROPIA "},
+              [_movement(2100, "MXN", 12500, 6), _movement(730.25, None, 12500, 0),
+               _movement(140, "usd", 900, 2), _movement(2100, "MXN", 12500, 6)],
+              {c.SCORE: 688, c.CREDITS: 2, c.DELINQUENCY: "no"}),
+    _document(2, {c.AGE: 63, c.INCOME: 15250, c.SENIORITY: 31, c.HOUSING: "renta"},
+              [_movement(75, "USD", 410, 3)], {c.SCORE: 600, c.CREDITS: 4, c.DELINQUENCY: "Sí"}),
+    _document(3, {c.AGE: 22, c.HOUSING: "con familia"}, [], {c.SCORE: 701, c.CREDITS: 0, c.DELINQUENCY: "NO"}),
+    _document(4),
 ]
 
 
