@@ -5,29 +5,54 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aval import config as c
 from aval.errors import MissingPathError, ParseError, SourceNotFoundError, UnsupportedFormatError
-from aval.functions.values import nan_to_null, normalise_null_tokens
+from aval.functions.values import col, nan_to_null, normalise_null_tokens
 from aval.sources.workbook import read_workbooks
 
 CORRUPT = "_corrupt_record"
 
 
+def _permissive(spark: SparkSession, path: str, schema: T.StructType,
+                multiline: bool = False) -> DataFrame:
+    """Rows with their whole text in ``CORRUPT`` where the number of fields is not the header's."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.options(
+        header=True, mode="PERMISSIVE", escape='"', multiLine=multiline,
+        columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
+        columnPruning=False,  # otherwise the fields of a line are not all counted
+    ).schema(whole).csv(path)
+
+
+def _too_long(schema: T.StructType) -> Column:
+    """The line has more fields than the header; a line with fewer only lacks values."""
+    fields = ", ".join(f"f{i} string" for i in range(len(schema) + 1))
+    extra = F.from_csv(F.col(CORRUPT), fields, {"escape": '"'})[f"f{len(schema)}"]
+    return F.col(CORRUPT).isNotNull() & extra.isNotNull()
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              multiline: bool = False) -> DataFrame:
     """CSV with a header, as text; textual spellings of "missing" become NULL.
 
-    Malformed lines raise when the data is read. ``multiline`` allows line breaks inside
-    quotes, at the price of one task per file.
+    Lines with fewer fields than the header are completed with NULL; a line with more raises
+    when the data is read. ``multiline`` allows line breaks inside quotes, at the price of one
+    task per file.
     """
-    reader = spark.read.options(header=True, mode="FAILFAST", escape='"', multiLine=multiline)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return normalise_null_tokens(reader.csv(path))
+    if schema is None:
+        schema = spark.read.options(header=True, escape='"', multiLine=multiline).csv(path).schema
+    rows = _permissive(spark, path, schema, multiline)
+    # The message reads a second column because Spark refuses to read CORRUPT alone.
+    message = F.concat_ws(" ", F.lit("malformed line:"), CORRUPT,
+                          F.substring(col(schema[0].name), 1, 0))
+    checked = rows.filter(
+        F.when(_too_long(schema), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    )
+    return normalise_null_tokens(checked.drop(CORRUPT))
 
 
 def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType
@@ -37,13 +62,10 @@ def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType
     Malformed rows keep what could be parsed next to the whole text in ``linea``; Spark does
     not allow reading that text alone from the file.
     """
-    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.options(
-        header=True, mode="PERMISSIVE", escape='"', columnNameOfCorruptRecord=CORRUPT,
-        enforceSchema=True,
-    ).schema(whole).csv(path)
-    good = normalise_null_tokens(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "linea")
+    rows = _permissive(spark, path, schema)
+    malformed = F.coalesce(_too_long(schema), F.lit(False))
+    good = normalise_null_tokens(rows.filter(~malformed).drop(CORRUPT))
+    bad = rows.filter(malformed).withColumnRenamed(CORRUPT, "linea")
     return good, bad
 
 

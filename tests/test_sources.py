@@ -34,11 +34,21 @@ def test_malformed_csv(spark, tmp_path):
     path.write_text("a,b\n1,2\n3,4,5\n")
     with pytest.raises(ParseError):
         files.check_readable(files.load_source(spark, str(path)), str(path))
+    with pytest.raises(ParseError):  # noticed whichever columns are read
+        files.check_readable(files.load_source(spark, str(path)).select("a"), str(path))
     schema = spark.createDataFrame([], "a string, b string").schema
     good, bad = files.read_csv_quarantine(spark, str(path), schema)
     assert rows(good) == [("1", "2")] and rows(bad) == [("3", "4", "3,4,5")]
 
 
+def test_short_csv_lines_lack_values(spark, tmp_path):
+    path = tmp_path / "corto.csv"
+    path.write_text('a,b,c\n1,2\n"x, y",,4\n7,8,9\n')
+    df = files.load_source(spark, str(path))
+    assert rows(df) == sorted([("1", "2", None), ("x, y", None, "4"), ("7", "8", "9")], key=repr)
+    assert df.count() == 3 and rows(df.select("b")) == sorted([("2",), (None,), ("8",)], key=repr)
+
+
 def test_json_list_and_lines(spark, tmp_path):
     (tmp_path / "h.json").write_text('[{"ID_Cliente": "A", "x": 1.5}, {"ID_Cliente": "B", "x": null}]')
     assert rows(files.load_source(spark, str(tmp_path / "h.json"))) == [("A", 1.5), ("B", None)]
