@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,17 +15,17 @@ _LOCAL_FALLBACK: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one in local mode only.
+    """The folder named by ``spark.checkpoint.dir``; a temporary one in a single process only.
 
-    On a cluster a machine-local folder would be lost with its executor, so an unset setting
-    is an error there.
+    On a cluster, also one of several processes on one machine, a machine-local folder would be
+    lost with its executor, so an unset setting is an error there.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_KEY
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise PreparationError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FALLBACK:
@@ -32,12 +33,25 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[app]
 
 
-def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return the scan of it.
 
     This cuts the lineage before iterative work: a lost executor re-reads files instead of
     replaying the joins, and later stages still get column pruning and pushed-down filters.
+    The caller owns the table and may ``discard`` it once nothing reads it any more.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables that ``materialise`` returned; others are left alone."""
+    for df in stored:
+        path = getattr(df, "_stored_at", None)
+        if path:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
