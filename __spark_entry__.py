@@ -47,6 +47,15 @@ from aval.sources.applicants import (  # noqa: E402
 from aval.sources.derived import table  # noqa: E402
 from oracle_queries import FIXED_INTERCEPT, FIXED_WEIGHTS, statements  # noqa: E402
 
+try:  # the text operators may be left out of an installation
+    import corpus_pipeline
+    from aval.llm.oracle import ORACLES
+    from aval.llm.queries import QUERIES
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "aval.llm"):
+        raise
+    corpus_pipeline, ORACLES, QUERIES = None, {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
@@ -718,8 +727,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_REGISTRY)
+    text = dict(QUERIES)
+    if corpus_pipeline:
+        text["pipeline"] = corpus_pipeline.run
+    return {**_REGISTRY, **text}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, sql in statements().items() if name in _REGISTRY}
+    known = {name: sql for name, sql in statements().items() if name in _REGISTRY}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        known["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**known, **ORACLES}
