@@ -39,14 +39,14 @@ WITH sized AS (
   FROM sized
 ), bits AS (
   SELECT page_id, octet_length(payload) AS payload_bytes, first_id,
-    list_transform(range(32), k -> CAST(
+    list_transform(range(32), lambda k: CAST(
       CAST(('0x' || substr(hex, CAST(k * 5 // 4 + 1 AS BIGINT), 1)) AS INTEGER) * 16
       + CAST(('0x' || coalesce(nullif(substr(hex, CAST(k * 5 // 4 + 2 AS BIGINT), 1), ''), '0')) AS INTEGER)
       AS INTEGER) // CAST(power(2, 3 - (k * 5) % 4) AS INTEGER) % 32) AS fives
   FROM firsts
 )
 SELECT page_id, payload_bytes,
-  list_aggregate(list_transform(fives, v -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v + 1 AS BIGINT), 1)),
+  list_aggregate(list_transform(fives, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v + 1 AS BIGINT), 1)),
     'string_agg', '') AS payload_digest,
   CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to

@@ -1,7 +1,7 @@
 """Toxicity from confirmed toxic examples and unlabelled text, by non-negative PU learning.
 
-The features are words that are clearly more or less frequent among the confirmed examples than
-in unlabelled text. A numpy linear classifier minimises the risk estimate of positive-unlabelled
+The features are words, and beginnings of words, that are clearly more frequent among the
+confirmed examples than in unlabelled text. A numpy linear classifier minimises the risk estimate of positive-unlabelled
 data: prior * loss(positive as 1) + max(0, loss(unlabelled as 0) - prior * loss(positive as 0)),
 where the second term is the estimated loss on the unseen negatives and may not fall below zero.
 
@@ -13,7 +13,6 @@ Repeated documents are scored each; other columns are not read.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +22,8 @@ from pyspark.sql import functions as F
 from aval.llm.words import find_letters, per_text
 from aval.session import discard, materialise
 
+BEGINNINGS = (4, 5)
+
 
 @dataclass(frozen=True)
 class ToxicityModel:
@@ -30,28 +31,35 @@ class ToxicityModel:
     bias: float = -2.0
 
     def scorer(self):
-        names, weights = self.weights.keys(), self.weights
-        find = re.compile(r"[^\W\d_]+").findall
+        whole = {w: v for w, v in self.weights.items() if w[-1] != "*"}
+        begun = {n: {w[:-1]: v for w, v in self.weights.items() if w[-1] == "*" and len(w) == n + 1}
+                 for n in BEGINNINGS}
 
         def score(text: str | None) -> tuple[float]:
-            found = names & set(find((text or "").lower()))
-            margin = self.bias + sum(weights[w] for w in sorted(found))
+            words = set(find_letters((text or "").lower()))
+            margin = self.bias + sum(whole[w] for w in sorted(whole.keys() & words))
+            for size, weights in begun.items():
+                found = weights.keys() & {w[:size] for w in words if len(w) > size} if weights else ()
+                margin += sum(weights[w] for w in sorted(found))
             return (float(1 / (1 + np.exp(-min(max(margin, -60.0), 60.0)))),)
 
         return score
 
 
-def _distinct_words(text: str | None) -> tuple[list[str]]:
-    return (sorted(set(find_letters((text or "").lower()))),)
+def _features(text: str | None) -> tuple[list[str]]:
+    """Distinct words, and the beginnings of longer ones with a star."""
+    words = set(find_letters((text or "").lower()))
+    begun = {f"{w[:n]}*" for n in BEGINNINGS for w in words if len(w) > n}
+    return (sorted(words | begun),)
 
 
 def fit_nnpu(
     rows: np.ndarray, columns: np.ndarray, positive: np.ndarray, features: int, prior: float,
-    steps: int = 400, rate: float = 0.05, decay: float = 1e-3,
+    steps: int = 600, rate: float = 0.05, decay: float = 1e-4,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias from presence pairs (row, column); ``positive`` marks confirmed rows.
 
-    Sigmoid loss, Adam on the whole sample. Where the estimated loss on negatives is below zero
+    Sigmoid loss, Adam on the whole sample, weights kept at 0 or above. Where the estimated loss on negatives is below zero
     the step ascends that term instead, which stops it from overfitting.
     """
     p, u = positive, ~positive
@@ -75,19 +83,22 @@ def fit_nnpu(
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        theta[:-1] = np.maximum(theta[:-1], 0)
     return theta[:-1], float(theta[-1])
 
 
 def learn_toxicity(
     docs: DataFrame, labels: DataFrame, usable: Column, prior: float | None = None,
     max_positive: int = 3_000, max_unlabelled: int = 9_000, max_features: int = 2_000,
-    min_documents: int = 8, min_z: float = 5.0,
+    min_documents: int = 4, min_share: float = 0.01, min_z: float = 4.0,
 ) -> ToxicityModel:
     """Fit on at most ``max_positive`` confirmed and ``max_unlabelled`` unlabelled documents.
 
     Both are the documents with the smallest id hashes among those where ``usable`` holds, so the
     choice is repeatable and bounded at any size; scoring covers every text. ``prior`` is the
-    share of toxic documents, by default that among the labelled usable ones.
+    share of toxic documents, by default that among the labelled usable ones. A feature needs
+    ``min_documents`` confirmed examples, at least ``min_share`` of them, and a difference of
+    ``min_z`` standard errors.
     """
     known = labels.where(usable & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
@@ -108,7 +119,7 @@ def learn_toxicity(
         .unionByName(unlabelled.withColumn("positive", F.lit(False))))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by the limits
     words = materialise(
-        per_text(texts, ["positive"], "words array<string>", _distinct_words)
+        per_text(texts, ["positive"], "words array<string>", _features)
         .withColumn("row", F.monotonically_increasing_id()), "toxicity-words")
     sizes = words.agg(
         F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")).first()
@@ -121,8 +132,8 @@ def learn_toxicity(
     picked = (
         words.select("positive", F.explode("words").alias("word")).groupBy("word")
         .agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u"))
-        .where((F.col("p") + F.col("u") >= min_documents) & (pooled < 1))
-        .withColumn("z", F.abs(p - u) / spread).where(F.col("z") >= min_z)
+        .where((F.col("p") >= min_documents) & (p >= min_share) & (pooled < 1))
+        .withColumn("z", (p - u) / spread).where(F.col("z") >= min_z)
         .orderBy(F.desc("z"), "word").limit(max_features).collect())
     names = sorted(r["word"] for r in picked)
     wanted = F.array_intersect("words", F.array(*map(F.lit, names)).cast("array<string>"))
