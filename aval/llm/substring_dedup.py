@@ -308,7 +308,7 @@ def _apply(window: int, schema: StructType):
     return run
 
 
-def remove_repeated(docs: DataFrame, window: int = 20, shard_passages: int = 256) -> DataFrame:
+def remove_repeated(docs: DataFrame, window: int = 20, shard_passages: int = 64) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text``, the words that stay.
 
     Equal windows of ``window`` words are removed wherever they start later than somewhere else.
