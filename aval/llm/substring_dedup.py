@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -199,26 +200,47 @@ _PASSAGE = "anchor long, content long, doc_id long, start int, windows int, word
 _WINDOW = "anchor long, content long, doc_id long, start int, bit int, windowed long"
 
 
+def _flat(column: pa.Array, *names: str) -> list[np.ndarray]:
+    """The fields of a batch of struct lists as arrays, after the offsets of the lists."""
+    structs = column.flatten()
+    lengths = np.array([0 if n is None else n for n in pc.list_value_length(column).to_pylist()])
+    return [np.r_[0, np.cumsum(lengths)],
+            *(structs.field(n).to_numpy(zero_copy_only=False) for n in names)]
+
+
+def _same(spans: Spans, size: int, start, length, content) -> np.ndarray:
+    """Which stretches lie in the text and have the content."""
+    inside = start + length <= size
+    inside[inside] = spans.of(start[inside], length[inside]).view(np.int64) == content[inside]
+    return inside
+
+
 def _cut_passages(window: int):
     """The word strings of the wanted passages of each text; only those with the right content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
         for batch in batches:
-            out: list[tuple] = []
-            for doc, text, wanted in zip(*(batch.column(n) for n in ("doc_id", "text", "wanted"))):
+            wanted = batch.column("wanted")
+            ends, start, windows, content = _flat(wanted, "start", "windows", "content")
+            rows, places, texts = [], [], []
+            for row, text in enumerate(batch.column("text")):
                 words = find_words(text.as_py() or "")
-                spans, doc = Spans(table.of(words)), doc.as_py()
-                for w in wanted.as_py():
-                    start, size = w["start"], w["windows"] + window - 1
-                    if start + size <= len(words) and w["content"] == int(
-                            spans.of(np.array([start]), np.array([size])).view(np.int64)[0]):
-                        out.append((w["anchor"], w["content"], doc, start, w["windows"],
-                                    " ".join(words[start : start + size]), w["hot"]))
-            columns = list(zip(*out)) if out else [()] * 7
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.bool_())
+                mine = slice(ends[row], ends[row + 1])
+                first, length = start[mine].astype(np.int64), windows[mine] + window - 1
+                good = _same(Spans(table.of(words)), len(words), first, length, content[mine])
+                for at, size in zip(first[good].tolist(), length[good].tolist()):
+                    texts.append(" ".join(words[at : at + size]))
+                places.append(np.flatnonzero(good) + ends[row])
+                rows.append(np.full(len(places[-1]), row))
+            taken = pa.array(np.concatenate(places) if places else np.zeros(0, np.int64))
+            owner = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+            flat = wanted.flatten()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
+                [flat.field("anchor").take(taken), flat.field("content").take(taken),
+                 batch.column("doc_id").take(owner), flat.field("start").take(taken),
+                 flat.field("windows").take(taken), pa.array(texts, pa.string()),
+                 flat.field("hot").take(taken)],
                 ["anchor", "content", "doc_id", "start", "windows", "words", "hot"])
 
     return run
@@ -280,22 +302,19 @@ def _apply(window: int, schema: StructType):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
+        bits = np.arange(62)
         for batch in batches:
             counts, gone, texts = [], [], []
-            for text, removed in zip(batch.column("text"), batch.column("_removed")):
+            ends, start, windows, content, mask = _flat(
+                batch.column("_removed"), "start", "windows", "content", "mask")
+            for row, text in enumerate(batch.column("text")):
                 words = find_words(text.as_py() or "")
-                drop = None
-                if removed.is_valid and len(removed):
-                    rows = removed.as_py()
-                    start = np.array([r["start"] for r in rows])
-                    size = np.array([r["windows"] for r in rows]) + window - 1
-                    content = np.array([r["content"] for r in rows], np.int64)
-                    inside = start + size <= len(words)
-                    spans = Spans(table.of(words))
-                    inside[inside] = spans.of(start[inside], size[inside]).view(np.int64) == content[inside]
-                    places = [r["start"] + b for r, ok in zip(rows, inside) if ok
-                              for b in range(r["windows"]) if r["mask"] >> b & 1]
-                    drop = covered(np.array(places, np.int64), window, len(words))
+                drop, mine = None, slice(ends[row], ends[row + 1])
+                if ends[row + 1] > ends[row]:
+                    first, length = start[mine].astype(np.int64), windows[mine] + window - 1
+                    good = _same(Spans(table.of(words)), len(words), first, length, content[mine])
+                    passage, bit = np.nonzero(mask[mine][good][:, None] >> bits & 1)
+                    drop = covered(first[good][passage] + bit, window, len(words))
                 kept = words if drop is None else [w for w, d in zip(words, drop.tolist()) if not d]
                 counts.append(len(words))
                 gone.append(len(words) - len(kept))
