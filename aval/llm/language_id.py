@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aval.llm.words import find_letters, per_text
+from aval.llm.words import find_letters, hash_share, per_text
 from aval.session import discard, materialise
 
 UNDETERMINED = "und"
@@ -137,9 +137,8 @@ def learn_languages(
     share = F.lit(0.0)
     for lang in langs:
         share = F.when(F.col("lang") == lang, docs_per_language / sizes[lang]).otherwise(share)
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
     counts = (
-        labelled.where(place < share).select("lang", "text").mapInArrow(_count, _COUNTS)
+        labelled.where(hash_share(F.col("doc_id")) < share).select("lang", "text").mapInArrow(_count, _COUNTS)
         .groupBy("lang", "kind", "token").agg(F.sum("n").alias("n")))
     stored = materialise(counts, "language-counts")
     words = (stored.where("kind = 0 and n > 1").orderBy(F.desc("n"), "token", "lang")

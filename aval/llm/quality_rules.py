@@ -19,7 +19,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aval.llm.words import covered, find_words, numbered, per_text, window_ranks
+from aval.llm.words import (
+    covered,
+    find_words,
+    numbered,
+    per_text,
+    smallest_hashes,
+    window_ranks,
+)
 
 _SPACE = " \t\n\x0b\x0c\r"
 STATISTICS = (
@@ -174,11 +181,11 @@ def learn_rules(
     known = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.min(label).alias("_label")))
-    rows = (
-        statistics.join(known, "doc_id")
-        .select(*[c.alias(n) for n, c in features().items()], "_label",
-                F.xxhash64("doc_id").alias("_order"))
-        .orderBy("_order", "_label").limit(sample_rows).toPandas())
+    labelled = statistics.join(known, "doc_id")
+    sample = smallest_hashes(labelled, sample_rows, "_label", "n_words", "word_chars")
+    rows = sample.select(
+        *[c.alias(n) for n, c in features().items()], "_label", F.xxhash64("doc_id").alias("_order")
+    ).toPandas()
     bad = rows["_label"].to_numpy() == 0
     if not bad.any() or bad.all():
         return DecisionList()

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aval.llm.words import find_letters, per_text
+from aval.llm.words import find_letters, per_text, smallest_hashes
 from aval.session import discard, materialise
 
 BEGINNINGS = (4, 5)
@@ -108,12 +108,9 @@ def learn_toxicity(
     share = counts["toxic"] / counts["n"] if prior is None else prior
     share = min(max(share, 1e-4), 0.9)
 
-    def smallest(ids: DataFrame, limit: int) -> DataFrame:
-        return ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-
-    confirmed = smallest(known.where("toxic = 1").select("doc_id"), max_positive)
-    unlabelled = smallest(docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id"),
-                          max_unlabelled)
+    confirmed = smallest_hashes(known.where("toxic = 1").select("doc_id"), max_positive)
+    unlabelled = smallest_hashes(
+        docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id").distinct(), max_unlabelled)
     chosen = (
         confirmed.withColumn("positive", F.lit(True))
         .unionByName(unlabelled.withColumn("positive", F.lit(False))))

@@ -28,6 +28,23 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def hash_share(doc_id: Column) -> Column:
+    """A number from 0 to 1 that depends on the id only, evenly spread over ids."""
+    return F.shiftrightunsigned(F.xxhash64(doc_id), 11) / float(1 << 53)
+
+
+def smallest_hashes(rows: DataFrame, limit: int, *ties: str) -> DataFrame:
+    """The ``limit`` rows of ``rows`` (with ``doc_id``) whose ids have the smallest hashes.
+
+    Twice as many as needed pass a threshold on the hash first, so the sort behind it gets a bounded
+    number of rows however many partitions there are. Should the hashes of a small table fall so
+    unevenly that fewer pass, fewer are returned.
+    """
+    most = 2 * limit / max(rows.count(), 1)
+    near = rows if most >= 1 else rows.where(hash_share(F.col("doc_id")) < most)
+    return near.orderBy(hash_share(F.col("doc_id")), "doc_id", *ties).limit(limit)
+
+
 def per_text(
     df: DataFrame, keep: list[str], schema: str, work: Callable[[str | None], tuple], text: str = "text"
 ) -> DataFrame:
