@@ -116,7 +116,8 @@ def learn_toxicity(
         .unionByName(unlabelled.withColumn("positive", F.lit(False))))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by the limits
     words = materialise(
-        per_text(texts, ["positive"], "words array<string>", _features)
+        per_text(texts, ["doc_id", "positive"], "words array<string>", _features)
+        .dropDuplicates(["doc_id", "positive"])  # rows that repeat an id must not outgrow the limits
         .withColumn("row", F.monotonically_increasing_id()), "toxicity-words")
     sizes = words.agg(
         F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")).first()
