@@ -60,7 +60,7 @@ def source_targets(
 
 def mix_sources(
     docs: DataFrame, size: Column, weights: Sequence[int] = (5, 2, 1), total_share: float = 1.5,
-    most_epochs: int = 2, seed: int = 7, rows_per_range: int = 50_000,
+    most_epochs: int = 2, seed: int = 7, rows_per_range: int = 10_000,
 ) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``taken``.
 
