@@ -180,9 +180,17 @@ def _reader(folder: str, gap: int, most: int):
 
 
 def read_records(
-    index: DataFrame, folder: str, max_gap: int = 64 << 10, max_read: int = 4 << 20
+    index: DataFrame, folder: str, max_gap: int = 64 << 10, max_read: int = 4 << 20,
+    task_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """The records that ``index`` names, read in sorted byte ranges of up to ``max_read`` bytes."""
-    chosen = index.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    """The records that ``index`` names, read in sorted byte ranges of up to ``max_read`` bytes.
+
+    The index rows are small, but each stands for the bytes of its record: the number of tasks
+    follows those, ``task_bytes`` for each, and at least one task per core.
+    """
+    chosen = index.select("archive", "offset", "length")
+    total = chosen.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(-(-total // task_bytes), index.sparkSession.sparkContext.defaultParallelism)
+    chosen = chosen.repartitionByRange(tasks, "archive", "offset")
     return chosen.sortWithinPartitions("archive", "offset").mapInArrow(
         _reader(folder, max_gap, max_read), RECORD)
