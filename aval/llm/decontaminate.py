@@ -110,9 +110,9 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, list[str]]]
 
 def find_items(
     docs: DataFrame, benchmark: DataFrame, keep: list[str], error_rate: float = 0.1,
-    min_item_words: int = 5, block_items: int = 20_000,
+    min_item_words: int = 5, block_items: int = 20_000, result: str = "matches",
 ) -> DataFrame:
-    """``keep`` (with ``text`` last if wanted) and ``matches`` for every document.
+    """``keep`` and ``result`` (see ``MATCHES``), which replaces a column of that name.
 
     The items go to the tasks in blocks of ``block_items``, so what is broadcast is bounded by
     the block; every block is one more pass over the texts inside the same scan, without a shuffle.
@@ -120,9 +120,9 @@ def find_items(
     spark = docs.sparkSession
     known = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
         F.col("item_id").cast("long"), "text")
-    carried = [c for c in keep if c != "text"]
-    result = docs.select(
-        *carried, "text", F.array().cast(MATCHES).alias("matches"))
+    keep = [c for c in keep if c != result]
+    carried = [*(c for c in keep if c != "text"), "text"]
+    found = docs.select(*carried, F.array().cast(MATCHES).alias("_found"))
     for block in _blocks(known, block_items):
         long_enough = [item for item in block if len(item[1]) >= min_item_words]
         shared = spark.sparkContext.broadcast((long_enough, error_rate))
@@ -133,9 +133,6 @@ def find_items(
                 state["search"] = ItemSearch(*shared.value)
             return ([{"item_id": i, "distance": d} for i, d in state["search"].matches(text)],)
 
-        found = per_text(
-            result.select(*carried, F.col("text").alias("_kept"), "matches", "text"),
-            [*carried, "_kept", "matches"], f"_more {MATCHES}", work)
-        result = found.select(
-            *carried, F.col("_kept").alias("text"), F.concat("matches", "_more").alias("matches"))
-    return result.select(*keep, "matches")
+        found = per_text(found, [*carried, "_found"], f"_more {MATCHES}", work).select(
+            *carried, F.concat("_found", "_more").alias("_found"))
+    return found.select(*keep, F.col("_found").alias(result))

@@ -28,7 +28,8 @@ SOCIAL = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 SLASH_DATE = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 CARD = r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])"
-PATTERN = "|".join(f"(?:{p})" for p in (MAIL, ADDRESS, PHONE, SOCIAL, ISO_DATE, SLASH_DATE, CARD))
+_NUMBERS = "|".join(f"(?:{p})" for p in (ADDRESS, PHONE, SOCIAL, ISO_DATE, SLASH_DATE, CARD))
+PATTERN = f"(?:{MAIL})|(?=[0-9+(])(?:{_NUMBERS})"  # one look ahead rules most characters out
 
 # Days from 1900-01-01 to 2099-12-31, as a product.
 _DAYS_A, _DAYS_B = 319, 229

@@ -145,6 +145,8 @@ def learn_toxicity(
     return ToxicityModel(dict(zip(names, weights.tolist())), bias)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
-    """``keep`` and ``score`` for every whole text; a projection."""
-    return per_text(docs, keep, "score double", model.scorer())
+def score_toxicity(
+    docs: DataFrame, model: ToxicityModel, keep: list[str], result: str = "score"
+) -> DataFrame:
+    """``keep`` and ``result`` for every whole text; a projection."""
+    return per_text(docs, keep, f"`{result}` double", model.scorer())

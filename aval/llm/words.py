@@ -50,19 +50,22 @@ def per_text(
 ) -> DataFrame:
     """``keep`` columns and, per row, the values ``work(text)`` returns, named by ``schema``.
 
-    One Arrow batch is in memory at a time; texts are decoded one by one.
+    ``keep`` may have the text itself; a column with the name of a result is replaced by it. One
+    Arrow batch is in memory at a time; texts are decoded one by one.
     """
-    source = df.select(*keep, text)
     added = StructType.fromDDL(schema)
+    keep = [c for c in dict.fromkeys(keep) if c not in added.names]
+    source = df.select(*(c for c in keep if c != text), text)
+    at = {c: i for i, c in enumerate(source.columns)}
     arrow = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [work(value.as_py()) for value in batch.column(len(keep))]
+            rows = [work(value.as_py()) for value in batch.column(at[text])]
             columns = list(zip(*rows)) if rows else [()] * len(arrow)
             arrays = [pa.array(values, field.type) for values, field in zip(columns, arrow)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(keep))] + arrays, keep + arrow.names)
+                [batch.column(at[c]) for c in keep] + arrays, keep + arrow.names)
 
     return source.mapInArrow(run, StructType([source.schema[c] for c in keep] + added.fields))
 
