@@ -23,15 +23,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5; learned from the labels the toxicity query learns from."""
     model = toxicity.learn_toxicity(
         docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), remainder(F.col("doc_id"), 5) != 0)
-    scored = toxicity.score_toxicity(docs.withColumn("_text", F.col("text")), model, [
-        *(c for c in docs.columns if c != "text"), "_text"])
-    return scored.where("score < 0.5").withColumnRenamed("_text", "text").select(*docs.columns)
+    scored = toxicity.score_toxicity(docs, model, docs.columns, "_toxicity")
+    return scored.where("_toxicity < 0.5").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class, that with the smallest id.
 
-    Of rows that share this id, one stays. Classes without any id keep one row.
+    Of rows that share this id, one stays. Classes without any id keep one row. The row numbers
+    are those of the stored scan, which has the same order each time it is read.
     """
     marked = docs.withColumn("_row", F.monotonically_increasing_id())
     table = materialise(simhash.fingerprints(marked, ["doc_id", "_row"]), "fingerprints")
@@ -45,13 +45,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item within its error budget."""
     found = decontaminate.find_items(
-        docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), docs.columns)
-    return found.where(F.size("matches") == 0).select(*docs.columns)
+        docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), docs.columns, result="_matches")
+    return found.where(F.size("_matches") == 0).select(*docs.columns)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, personal values replaced by pseudonyms of the same format."""
-    return pii.pseudonymise(docs, PSEUDONYM_KEY)
+    """Every document, personal values replaced by pseudonyms of the same format.
+
+    ``n_chars`` follows the text, since addresses may change their length.
+    """
+    changed = pii.pseudonymise(docs, PSEUDONYM_KEY)
+    if "n_chars" not in docs.columns:
+        return changed
+    kind = docs.schema["n_chars"].dataType
+    return changed.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), "n_chars"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
