@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -37,7 +38,7 @@ from aval.operators.models import importances, top_importances  # noqa: E402
 from aval.plans import pipeline as pl  # noqa: E402
 from aval.plans import report as rp  # noqa: E402
 from aval.plans.scoring import Scorer, document_clients  # noqa: E402
-from aval.session import materialise  # noqa: E402
+from aval.session import materialise, shared_folder  # noqa: E402
 from aval.sources import derived as dv  # noqa: E402
 from aval.sources.applicants import (  # noqa: E402
     APPLICANT_SCHEMA,
@@ -45,6 +46,7 @@ from aval.sources.applicants import (  # noqa: E402
     with_default_ids,
 )
 from aval.sources.derived import table  # noqa: E402
+from aval.sources.files import load_source  # noqa: E402
 from oracle_queries import FIXED_INTERCEPT, FIXED_WEIGHTS, statements  # noqa: E402
 
 try:  # the text operators may be left out of an installation
@@ -436,6 +438,9 @@ def value_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Evaluation ----------------------------------------------------------------------------
 
 
+_MODEL_ORDER = [c.LOGISTIC, c.FOREST]
+
+
 def _scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two fixed scores per order, so the metric operators have an SQL counterpart."""
     scores = F.array(
@@ -486,7 +491,17 @@ def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("fewest_false_positives")
 def fewest_false_positives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mt.fewest_false_positives(mt.confusion(_scored_orders(spark, sf_dir), [c.MODEL]))
+    counts = mt.confusion(_scored_orders(spark, sf_dir), [c.MODEL])
+    return mt.fewest_false_positives(mt.with_position(counts, _MODEL_ORDER), mt.POSITION)
+
+
+@_query("fewest_false_positives_tied")
+def fewest_false_positives_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two models with the same predictions: the first trained one wins, whatever its name."""
+    scored = _scored_orders(spark, sf_dir).where(col(c.MODEL) == _MODEL_ORDER[0])
+    copy = scored.withColumn(c.MODEL, F.lit("A"))
+    counts = mt.confusion(scored.unionByName(copy), [c.MODEL])
+    return mt.fewest_false_positives(mt.with_position(counts, [_MODEL_ORDER[0], "A"]), mt.POSITION)
 
 
 @_query("fold_summary")
@@ -643,6 +658,15 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select(F.col(c.SEQ).alias("seq"), c.ID, c.AGE, c.HOUSING)
 
 
+@_query("json_lines_orders")
+def json_lines_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as JSON Lines to the shared folder and read back with the layout recognised."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}.jsonl"
+    orders.write.json(path)
+    return load_source(spark, path, schema=orders.schema)
+
+
 # --- Queries that fit models: no SQL form --------------------------------------------------
 
 _FITTED: dict[tuple[str, str], tuple[pl.Trained, pl.Evaluation]] = {}

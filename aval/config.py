@@ -106,13 +106,15 @@ class PreparationConfig:
 
     ``exact_median_rows`` is the largest non-missing count for which Spark's one-buffer exact
     ``median`` is used; above it the same exact value is found by narrowing a quantile bracket.
-    ``max_categories`` stops a one-hot encoding that would not fit as columns.
+    ``max_categories`` stops a one-hot encoding that would not fit as columns, ``max_classes`` a
+    label with that many values, which is no class.
     """
 
     test_size: float = 0.2
     seed: int = 42
     exact_median_rows: int = 1_000_000
     max_categories: int = 1_000
+    max_classes: int = 1_000
 
 
 @dataclass(frozen=True)
@@ -134,17 +136,17 @@ class TrainingConfig:
 class EvaluationConfig:
     """Cross-validation and silhouette settings.
 
-    The Euclidean silhouette needs every pair of rows. ``"auto"`` uses it up to
-    ``euclidean_rows`` rows and beyond that the linear squared-Euclidean one, over all rows;
-    the result names the metric. Both can be asked for by name.
+    ``silhouette_metric`` holds at every number of rows: ``"squaredEuclidean"`` takes linear
+    time, ``"euclidean"`` needs every pair of rows. ``max_segments`` bounds the clusters a
+    silhouette is measured over, of which it keeps one row each.
     """
 
     folds: int = 5
     seed: int = 42
     segment_counts: tuple[int, ...] = (2, 3, 4, 5)
     silhouette_block: int = 2_000
-    silhouette_metric: str = "auto"
-    euclidean_rows: int = 100_000
+    silhouette_metric: str = "squaredEuclidean"
+    max_segments: int = 1_000
     parallel_fits: int = 8
 
 

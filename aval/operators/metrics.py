@@ -74,13 +74,17 @@ def score_steps(df: DataFrame, label: str = c.TARGET, score: str = c.PROBABILITY
     The running totals of a ranking normally need one ordered task per model. Scores are cut
     at their quantiles instead; totals per bucket are cumulated over a table of at most
     models x buckets rows, and each bucket is then ordered on its own. Equal scores are
-    counted together first, so a score shared by most rows is one row here.
+    counted together first, so a score shared by most rows is one row here. A missing score or
+    label is an error: leaving the row out would change the area silently.
     """
     # A cut list of this length stays a small literal at any number of rows.
     buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(max(buckets, 2), 5_000)
-    scored = df.filter(col(score).isNotNull()).select(
-        col(model).alias("m"), col(score).cast("double").alias("s"),
+    unranked = F.raise_error(F.lit("every row needs a label and a score to be ranked"))
+    absent = col(label).isNull() | col(score).isNull()
+    scored = df.select(
+        col(model).alias("m"),
+        F.when(absent, unranked.cast("double")).otherwise(col(score).cast("double")).alias("s"),
         col(label).alias("y"),
     )
     scored = _bucketed(scored, "s", _score_cuts(scored, "s", buckets), "b")
@@ -176,6 +180,15 @@ def confusion_cells(metrics: DataFrame, model: str = c.MODEL) -> DataFrame:
     ])))
 
 
+POSITION = "posicion"
+
+
+def with_position(df: DataFrame, names: list[str], model: str = c.MODEL) -> DataFrame:
+    """Add the place of each model in ``names``, the order of training: it decides ties."""
+    places = F.array(*map(F.lit, names)).cast("array<string>")
+    return df.withColumn(POSITION, F.array_position(places, F.col(model)))
+
+
 def fewest_false_positives(metrics: DataFrame, position: str | None = None,
                            model: str = c.MODEL) -> DataFrame:
     """The model with the fewest false positives; the first one on a tie."""

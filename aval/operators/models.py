@@ -6,13 +6,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (
-    LogisticRegression,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,12 +44,6 @@ def random_forest(rows: int, config: c.TrainingConfig) -> RandomForestClassifier
 #: Name -> function(rows, config) -> Estimator. Add an entry to train another MLlib classifier.
 CLASSIFIERS = {c.LOGISTIC: logistic_regression, c.FOREST: random_forest}
 
-_LOADERS = {
-    "LogisticRegressionModel": LogisticRegressionModel,
-    "RandomForestClassificationModel": RandomForestClassificationModel,
-}
-
-
 @dataclass
 class Classifiers:
     """Fitted classifiers over the same variables."""
@@ -104,10 +94,12 @@ class Classifiers:
             model.write().overwrite().save(f"{path}/model-{i}")
 
     @staticmethod
-    def load(path: str, names: list[str], kinds: list[str], variables: list[str]) -> "Classifiers":
+    def load(path: str, names: list[str], variables: list[str]) -> "Classifiers":
+        """Any saved MLlib classifier: its own metadata name the class."""
+        session = SparkSession.getActiveSession()
         models = {
-            name: _LOADERS[kind].load(f"{path}/model-{i}")
-            for i, (name, kind) in enumerate(zip(names, kinds))
+            name: DefaultParamsReader.loadParamsInstance(f"{path}/model-{i}", session)
+            for i, name in enumerate(names)
         }
         return Classifiers(variables, models)
 

@@ -186,7 +186,7 @@ def compare_quality(before: QualityReport, after: QualityReport) -> DataFrame:
 def missing_by_stage(before: QualityReport, after: QualityReport) -> DataFrame:
     """Report table: missing values per column and stage, for columns missing at either."""
     table = compare_quality(before, after).filter(F.col("indicador").startswith(MISSING_PREFIX))
-    name = F.substring(F.col("indicador"), len(MISSING_PREFIX) + 1, 1_000_000)
+    name = F.substr(F.col("indicador"), F.lit(len(MISSING_PREFIX) + 1))
     return _by_stage(table.withColumn("columna", name), "columna", "faltantes")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from aval import config as c
 from aval.errors import EvaluationError, InvalidTrainingDataError
 from aval.functions.values import col
+from aval.session import materialise
 from aval.operators.features import assemble, check_inputs
 
 
@@ -121,8 +122,28 @@ def fit_segments(train: DataFrame, variables: list[str], k: int = 3, starts: int
 # --- Silhouette ----------------------------------------------------------------------------
 
 
+def _measurable(df: DataFrame, vector: str, segment: str, key: str) -> DataFrame:
+    """Rows of a cluster as ``(id, s, v)``; a missing vector or value raises when read."""
+    values = col(vector).cast("array<double>")
+    broken = values.isNull() | F.exists(values, lambda x: x.isNull() | F.isnan(x))
+    absent = F.raise_error(F.lit("a silhouette needs a complete vector in every row"))
+    return df.select(
+        col(key).alias("id"), col(segment).cast("int").alias("s"),
+        F.when(broken, absent.cast("array<double>")).otherwise(values).alias("v"),
+    ).filter(F.col("s").isNotNull())
+
+
+def _cluster_sizes(rows: DataFrame, max_segments: int) -> dict[int, int]:
+    counted = rows.groupBy("s").agg(F.count(F.lit(1)).alias("n")).limit(max_segments + 1).collect()
+    if len(counted) > max_segments:
+        raise EvaluationError(f"more than {max_segments} clusters: the column holds no segments")
+    if len(counted) < 2:
+        raise EvaluationError("a silhouette needs at least two clusters")
+    return {r["s"]: r["n"] for r in counted}
+
+
 def silhouette_euclidean(df: DataFrame, vector: str, segment: str, key: str,
-                         block: int = 2_000) -> DataFrame:
+                         block: int = 2_000, max_segments: int = 1_000) -> DataFrame:
     """Exact Euclidean silhouette of every row: ``(key, segment, silueta)``.
 
     Euclidean distances have no closed form over a cluster, so all pairs are needed. Rows are
@@ -130,43 +151,45 @@ def silhouette_euclidean(df: DataFrame, vector: str, segment: str, key: str,
     one task; a task returns one sum per row and cluster, never pairs. Cost is quadratic,
     memory per task is not: it is two blocks. ``silhouette_squared`` is the linear variant.
     """
-    rows = df.select(
-        col(key).alias("id"), col(segment).cast("int").alias("s"),
-        col(vector).cast("array<double>").alias("v"),
-    ).filter(F.col("s").isNotNull())
-    n = rows.count()
+    rows = materialise(_measurable(df, vector, segment, key).withColumn(
+        "r", F.monotonically_increasing_id()), "silhouette-rows")
+    sizes = _cluster_sizes(rows, max_segments)
+    n = sum(sizes.values())
     blocks = max(1, math.ceil(n / block))
-    sized = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    # By row number, so that repeated and missing ids are rows like others.
+    sized = rows.withColumn("b", F.pmod(F.xxhash64("r"), F.lit(blocks)).cast("int"))
     numbers = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = sized.select("id", "s", "v", F.col("b").alias("bl"), F.explode(numbers).alias("br"))
-    right = sized.select("s", "v", F.col("b").alias("br"), F.explode(numbers).alias("bl"))
+    left = sized.select("r", "id", "s", "v", F.col("b").alias("bl"), F.explode(numbers).alias("br"))
+    right = sized.select(F.col("s").alias("other_s"), F.col("v").alias("other_v"),
+                         F.col("b").alias("br"), F.explode(numbers).alias("bl"))
 
     def distances(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "s": [], "t": [], "total": []})
-        x, y = np.stack(a["v"].to_numpy()), np.stack(b["v"].to_numpy())
+            return pd.DataFrame({"r": [], "id": [], "s": [], "t": [], "total": []})
+        x, y = np.stack(a["v"].to_numpy()), np.stack(b["other_v"].to_numpy())
         parts = []
-        for t in np.unique(b["s"].to_numpy()):
-            other = y[b["s"].to_numpy() == t]
+        for t in np.unique(b["other_s"].to_numpy()):
+            other = y[b["other_s"].to_numpy() == t]
             total = np.zeros(len(x))
             # A slice of the other block at a time bounds the difference matrix.
             step = max(1, 4_000_000 // (len(x) * x.shape[1]))
             for start in range(0, len(other), step):
                 gap = x[:, None, :] - other[None, start:start + step, :]
                 total += np.sqrt((gap * gap).sum(axis=2)).sum(axis=1)
-            parts.append(pd.DataFrame({"id": a["id"], "s": a["s"], "t": t, "total": total}))
+            parts.append(pd.DataFrame(
+                {"r": a["r"], "id": a["id"], "s": a["s"], "t": t, "total": total}))
         return pd.concat(parts, ignore_index=True)
 
     id_type = df.schema[key].dataType.simpleString()
     sums = (
         left.groupBy("bl", "br").cogroup(right.groupBy("bl", "br"))
-        .applyInPandas(distances, f"id {id_type}, s int, t int, total double")
-        .groupBy("id", "s", "t").agg(F.sum("total").alias("total"))
+        .applyInPandas(distances, f"r long, id {id_type}, s int, t int, total double")
+        .groupBy("r", "id", "s", "t").agg(F.sum("total").alias("total"))
     )
-    # One row per cluster: its size.
-    sizes = rows.groupBy(F.col("s").alias("t")).agg(F.count(F.lit(1)).alias("size"))
+    # One row per cluster, at most ``max_segments``.
+    size_rows = df.sparkSession.createDataFrame(sorted(sizes.items()), "t int, size long")
     own = F.col("s") == F.col("t")
-    per_row = sums.join(sizes, "t").groupBy("id", "s").agg(
+    per_row = sums.join(F.broadcast(size_rows), "t").groupBy("r", "id", "s").agg(
         F.max(F.when(own, F.col("size"))).alias("own_size"),
         F.max(F.when(own, F.try_divide(F.col("total"), F.col("size") - 1))).alias("a"),
         F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b"),
@@ -183,17 +206,16 @@ def _silhouette_value(per_row: DataFrame, key: str, segment: str) -> DataFrame:
     )
 
 
-def silhouette_squared(df: DataFrame, vector: str, segment: str, key: str) -> DataFrame:
+def silhouette_squared(df: DataFrame, vector: str, segment: str, key: str,
+                       max_segments: int = 1_000) -> DataFrame:
     """Silhouette of every row under squared Euclidean distance, in linear time.
 
     The mean squared distance from a row to a cluster follows from the cluster's size, mean
     vector and mean squared norm: one aggregation, then a projection against one row per
     cluster. It is a different number from the Euclidean silhouette.
     """
-    rows = df.select(
-        col(key).alias("id"), col(segment).cast("int").alias("s"),
-        col(vector).cast("array<double>").alias("v"),
-    ).filter(F.col("s").isNotNull())
+    rows = _measurable(df, vector, segment, key)
+    _cluster_sizes(rows, max_segments)
     norm = F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x)
     moments = (
         rows.withColumn("q", norm)
@@ -205,8 +227,6 @@ def silhouette_squared(df: DataFrame, vector: str, segment: str, key: str) -> Da
     for r in moments:
         entry = clusters.setdefault(r["s"], {"n": r["n"], "q": r["q"], "m": {}})
         entry["m"][r["i"]] = r["m"]
-    if len(clusters) < 2:
-        raise EvaluationError("a silhouette needs at least two clusters")
     parts = []
     for s, e in sorted(clusters.items()):
         mean = F.array(*[F.lit(e["m"][i]) for i in range(len(e["m"]))])
@@ -242,7 +262,7 @@ def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
     config = config or c.EvaluationConfig()
     training = training or c.TrainingConfig()
     n = train.count()
-    metric = silhouette_metric(n, config)
+    metric = config.silhouette_metric
     spark = train.sparkSession
     rows = []
     for k in config.segment_counts:
@@ -266,14 +286,7 @@ def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
 EUCLIDEAN, SQUARED = "euclidean", "squaredEuclidean"
 
 
-def silhouette_metric(rows: int, config: c.EvaluationConfig) -> str:
-    """The metric that the configuration asks for at this number of rows."""
-    if config.silhouette_metric != "auto":
-        return config.silhouette_metric
-    return EUCLIDEAN if rows <= config.euclidean_rows else SQUARED
-
-
-def model_silhouette(df: DataFrame, model: SegmentModel, key: str, metric: str = EUCLIDEAN,
+def model_silhouette(df: DataFrame, model: SegmentModel, key: str, metric: str = SQUARED,
                      block: int = 2_000) -> float:
     """Mean silhouette of the model's segments over ``df``."""
     vector = F.array(*[col(n).cast("double") for n in model.variables])
@@ -288,14 +301,19 @@ def model_silhouette(df: DataFrame, model: SegmentModel, key: str, metric: str =
 
 
 def with_suggestion(table: DataFrame, thresholds: c.ChartThresholds | None = None) -> DataFrame:
-    """Mark the k with the highest silhouette (smallest on a tie) and name the structure."""
+    """Mark the k with the highest silhouette (smallest on a tie) and name the structure.
+
+    The limits of the structure levels are meant for the Euclidean silhouette; under another
+    ``metrica`` the structure has no name.
+    """
     thresholds = thresholds or c.ChartThresholds()
     best = table.agg(
         F.max_by("k", F.struct("silueta", -F.col("k"))).alias("k")
     ).withColumn("sugerido", F.lit(True))
     # The names of the structure levels.
     strength = (
-        F.when(F.col("silueta") >= thresholds.strong_silhouette, "fuerte")
+        F.when(F.col("metrica") != EUCLIDEAN, None)
+        .when(F.col("silueta") >= thresholds.strong_silhouette, "fuerte")
         .when(F.col("silueta") >= thresholds.moderate_silhouette, "moderada")
         .otherwise("débil")
     )

@@ -15,7 +15,6 @@ from aval.functions.values import col
 
 #: Rows that one task may have to sort when a cut is located.
 _ROWS_PER_BUCKET = 1_000_000
-_MAX_CLASSES = 1_000
 
 
 def split_key(id_column: Column, seed: int) -> Column:
@@ -23,14 +22,17 @@ def split_key(id_column: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), id_column.cast("string")))
 
 
-def class_counts(df: DataFrame, label: str) -> dict:
+def class_counts(df: DataFrame, label: str,
+                 max_classes: int = c.PreparationConfig.max_classes) -> dict:
     """Rows per class. The driver receives one row per class, so a column with more than
-    ``_MAX_CLASSES`` values (an id, a measurement) is refused as a label."""
+    ``max_classes`` values (an id, a measurement) is refused as a label, as is a missing one."""
     counted = df.groupBy(col(label).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counted.limit(_MAX_CLASSES + 1).collect()
-    if len(rows) > _MAX_CLASSES:
-        raise PreparationError(f"'{label}' has more than {_MAX_CLASSES} values: it is not a class")
-    return {r["k"]: r["n"] for r in sorted(rows, key=lambda r: (r["k"] is None, r["k"]))}
+    rows = counted.limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise PreparationError(f"'{label}' has more than {max_classes} values: it is not a class")
+    if any(r["k"] is None for r in rows):
+        raise PreparationError(f"'{label}' is missing in some rows: they belong to no class")
+    return {r["k"]: r["n"] for r in sorted(rows, key=lambda r: r["k"])}
 
 
 def keys_at_ranks(df: DataFrame, label: str, key: Column,
@@ -82,12 +84,14 @@ def quotas_for_test(counts: dict, test_size: float) -> dict:
 
 
 def stratified_split(df: DataFrame, label: str = c.TARGET, key: str = c.ID,
-                     test_size: float = 0.2, seed: int = 42) -> DataFrame:
+                     test_size: float = 0.2, seed: int = 42,
+                     max_classes: int = c.PreparationConfig.max_classes) -> DataFrame:
     """Add ``split``: exactly the class's quota of rows, in pseudo-random order, is ``test``.
 
-    Learning the cuts takes two aggregations; applying them is a projection.
+    Learning the cuts takes two aggregations; applying them is a projection. Ids must be unique:
+    rows that share one always fall on the same side, so repeated ids can exceed the quota.
     """
-    counts = class_counts(df, label)
+    counts = class_counts(df, label, max_classes)
     for value, n in counts.items():
         if n < 2:
             raise PreparationError(

@@ -120,7 +120,8 @@ def prepare(clients: DataFrame, config: c.PipelineConfig | None = None) -> Prepa
     if stored.isEmpty():
         raise PreparationError("cannot prepare model inputs: the table is empty")
     options = config.preparation
-    divided = stratified_split(stored, test_size=options.test_size, seed=options.seed)
+    divided = stratified_split(stored, test_size=options.test_size, seed=options.seed,
+                               max_classes=options.max_classes)
     features = fit_features(divided, options, {c.CURRENCY: SINGLE_CURRENCY})
     return Prepared(divided, features, features.transform(divided))
 
@@ -167,6 +168,11 @@ class Evaluation:
     model_silhouette: float
     profiles: DataFrame
 
+    def close(self) -> None:
+        """Release the tables kept in memory; they can still be read."""
+        for table in (self.predictions, self.metrics, self.silhouette, self.profiles):
+            table.unpersist()
+
 
 def evaluate(trained: Trained, config: c.PipelineConfig | None = None,
              classifiers: dict | None = None) -> Evaluation:
@@ -183,24 +189,26 @@ def evaluate(trained: Trained, config: c.PipelineConfig | None = None,
         summary = materialise(mt.fold_summary(folds), "cross-validation")
         silhouette = sg.silhouette_by_k(rows, variables, c.ID, options, config.training,
                                         config.charts, trained.segmentation).persist()
-        same = silhouette.filter(F.col("k") == trained.segmentation.k).first()
-        own = same["silueta"] if same else sg.model_silhouette(
-            rows, trained.segmentation, c.ID, sg.silhouette_metric(rows.count(), options),
-            options.silhouette_block)
+        own = sg.model_silhouette(rows, trained.segmentation, c.ID, options.silhouette_metric,
+                                  options.silhouette_block)
     finally:
         rows.unpersist()
+    names = list(trained.classifiers.models)
     comparison = mt.compare_models(metrics, summary)
     return Evaluation(
         predictions, metrics, summary, comparison,
-        mt.recommend(comparison, thresholds=config.charts),
+        mt.recommend(mt.with_position(comparison, names), position=mt.POSITION,
+                     thresholds=config.charts),
         importances(trained.classifiers, prepared.table.sparkSession), silhouette, own,
         sg.segment_profiles(trained.segments, variables, prepared.features.scaling).persist(),
     )
 
 
 def run(profile: DataFrame, history: DataFrame, bureau: DataFrame,
-        config: c.PipelineConfig | None = None) -> tuple[Trained, Evaluation]:
-    """The whole pipeline from raw sources."""
+        config: c.PipelineConfig | None = None, classifiers: dict | None = None
+        ) -> tuple[Trained, Evaluation]:
+    """The whole pipeline from raw sources, with other ``classifiers`` if given."""
     config = config or c.PipelineConfig()
-    trained = train(prepare(client_rows(profile, history, bureau, config), config), config)
-    return trained, evaluate(trained, config)
+    prepared = prepare(client_rows(profile, history, bureau, config), config)
+    trained = train(prepared, config, classifiers)
+    return trained, evaluate(trained, config, classifiers)

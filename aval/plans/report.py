@@ -66,7 +66,8 @@ def model_tables(trained: Trained, evaluation: Evaluation,
         "comparacion": evaluation.comparison,
         "recomendacion": evaluation.recommendation,
         "matriz_confusion": mt.confusion_cells(evaluation.metrics),
-        "menos_falsos_positivos": mt.fewest_false_positives(evaluation.metrics),
+        "menos_falsos_positivos": mt.fewest_false_positives(
+            mt.with_position(evaluation.metrics, list(trained.classifiers.models)), mt.POSITION),
         "curva_roc": mt.roc_points(evaluation.predictions),
         "importancia": evaluation.importances,
         "importancia_principales": top_importances(evaluation.importances),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +23,7 @@ CORRUPT = "_corrupt_record"
 def _permissive(spark: SparkSession, path: str, schema: T.StructType,
                 multiline: bool = False) -> DataFrame:
     """Rows with their whole text in ``CORRUPT`` where the number of fields is not the header's."""
-    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    whole = with_corrupt(schema)
     return spark.read.options(
         header=True, mode="PERMISSIVE", escape='"', multiLine=multiline,
         columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
@@ -69,22 +72,78 @@ def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType
     return good, bad
 
 
+def json_is_lines(spark: SparkSession, path: str) -> bool:
+    """Whether JSON at ``path`` is read as one record per line.
+
+    Folders, globs and the extensions of JSON Lines are. A single other file is if its first
+    line with text holds a whole value.
+    """
+    if _extension(path) != "json" or "*" in path:
+        return True
+    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
+    try:
+        json.loads(first[0][0] if first else "{}")
+    except ValueError:
+        return False
+    return True
+
+
+def _values_beyond_the_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for text in batch.column(0):
+            whole = text.as_py().lstrip("\ufeff \t\r\n")
+            try:
+                _, end = json.JSONDecoder().raw_decode(whole)
+            except ValueError:
+                continue  # the reader reports what cannot be parsed
+            if whole[end:].strip():
+                yield pa.RecordBatch.from_arrays([pa.array([whole[end:end + 80]])], ["rest"])
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
-              lines: bool = False) -> DataFrame:
-    """A JSON list of records, or one record per line (``lines``), which can be split."""
+              lines: bool | None = None) -> DataFrame:
+    """One record per line (``lines``), which can be split, or a JSON list or object per file.
+
+    Without ``lines`` the layout is recognised. A file of one value is one task; one that goes on
+    after its first value is an error, since the reader would drop the rest silently.
+    """
+    lines = json_is_lines(spark, path) if lines is None else lines
+    if not lines:
+        texts = spark.read.text(path, wholetext=True)
+        rest = texts.mapInArrow(_values_beyond_the_first, "rest string").limit(1).collect()
+        if rest:
+            raise ParseError(f"'{path}' holds more than one value: {rest[0][0]!r}")
     reader = spark.read.options(mode="FAILFAST", multiLine=not lines)
     if schema is not None:
         reader = reader.schema(schema)
     return nan_to_null(reader.json(path))
 
 
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def parsed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per line (``value``) with text; ``CORRUPT`` has those that are no such record."""
+    record = F.from_json("value", with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
+    return lines.filter(F.trim("value") != "").select(record.alias("r")).select("r.*")
+
+
+def read_json_quarantine(spark: SparkSession, path: str, schema: T.StructType
+                         ) -> tuple[DataFrame, DataFrame]:
+    """``(good rows, malformed lines)`` of JSON Lines; malformed text is in ``linea``."""
+    rows = parsed_lines(spark.read.text(path), schema)
+    good = nan_to_null(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    return good, rows.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "linea")
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return nan_to_null(reader.parquet(path))
 
 
 #: Extension -> reader. Add an entry to support another format.
-READERS = {"csv": read_csv, "json": read_json, "xlsx": read_workbooks, "parquet": read_parquet}
+READERS = {"csv": read_csv, "json": read_json, "jsonl": read_json, "xlsx": read_workbooks, "parquet": read_parquet}
 
 
 def _extension(path: str) -> str:

@@ -94,3 +94,16 @@ def test_fold_summary_uses_population_deviation(spark):
     row = mt.fold_summary(df).first()
     assert (row["exactitud_cv"], row["exactitud_cv_std"]) == (0.75, 0.25)
     assert (row["precision_cv"], row["recall_cv_std"]) == (0.5, 0.5)
+
+
+def test_missing_scores_and_labels_are_an_error(spark):
+    for row in ((1, 1, None), (None, 1, 0.5)):
+        df = frame(spark, "a", [(1, 1, 0.9), (0, 0, 0.1), row])
+        with pytest.raises(Exception, match="label and a score"):
+            mt.auc(df).collect()
+
+
+def test_ties_go_to_the_model_trained_first(spark):
+    df = frame(spark, "z", [(1, 1, 0.9), (0, 1, 0.8)]).union(frame(spark, "a", [(1, 1, 0.9), (0, 1, 0.8)]))
+    placed = mt.with_position(mt.classification_metrics(df), ["z", "a"])
+    assert mt.fewest_false_positives(placed, mt.POSITION).first()["modelo"] == "z"

@@ -55,13 +55,6 @@ def test_squared_silhouette_equals_brute_force(cloud):
         sg.silhouette_squared(df.filter("segmento = 0"), "v", "segmento", "id")
 
 
-def test_metric_follows_the_number_of_rows():
-    config = c.EvaluationConfig(euclidean_rows=10)
-    assert sg.silhouette_metric(10, config) == sg.EUCLIDEAN
-    assert sg.silhouette_metric(11, config) == sg.SQUARED
-    assert sg.silhouette_metric(11, c.EvaluationConfig(silhouette_metric="euclidean")) == sg.EUCLIDEAN
-
-
 @pytest.fixture(scope="module")
 def groups(spark):
     return spark.range(90).selectExpr(
@@ -87,7 +80,8 @@ def test_segments_recover_groups_and_assign_the_nearest(spark, groups, tmp_path)
 
 
 def test_silhouette_by_k_marks_model_and_suggestion(groups):
-    config = c.EvaluationConfig(segment_counts=(2, 3, 90), silhouette_block=40)
+    config = c.EvaluationConfig(segment_counts=(2, 3, 90), silhouette_block=40,
+                                silhouette_metric="euclidean")
     training = c.TrainingConfig(segment_starts=2)
     rows = {r["k"]: r for r in sg.silhouette_by_k(groups, ["x", "y"], "id", config, training).collect()}
     assert set(rows) == {2, 3}  # k must stay below the number of rows
@@ -96,7 +90,10 @@ def test_silhouette_by_k_marks_model_and_suggestion(groups):
 
 
 def test_suggestion_takes_the_smallest_k_on_a_tie(spark):
-    table = spark.createDataFrame([(2, 0.3), (3, 0.5), (4, 0.5), (5, 0.1)], "k int, silueta double")
+    plain = spark.createDataFrame([(2, 0.3), (3, 0.5), (4, 0.5), (5, 0.1)], "k int, silueta double")
+    squared = sg.with_suggestion(plain.selectExpr("*", "'squaredEuclidean' AS metrica")).collect()
+    assert {r["estructura"] for r in squared} == {None}  # the limits are Euclidean
+    table = plain.selectExpr("*", "'euclidean' AS metrica")
     rows = {r["k"]: r for r in sg.with_suggestion(table).collect()}
     assert [k for k, r in rows.items() if r["sugerido"]] == [3]
     assert [rows[k]["estructura"] for k in (2, 3, 5)] == ["moderada", "fuerte", "débil"]
@@ -124,3 +121,17 @@ def test_plane_equals_the_eigen_decomposition(spark):
         expected = (x - x.mean(axis=0)) @ vectors[:, order[j]]
         assert np.allclose(np.abs(scores[:, j]), np.abs(expected))
         assert max(plane.components[j], key=abs) > 0
+
+
+@pytest.mark.parametrize("measure", [sg.silhouette_euclidean, sg.silhouette_squared])
+def test_silhouette_edge_cases(spark, measure):
+    rows = [(1, 0, [0.0]), (1, 0, [1.0]), (None, 1, [9.0]), (1, 1, [8.0])]
+    df = spark.createDataFrame(rows, "id long, segmento int, v array<double>")
+    assert measure(df, "v", "segmento", "id").count() == 4  # repeated ids stay rows
+    with pytest.raises(EvaluationError):
+        measure(df.filter("segmento = 0"), "v", "segmento", "id")
+    with pytest.raises(EvaluationError):
+        measure(df, "v", "segmento", "id", max_segments=1)
+    broken = df.union(spark.createDataFrame([(5, 1, None)], df.schema))
+    with pytest.raises(Exception, match="complete vector"):
+        measure(broken, "v", "segmento", "id").collect()

@@ -25,7 +25,7 @@ def test_loading_errors_in_order(spark, tmp_path):
     with pytest.raises(SourceNotFoundError):
         files.load_source(spark, str(tmp_path / "nada.txt"))
     (tmp_path / "datos.txt").write_text("x")
-    with pytest.raises(UnsupportedFormatError, match="csv, json, parquet, xlsx"):
+    with pytest.raises(UnsupportedFormatError, match="csv, json, jsonl, parquet, xlsx"):
         files.load_source(spark, str(tmp_path / "datos.txt"))
 
 
@@ -127,3 +127,37 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "pq")).filter("k = 'a'").first()["v"] == 1
     with pytest.raises(UnsupportedFormatError):
         files.write_table(df, str(tmp_path / "x"), "xml")
+
+
+def test_json_lines_are_recognised(spark, tmp_path):
+    lines = "\n".join('{"a": %d}' % i for i in range(5))
+    for name in ("x.json", "x.jsonl", "folder/part-0.json"):
+        (tmp_path / "folder").mkdir(exist_ok=True)
+        (tmp_path / name).write_text(lines)
+        path = str(tmp_path / name) if name[0] == "x" else str(tmp_path / "folder")
+        assert files.load_source(spark, path, fmt=None if name[0] == "x" else "json").count() == 5
+    (tmp_path / "list.json").write_text('[\n{"a": 1},\n{"a": 2}\n]')
+    assert files.load_source(spark, str(tmp_path / "list.json")).count() == 2
+    (tmp_path / "many.json").write_text('{\n"a": 1}\n{\n"a": 2}')
+    with pytest.raises(ParseError, match="more than one value"):
+        files.load_source(spark, str(tmp_path / "many.json"))
+
+
+def test_broken_documents_are_quarantined_in_batch_and_stream(spark, tmp_path):
+    from aval.sources.applicants import read_applicants, read_applicants_quarantine
+    from aval.streaming.applicants import read_rejected, read_stream
+
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text('{"ID_Cliente": "A"}\n{"ID_Cliente": \n{"perfil": {"Edad": "40"}}\n')
+    good, bad = read_applicants_quarantine(spark, str(source))
+    assert good.count() == 2 and [r["linea"] for r in bad.collect()] == ['{"ID_Cliente": ']
+    with pytest.raises(Exception):
+        read_applicants(spark, str(source)).collect()
+    counts = {}
+    for name, read in (("good", read_stream), ("rejected", read_rejected)):
+        query = read(spark, str(source)).writeStream.format("memory").queryName(name).trigger(
+            availableNow=True).start()
+        query.awaitTermination(60)
+        counts[name] = spark.table(name).count()
+    assert counts == {"good": 1, "rejected": 2}
