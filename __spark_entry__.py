@@ -367,15 +367,16 @@ def impute_params_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(n, str(v)) for n, v in fills.items()], "columna string, valor string")
 
 
-def _filled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _filled_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Labelled documents with their split, and all documents, filled by what train tells."""
     divided = _split_documents(spark, sf_dir)
     fills, _ = ft.learn_imputation(_train(divided), ["n_chars", "lang", "source"])
-    return ft.impute(divided, fills)
+    return ft.impute(divided, fills), ft.impute(dv.document_inputs(spark, sf_dir), fills)
 
 
 @_query("impute_apply")
 def impute_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _filled_documents(spark, sf_dir).select(c.ID, "n_chars", "lang", "source")
+    return _filled_documents(spark, sf_dir)[1].select(c.ID, "n_chars", "lang", "source")
 
 
 def _document_categories(filled: DataFrame) -> dict[str, list[str]]:
@@ -384,16 +385,16 @@ def _document_categories(filled: DataFrame) -> dict[str, list[str]]:
 
 @_query("onehot_categories")
 def onehot_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _document_categories(_filled_documents(spark, sf_dir))
+    found = _document_categories(_filled_documents(spark, sf_dir)[0])
     rows = [(n, v) for n, values in found.items() for v in values]
     return spark.createDataFrame(rows, "columna string, categoria string")
 
 
 @_query("onehot_apply")
 def onehot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = _filled_documents(spark, sf_dir).select(c.ID, c.SPLIT, "lang", "source")
-    categories = _document_categories(filled)
-    encoded = ft.one_hot(filled, categories)
+    learned, filled = _filled_documents(spark, sf_dir)
+    categories = _document_categories(learned)
+    encoded = ft.one_hot(filled.select(c.ID, "lang", "source"), categories)
     return encoded.select(c.ID, F.inline(F.array(*[
         F.struct(F.lit(n).alias("columna"), F.lit(v).alias("categoria"),
                  col(f"{n}_{v}").alias("valor"))
@@ -469,7 +470,8 @@ def _fold_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("confusion_metrics")
 def confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _all_rounded(mt.classification_metrics(_scored_orders(spark, sf_dir)).drop("notas"))
+    metrics = mt.classification_metrics(_scored_orders(spark, sf_dir))
+    return _all_rounded(metrics.withColumn("notas", F.array_join("notas", "; ")))
 
 
 @_query("confusion_cells")

@@ -16,9 +16,9 @@ from aval import config as c
 from aval.errors import EvaluationError
 from aval.functions.values import col
 
-# The notes attached to special cases.
-NO_APPROVALS = "El modelo no predijo ninguna aprobación; la precisión se reporta como 0."
-ONE_CLASS = "AUC-ROC no disponible: el conjunto evaluado tiene una sola clase."
+# The notes attached to special cases: no approval predicted (precision is 0), one class only (no AUC).
+NO_APPROVALS = "sin_aprobaciones"
+ONE_CLASS = "una_clase"
 
 
 def confusion(df: DataFrame, keys: list[str], label: str = c.TARGET,

@@ -76,23 +76,25 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return raw_profile(spark, sf_dir), raw_history(spark, sf_dir), raw_bureau(spark, sf_dir)
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a quality label: numeric and text inputs, some missing, one constant."""
+def document_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: numeric and text inputs, some missing, one constant."""
     doc = F.col("doc_id")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return documents.join(
-        table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id"
-    ).select(
+    return table(spark, sf_dir, "documents").select(
         doc.alias(c.ID),
         F.when(doc % 13 != 0, F.col("n_chars").cast("double")).alias("n_chars"),
         F.when(doc % 7 != 0, F.col("lang")).alias("lang"),
         F.col("source"),
-        F.col("toxic"),
         F.lit("es-MX").alias("region"),
-        F.col("quality").alias(c.TARGET),
     )
 
 
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with a quality label: what a preparation can be learned from."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias(c.ID), "toxic", F.col("quality").alias(c.TARGET))
+    return document_inputs(spark, sf_dir).join(labels, c.ID)
+
+
 def applicant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested applicant per order, some sections and ids absent."""
     order, price = F.col("o_orderkey"), F.col("o_totalprice")

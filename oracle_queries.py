@@ -155,6 +155,13 @@ SELECT doc_id AS ID_Cliente, CASE WHEN doc_id % 13 <> 0 THEN CAST(n_chars AS DOU
   quality AS credito_aprobado
 FROM documents JOIN labels USING (doc_id)""")
 
+_fragment("documents_completed", """
+SELECT d.doc_id AS ID_Cliente,
+  coalesce(CASE WHEN d.doc_id % 13 <> 0 THEN CAST(d.n_chars AS DOUBLE) END, f.n_chars) AS n_chars,
+  coalesce(CASE WHEN d.doc_id % 7 <> 0 THEN d.lang END, f.lang) AS lang,
+  coalesce(d.source, f.source) AS source
+FROM documents d, document_fills f""", "document_fills")
+
 _fragment("documents_split", _SPLIT.format(table="documents_labelled"), "documents_labelled")
 
 NUMBERS = ["Edad", "Ingreso_Declarado", "Antiguedad_Laboral", "Tipo_Vivienda", "Monto_Total",
@@ -564,7 +571,7 @@ SELECT 'n_chars' AS columna, CAST(n_chars AS VARCHAR) AS valor FROM document_fil
 UNION ALL SELECT 'lang', lang FROM document_fills
 UNION ALL SELECT 'source', source FROM document_fills""", "document_fills")
     s["impute_apply"] = _statement(
-        "SELECT ID_Cliente, n_chars, lang, source FROM documents_filled", "documents_filled")
+        "SELECT ID_Cliente, n_chars, lang, source FROM documents_completed", "documents_completed")
     s["onehot_categories"] = _statement("""
 SELECT DISTINCT 'lang' AS columna, lang AS categoria FROM documents_filled WHERE split = 'train'
 UNION ALL SELECT DISTINCT 'source', source FROM documents_filled WHERE split = 'train'""",
@@ -572,11 +579,11 @@ UNION ALL SELECT DISTINCT 'source', source FROM documents_filled WHERE split = '
     s["onehot_apply"] = _statement("""
 SELECT f.ID_Cliente, columna, CAST(CASE columna WHEN 'lang' THEN f.lang = categoria
   ELSE f.source = categoria END AS INTEGER) AS valor, categoria
-FROM documents_filled f, (
+FROM documents_completed f, (
   SELECT DISTINCT 'lang' AS columna, lang AS categoria FROM documents_filled WHERE split = 'train'
   UNION ALL
   SELECT DISTINCT 'source', source FROM documents_filled WHERE split = 'train') g""",
-                                   "documents_filled")
+                                   "documents_filled", "documents_completed")
     s["scale_params"] = _statement("""
 SELECT variable, round(media, 4) AS media, round(CASE WHEN desviacion = 0 THEN 1 ELSE desviacion END, 4)
   AS desviacion FROM scaling WHERE NOT binaria""", "scaling")
@@ -599,7 +606,9 @@ GROUP BY columna"""
 SELECT modelo, round(exactitud, 6) AS exactitud, round(precision, 6) AS precision,
   round(recall, 6) AS recall, round(f1, 6) AS f1, round(auc_roc, 6) AS auc_roc,
   tn AS verdaderos_negativos, fp AS falsos_positivos, fn AS falsos_negativos,
-  tp AS verdaderos_positivos FROM metric_rows JOIN auc_values USING (modelo)""",
+  tp AS verdaderos_positivos,
+  concat_ws('; ', CASE WHEN tp + fp = 0 THEN 'sin_aprobaciones' END,
+    CASE WHEN tp + fn = 0 OR tn + fp = 0 THEN 'una_clase' END) AS notas FROM metric_rows JOIN auc_values USING (modelo)""",
                                         "metric_rows", "auc_values")
     s["confusion_cells"] = _statement("""
 SELECT modelo, r AS real, p AS predicho, CAST(n AS BIGINT) AS clientes,
