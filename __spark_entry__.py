@@ -258,6 +258,32 @@ def aggregate_by_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _client_values(pl.client_rows_from_combined(_merged(spark, sf_dir)))
 
 
+def _history_with_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history with a column beyond the contract that varies within a client."""
+    price = F.floor(F.coalesce(c.AMOUNT, F.lit(0)) * 100).cast("long")
+    return dv.raw_history(spark, sf_dir).withColumns({
+        c.SEQ: price * 10 + F.col(c.FREQUENCY).cast("long"),
+        "Canal": F.when(price % 3 != 0, F.concat(F.lit("canal-"), (price % 7).cast("string"))),
+    })
+
+
+@_query("first_channel")
+def first_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First non-missing value of an extra history column, by the short way."""
+    sources = dv.raw_profile(spark, sf_dir), _history_with_channel(spark, sf_dir), dv.raw_bureau(
+        spark, sf_dir)
+    return pl.client_rows(*sources).select(c.ID, "Canal")
+
+
+@_query("first_channel_from_combined")
+def first_channel_from_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the merged table."""
+    sources = dv.raw_profile(spark, sf_dir), _history_with_channel(spark, sf_dir), dv.raw_bureau(
+        spark, sf_dir)
+    combined = pl.combined_table(*sources, keep_sequence=True)
+    return pl.client_rows_from_combined(combined).select(c.ID, "Canal")
+
+
 @_query("client_table")
 def client_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _client_values(_clients(spark, sf_dir))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aval import config as c
 from aval.errors import PreparationError
 from aval.functions.values import col, is_numeric, nan_to_null, without_nan
-from aval.operators.cleaning import drop_identical
+from aval.operators.cleaning import drop_identical, first_identical
 from aval.operators.target import profile_conditions
 
 
@@ -55,7 +55,9 @@ def _stacked(profile: DataFrame, history: DataFrame, bureau: DataFrame) -> DataF
         .unionByName(
             bureau.filter(present).withColumnRenamed(c.SEQ, "_bureau"), allowMissingColumns=True
         )
-        .unionByName(history.filter(present), allowMissingColumns=True)
+        .unionByName(
+            history.filter(present).withColumnRenamed(c.SEQ, "_history"), allowMissingColumns=True
+        )
     )
 
 
@@ -84,18 +86,20 @@ def client_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
     Merging, labelling and summarising give the same rows through five shuffles. Here the
     history is de-duplicated, the three sources are stacked, and one aggregation on the id
     (with map-side combine) does the rest: first profile and bureau row of each client by
-    ``_seq``, history totals, and the rule. Columns beyond the contract are kept.
+    ``_seq``, history totals, and the rule. Columns beyond the contract keep their first
+    non-missing value by ``_seq``, which the history must have then.
     """
-    transactions = drop_identical(history).drop(c.CURRENCY)
     about, credit = _own_columns(profile), _own_columns(bureau)
-    extra = [n for n in transactions.columns if n not in c.HISTORY_COLUMNS]
+    extra = [n for n in _own_columns(history) if n not in c.HISTORY_COLUMNS]
+    distinct = first_identical(history) if extra else drop_identical(history)
+    transactions = distinct.drop(c.CURRENCY)
     per_client = _stacked(profile, transactions, bureau).groupBy(col(c.ID)).agg(
         *_first_rows(about, credit),
         F.sum(col(c.AMOUNT)).alias(c.TOTAL_AMOUNT),
         F.avg(col(c.BALANCE)).alias(c.BALANCE),
         F.max(col(c.FREQUENCY)).alias(c.MAX_FREQUENCY),
         F.count(col(c.FREQUENCY)).alias(c.N_TRANSACTIONS),
-        *[_first_present(n, None).alias(n) for n in extra],
+        *[_first_present(n, "_history").alias(n) for n in extra],
     )
     return per_client.withColumn(c.TARGET, _approved(rule or c.ApprovalRule())).select(
         *[col(n) for n in [c.ID, *about, c.TOTAL_AMOUNT, c.BALANCE, c.MAX_FREQUENCY,

@@ -27,6 +27,11 @@ def drop_identical(df: DataFrame, ignore: tuple[str, ...] = (c.SEQ,)) -> DataFra
     return df.drop(*ignore).distinct()
 
 
+def first_identical(df: DataFrame, order: str = c.SEQ) -> DataFrame:
+    """``drop_identical`` with the smallest ``order`` of the copies of each row."""
+    return df.groupBy(*[col(n) for n in df.columns if n != order]).agg(F.min(order).alias(order))
+
+
 def keep_first(df: DataFrame, keys: list[str], order: str | Column = c.SEQ) -> DataFrame:
     """One row per key: the one with the smallest ``order``. Missing keys count as one value.
 
@@ -103,6 +108,13 @@ def clean_bureau(df: DataFrame) -> DataFrame:
     return keep_first(normalise_bureau(with_sequence(df)), [c.ID])
 
 
-def clean_history(df: DataFrame, config: c.CleaningConfig | None = None) -> DataFrame:
-    """Clean transactions without identical rows; a client may keep several."""
+def clean_history(df: DataFrame, config: c.CleaningConfig | None = None,
+                  keep_sequence: bool = False) -> DataFrame:
+    """Clean transactions without identical rows; a client may keep several.
+
+    ``keep_sequence`` keeps the place of the first copy, which tells the first value of columns
+    beyond the contract.
+    """
+    if keep_sequence:
+        return first_identical(normalise_history(with_sequence(df), config))
     return drop_identical(normalise_history(df, config))

@@ -30,12 +30,16 @@ from aval.session import materialise
 
 
 def combined_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
-                   config: c.PipelineConfig | None = None) -> DataFrame:
-    """Raw sources to the merged table, one row per transaction."""
+                   config: c.PipelineConfig | None = None,
+                   keep_sequence: bool = False) -> DataFrame:
+    """Raw sources to the merged table, one row per transaction.
+
+    ``keep_sequence`` keeps the place of each transaction (``_seq``) for the summary by client.
+    """
     config = config or c.PipelineConfig()
     return merge_sources(
         clean_profile(profile, config.cleaning),
-        clean_history(history, config.cleaning),
+        clean_history(history, config.cleaning, keep_sequence),
         clean_bureau(bureau),
     )
 
@@ -78,15 +82,19 @@ def client_rows(profile: DataFrame, history: DataFrame, bureau: DataFrame,
     config = config or c.PipelineConfig()
     return client_table(
         normalise_profile(with_sequence(profile), config.cleaning),
-        normalise_history(history, config.cleaning),
+        normalise_history(with_sequence(history), config.cleaning),
         normalise_bureau(with_sequence(bureau)),
         config.rule,
     )
 
 
 def client_rows_from_combined(combined: DataFrame, rule: c.ApprovalRule | None = None) -> DataFrame:
-    """The same table by the long way: label the merged rows, then summarise them."""
-    return aggregate_by_client(label_approval(combined, rule))
+    """The same table by the long way: label the merged rows, then summarise them.
+
+    With columns beyond the contract, ``combined`` needs ``_seq`` to tell their first value.
+    """
+    order = c.SEQ if c.SEQ in combined.columns else None
+    return aggregate_by_client(label_approval(combined, rule), order)
 
 
 @dataclass(frozen=True)

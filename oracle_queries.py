@@ -629,6 +629,14 @@ ORDER BY fp, modelo <> 'Regresión logística' LIMIT 1""", "confusion_counts")
     s["fewest_false_positives_tied"] = _statement("""
 SELECT modelo, fp AS falsos_positivos FROM confusion_counts
 WHERE modelo = 'Regresión logística'""", "confusion_counts")
+    s["first_channel"] = s["first_channel_from_combined"] = _statement("""
+SELECT c.ID_Cliente, f.Canal FROM clients c LEFT JOIN (
+  SELECT ID_Cliente, arg_min(canal, cents * 10 + CAST(Frecuencia_Deposito AS BIGINT))
+    FILTER (canal IS NOT NULL) AS Canal
+  FROM (SELECT *, CASE WHEN cents % 3 <> 0 THEN 'canal-' || cents % 7 END AS canal
+        FROM (SELECT *, CAST(floor(coalesce(Monto_Transaccion, 0) * 100) AS BIGINT) AS cents
+              FROM history_raw))
+  GROUP BY ID_Cliente) f USING (ID_Cliente)""", "clients", "history_raw")
     s["json_lines_orders"] = """
 SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"""
     s["fold_summary"] = _statement("SELECT modelo, " + ", ".join(
