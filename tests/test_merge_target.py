@@ -166,3 +166,13 @@ def test_extra_columns_reach_the_client_table(spark):
     assert (row["zona"], row["canal"], row["mora"], row["Edad"]) == ("sur", 7, 0.5, 31.0)
     long = pl.client_rows_from_combined(pl.combined_table(profile, history, bureau))
     assert rows(long.select(*short.columns)) == rows(short)
+
+
+def test_large_lookups_are_not_broadcast(spark):
+    from aval.errors import PreparationError
+    from aval.operators.merge import attach_by_key
+
+    rows = spark.range(20).withColumnRenamed("id", "k")
+    assert attach_by_key(rows, rows.selectExpr("k", "k AS v"), "k", few_keys=True).count() == 20
+    with pytest.raises(PreparationError, match="few_keys"):
+        attach_by_key(rows, rows.selectExpr("k", "k AS v"), "k", few_keys=True, max_keys=19)
