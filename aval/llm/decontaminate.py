@@ -8,13 +8,15 @@ lower-case words, without punctuation.
 
 Edge cases: null or empty texts match nothing; neither do null items nor items under
 ``min_item_words`` words. Equal items are reported under each id. A text's smallest distance per
-item is reported. Repeated documents are searched each. Other columns are not read.
+item id is reported, once, also where rows of the benchmark repeat the id. Repeated documents get a row each. Other columns are
+not read; in ``docs``, names starting with ``_hit`` are reserved.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import numpy as np
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aval.llm.words import per_text
+from aval.session import materialise
 
 _words = re.compile(r"\w+").findall
 MATCHES = "array<struct<item_id:bigint,distance:int>>"
@@ -94,13 +97,19 @@ class ItemSearch:
                 distance = best_distance(wanted, region)
                 if distance <= spare:
                     found[number] = min(distance, found.get(number, distance))
-        return sorted((self.items[n][0], d) for n, d in found.items())
+        best: dict[int, int] = {}
+        for number, distance in found.items():
+            item = self.items[number][0]
+            best[item] = min(distance, best.get(item, distance))
+        return sorted(best.items())
 
 
-def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, list[str]]]]:
+def _blocks(items: DataFrame, size: int, min_words: int) -> Iterator[list[tuple[int, list[str]]]]:
     block: list[tuple[int, list[str]]] = []
     for row in items.toLocalIterator():
-        block.append((row[0], normalised(row[1])))
+        words = normalised(row[1])
+        if len(words) >= min_words:
+            block.append((row[0], words))
         if len(block) == size:
             yield block
             block = []
@@ -108,31 +117,52 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, list[str]]]
         yield block
 
 
+def _searcher(shared, error_rate: float):
+    """A function of a text for ``per_text``; the automaton is built once per task."""
+    state: dict = {}
+
+    def work(text: str | None) -> tuple[list[dict]]:
+        if "search" not in state:
+            state["search"] = ItemSearch(shared.value, error_rate)
+        return ([{"item_id": i, "distance": d} for i, d in state["search"].matches(text)],)
+
+    return work
+
+
 def find_items(
     docs: DataFrame, benchmark: DataFrame, keep: list[str], error_rate: float = 0.1,
     min_item_words: int = 5, block_items: int = 20_000, result: str = "matches",
 ) -> DataFrame:
     """``keep`` and ``result`` (see ``MATCHES``), which replaces a column of that name.
 
-    The items go to the tasks in blocks of ``block_items``, so what is broadcast is bounded by
-    the block; every block is one more pass over the texts inside the same scan, without a shuffle.
+    Up to ``block_items`` items are broadcast and searched in one projection. More items are
+    searched block by block: each block is one scan of the texts whose few hits are stored by the
+    digest of the text, and its broadcast is given up before the next, so a task never holds more
+    than one block and the driver two. The hits are joined to the texts at the end.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     known = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
         F.col("item_id").cast("long"), "text")
     keep = [c for c in keep if c != result]
-    carried = [*(c for c in keep if c != "text"), "text"]
-    found = docs.select(*carried, F.array().cast(MATCHES).alias("_found"))
-    for block in _blocks(known, block_items):
-        long_enough = [item for item in block if len(item[1]) >= min_item_words]
-        shared = spark.sparkContext.broadcast((long_enough, error_rate))
-        state: dict = {}
-
-        def work(text, shared=shared, state=state):
-            if "search" not in state:
-                state["search"] = ItemSearch(*shared.value)
-            return ([{"item_id": i, "distance": d} for i, d in state["search"].matches(text)],)
-
-        found = per_text(found, [*carried, "_found"], f"_more {MATCHES}", work).select(
-            *carried, F.concat("_found", "_more").alias("_found"))
-    return found.select(*keep, F.col("_found").alias(result))
+    blocks = _blocks(known, block_items, min_item_words)
+    block, following = next(blocks, []), next(blocks, None)
+    if following is None:
+        work = _searcher(context.broadcast(block), error_rate)
+        return per_text(docs, keep, f"`{result}` {MATCHES}", work)
+
+    texts, hits = docs.select(F.sha2("text", 256).alias("_hit_text"), "text"), []
+    while block:
+        shared = context.broadcast(block)
+        found = per_text(texts, ["_hit_text"], f"found {MATCHES}", _searcher(shared, error_rate))
+        hits.append(materialise(
+            found.select("_hit_text", F.inline("found")).groupBy("_hit_text", "item_id")
+            .agg(F.min("distance").alias("distance")), "item-hits"))
+        shared.destroy()
+        block, following = following, next(blocks, None)
+    by_text = (
+        reduce(DataFrame.unionByName, hits).groupBy("_hit_text", "item_id")
+        .agg(F.min("distance").alias("distance")).groupBy("_hit_text")
+        .agg(F.array_sort(F.collect_list(F.struct("item_id", "distance"))).alias("_hit_items")))
+    joined = docs.join(by_text, F.sha2("text", 256) == F.col("_hit_text"), "left")
+    return joined.select(
+        *keep, F.coalesce("_hit_items", F.array().cast(MATCHES)).alias(result))

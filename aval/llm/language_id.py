@@ -84,7 +84,7 @@ class LanguageModel:
 
         def predict(text: str | None) -> tuple[str, float]:
             counts = Counter(find_letters((text or "").lower()))
-            if not counts or not width:
+            if not width or not any(map(str.isalpha, "".join(counts))):  # such as "²" alone
                 return UNDETERMINED, 0.0
             if len(extra) + len(counts) > cached:
                 extra.clear()

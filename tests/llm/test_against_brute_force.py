@@ -78,7 +78,8 @@ def test_bit_parallel_distance(pattern, text):
     assert decontaminate.best_distance(pattern, text) == brute.edit_distance(pattern, text)
 
 
-def test_items_with_edits_are_found(spark):
+@pytest.mark.parametrize("block_items", [100, 2])
+def test_items_with_edits_are_found(spark, block_items):
     random.seed(9)
     items = [(n, " ".join(f"q{random.randrange(50)}" for _ in range(size))) for n, size in enumerate([15, 30, 50])]
     def edited(text, edits):
@@ -88,10 +89,10 @@ def test_items_with_edits_are_found(spark):
             words[at : at + 1] = random.choice([[], ["new"], [words[at], "more"]])
         return " ".join(words).upper().replace(" ", ", ")
     rows = [(10 * n + e, f"before it {edited(t, e)} after it") for n, t in items for e in range(8)]
-    table = spark.createDataFrame(rows + [(99, None), (98, "nothing here")], "doc_id long, text string")
-    bench = spark.createDataFrame(items + [(7, None), (8, ""), (9, "before it")], "item_id long, text string")
+    table = spark.createDataFrame(rows + [(99, None), (98, "nothing here")] + rows[:2], "doc_id long, text string")
+    bench = spark.createDataFrame(items + items[:1] + [(7, None), (8, ""), (9, "before it")], "item_id long, text string")
     got = {r.doc_id: {m.item_id: m.distance for m in r.matches}
-           for r in decontaminate.find_items(table, bench, ["doc_id"], block_items=2).collect()}
+           for r in decontaminate.find_items(table, bench, ["doc_id"], block_items=block_items).collect()}
     for doc, text in rows:
         want = {}
         for n, item in items:
@@ -101,3 +102,4 @@ def test_items_with_edits_are_found(spark):
                 want[n] = distance
         assert got[doc] == want
     assert got[98] == got[99] == {} and len(got) == len(rows) + 2
+    assert decontaminate.find_items(table, bench, table.columns, block_items=block_items).count() == len(rows) + 4

@@ -33,10 +33,10 @@ def test_languages(spark, docs, empty):
     rows = [(i, lang, text(lang)) for i, lang in enumerate(["aa", "bb"] * 60)]
     table = spark.createDataFrame(rows + [(500, None, "abcd"), (501, "aa", None)], "doc_id long, lang string, text string")
     model = language_id.learn_languages(table)
-    fresh = spark.createDataFrame([(i, text(lang)) for i, (_, lang, _) in enumerate(rows)] + [(900, None), (901, "12 ##"), (902, "漢字")], "doc_id long, text string")
+    fresh = spark.createDataFrame([(i, text(lang)) for i, (_, lang, _) in enumerate(rows)] + [(900, None), (901, "12 ##"), (902, "漢字"), (903, "1² ½ _")], "doc_id long, text string")
     got = {r.doc_id: r for r in language_id.predict_languages(fresh, model, ["doc_id"]).collect()}
     assert all(got[i].lang_pred == lang for i, (_, lang, _) in enumerate(rows))
-    assert got[900].lang_pred == got[901].lang_pred == "und" and got[902].lang_pred in ("aa", "bb")
+    assert got[900].lang_pred == got[901].lang_pred == got[903].lang_pred == "und" and got[902].lang_pred in ("aa", "bb")
     assert all(0 <= r.score <= 1 for r in got.values())
     nothing = language_id.learn_languages(empty)
     assert {r.lang_pred for r in language_id.predict_languages(docs, nothing, ["doc_id"]).collect()} == {"und"}
