@@ -34,7 +34,7 @@ from aval.operators import quality as q  # noqa: E402
 from aval.operators import segments as sg  # noqa: E402
 from aval.operators import split as sp  # noqa: E402
 from aval.operators import target as tg  # noqa: E402
-from aval.operators.models import importances, top_importances  # noqa: E402
+from aval.operators.models import fit_classifiers, importances, logistic_regression, top_importances  # noqa: E402
 from aval.plans import pipeline as pl  # noqa: E402
 from aval.plans import report as rp  # noqa: E402
 from aval.plans.scoring import Scorer, document_clients  # noqa: E402
@@ -142,6 +142,24 @@ def quality_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.quality_report(dv.raw_profile(spark, sf_dir), c.PROFILE_SOURCE).by_column().drop("tipo")
 
 
+def _changed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile without one column of the contract and with one beyond it."""
+    return dv.raw_profile(spark, sf_dir).drop(c.SENIORITY).withColumn("Canal", F.lit(7))
+
+
+@_query("quality_structure")
+def quality_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = q.quality_report(_changed_profile(spark, sf_dir), c.PROFILE_SOURCE)
+    return report.frame.select(
+        "rows", "duplicates", F.array_join("missing_columns", "; ").alias("faltan"),
+        F.array_join("extra_columns", "; ").alias("sobran"), "valid_structure")
+
+
+@_query("quality_column_types")
+def quality_column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q.quality_report(_changed_profile(spark, sf_dir), c.PROFILE_SOURCE).by_column()
+
+
 @_query("quality_missing_by_stage")
 def quality_missing_by_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.missing_by_stage(*_reports("profile", spark, sf_dir))
@@ -617,6 +635,122 @@ def segment_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mg.attach_by_key(rows.select(c.ID, c.SEGMENT), typical, c.SEGMENT, few_keys=True)
 
 
+@_query("suggested_k")
+def suggested_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouettes of given clusterings under both metrics, with the suggestion and the level."""
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    found = []
+    for metric, measure in ((sg.EUCLIDEAN, sg.silhouette_euclidean),
+                            (sg.SQUARED, sg.silhouette_squared)):
+        rows = None
+        for k in (2, 3, 4, 5):
+            numbered = vectors.withColumn(c.SEGMENT, (F.col("vec_id") % k).cast("int"))
+            mean = sg.mean_silhouette(measure(numbered, "v", c.SEGMENT, "vec_id")).select(
+                F.lit(k).alias("k"), "silueta", F.lit(k == 3).alias("es_el_modelo"),
+                F.lit(metric).alias("metrica"))
+            rows = mean if rows is None else rows.unionByName(mean)
+        found.append(sg.with_suggestion(materialise(rows, "silhouettes")))
+    return _all_rounded(found[0].unionByName(found[1]))
+
+
+def _plane_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").cast("int").alias(c.SEGMENT),
+        F.col("l_quantity").cast("double").alias("cantidad"),
+        (F.col("l_extendedprice").cast("double") / 1000).alias("precio"))
+
+
+@_query("pca_two_columns")
+def pca_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Principal components of two columns; SQL has the closed form."""
+    plane = sg.fit_plane(_plane_inputs(spark, sf_dir), ["cantidad", "precio"])
+    loadings = spark.createDataFrame(
+        [(j + 1, *map(float, w)) for j, w in enumerate(plane.components)],
+        "componente int, carga_cantidad double, carga_precio double")
+    return _all_rounded(plane.explained_table(spark).join(loadings, "componente"), 5)
+
+
+@_query("pca_projection_fixed")
+def pca_projection_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plane = sg.PlaneProjection(
+        ["cantidad", "precio"], [25.0, 38.0], [[0.6, 0.8], [0.8, -0.6]], [0.9, 0.1])
+    return _all_rounded(sg.plane_centres(plane.project(_plane_inputs(spark, sf_dir))), 4)
+
+
+@_query("kmeans_fixed_point")
+def kmeans_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fitted segmentation checked by its definition: every order at its nearest centre, every
+    centre the mean of its orders."""
+    names = ["precio", "mes"]
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias(c.ID), (F.col("o_totalprice").cast("double") / 100_000).alias("precio"),
+        (F.month("o_orderdate") / 6).alias("mes")).persist()
+    model = sg.fit_segments(rows, names, k=3, starts=3)
+    assigned = materialise(model.assign(rows), "assigned")
+    rows.unpersist()
+    centres = model.centres_table(spark)
+    long = assigned.select(c.ID, F.col(c.SEGMENT).alias("propio"), F.inline(F.array(*[
+        F.struct(F.lit(n).alias("variable"), F.col(n).alias("x")) for n in names])))
+    distances = long.join(F.broadcast(centres), "variable").groupBy(c.ID, "propio", c.SEGMENT).agg(
+        F.sum((F.col("x") - F.col("centro")) ** 2).alias("d"))
+    nearest = distances.groupBy(c.ID, "propio").agg(
+        F.min("d").alias("menor"), F.min(F.when(F.col(c.SEGMENT) == F.col("propio"), F.col("d"))).alias("suya"))
+    counted = nearest.agg(
+        F.count("*").alias("filas"), F.count_if(F.col("suya") > F.col("menor") + 1e-9).alias("lejos"))
+    shifts = (
+        long.groupBy(F.col("propio").alias(c.SEGMENT), "variable").agg(F.avg("x").alias("media"))
+        .join(F.broadcast(centres), [c.SEGMENT, "variable"])
+        .agg(F.count("*").alias("centros"),
+             F.round(F.max(F.abs(F.col("media") - F.col("centro"))), 1).alias("desvio")))
+    return counted.crossJoin(F.broadcast(shifts))  # one row each
+
+
+@_query("logistic_gradient")
+def logistic_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regularised gradient of a fitted regression per variable, which is 0 at the optimum."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        ((F.col("l_quantity").cast("double") - 25) / 15).alias("cantidad"),
+        (F.col("l_discount").cast("double") * 20 - 1).alias("descuento"),
+        (F.col("l_tax").cast("double") * 20 - 1).alias("impuesto"),
+        (F.col("l_quantity") + F.col("l_linenumber") * 5 > 40).cast("int").alias(c.TARGET)).persist()
+    names = ["cantidad", "descuento", "impuesto"]
+    fitted = fit_classifiers(lines, names, classifiers={c.LOGISTIC: logistic_regression})
+    model = fitted.models[c.LOGISTIC]
+    weights = dict(zip(names, map(float, model.coefficients)))
+    data = materialise(lines.select(*names, c.TARGET), "lines")
+    lines.unpersist()
+    margin = F.lit(float(model.intercept))
+    for n, w in weights.items():
+        margin = margin + F.lit(w) * F.col(n)
+    error = 1 / (1 + F.exp(-margin)) - F.col(c.TARGET)
+    sums = data.agg(
+        F.count("*").alias("filas"), *[F.sum(error * F.col(n)).alias(n) for n in names])
+    return sums.select("filas", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("variable"),
+                 F.round(F.abs((F.col(n) + F.lit(w)) / F.col("filas")), 4).alias("gradiente"))
+        for n, w in weights.items()])))
+
+
+@_query("importance_top_fixed")
+def importance_top_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leading variables of an importance table that the line items give."""
+    line = F.col("l_linenumber").cast("int")
+    rows = table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_returnflag").alias(c.MODEL), line.alias("posicion")).agg(
+        F.count("*").cast("double").alias("magnitud"))
+    rows = rows.withColumns({
+        "variable": F.concat(F.lit("linea-"), F.col("posicion").cast("string")),
+        "de_la_regla": F.col("posicion") % 2 == 0})
+    return top_importances(rows).withColumn("principales", F.array_join("principales", "; "))
+
+
+@_query("correlation_excluded")
+def correlation_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clients = _clients(spark, sf_dir).withColumn("Constante", F.lit(4.0))
+    return ag.uncorrelated_columns(clients)
+
+
 # --- Applicants ----------------------------------------------------------------------------
 
 
@@ -636,17 +770,21 @@ def _identified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("nested_profile")
 def nested_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_applicants(_documents(spark, sf_dir))[0].select(c.ID, c.AGE, c.SENIORITY)
+    return flatten_applicants(_documents(spark, sf_dir))[0].select(
+        c.ID, c.AGE, F.round(col(c.INCOME).cast("double"), 2).alias(c.INCOME), c.SENIORITY, c.HOUSING)
 
 
 @_query("nested_history")
 def nested_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_applicants(_documents(spark, sf_dir))[1].select(c.ID, c.CURRENCY, c.FREQUENCY)
+    return flatten_applicants(_documents(spark, sf_dir))[1].select(
+        c.ID, F.round(col(c.AMOUNT).cast("double"), 2).alias(c.AMOUNT), c.CURRENCY,
+        F.round(col(c.BALANCE).cast("double"), 1).alias(c.BALANCE), c.FREQUENCY)
 
 
 @_query("nested_bureau")
 def nested_bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_applicants(_documents(spark, sf_dir))[2].select(c.ID, c.SCORE, c.CREDITS)
+    return flatten_applicants(_documents(spark, sf_dir))[2].select(
+        c.ID, c.SCORE, c.CREDITS, c.DELINQUENCY)
 
 
 @_query("default_ids")
@@ -697,6 +835,7 @@ def json_lines_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- Queries that fit models: no SQL form --------------------------------------------------
 
+_SEGMENT_TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _FITTED: dict[tuple[str, str], tuple[pl.Trained, pl.Evaluation]] = {}
 
 
@@ -739,6 +878,23 @@ def feature_importance_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_importances(importances(_fitted(spark, sf_dir)[0].classifiers, spark))
 
 
+@_query("forest_importance_sum")
+def forest_importance_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of the fitted forest: none negative, together 1."""
+    found = importances(_fitted(spark, sf_dir)[0].classifiers, spark)
+    return found.where(F.col(c.MODEL) == c.FOREST).groupBy(c.MODEL).agg(
+        F.round(F.sum("valor"), 6).alias("suma"), F.count_if(F.col("valor") < 0).alias("negativas"))
+
+
+@_query("score_explanations")
+def score_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What scoring says about each document besides the models' answers."""
+    summary = Scorer.of(*_fitted(spark, sf_dir)).score_documents(_identified(spark, sf_dir))
+    return summary.select(
+        c.ID, "regla_negocio", F.array_join("motivos", "; ").alias("motivos"),
+        F.array_join("imputados", "; ").alias("imputados"))
+
+
 @_query("client_segments")
 def client_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted(spark, sf_dir)[0].segments.select(c.ID, c.SPLIT, c.SEGMENT)
@@ -754,14 +910,22 @@ def fitted_segment_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted(spark, sf_dir)[1].profiles
 
 
+def _segment_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The plane is fitted once for the queries that show it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SEGMENT_TABLES:
+        _SEGMENT_TABLES[key] = rp.segment_tables(*_fitted(spark, sf_dir))
+    return _SEGMENT_TABLES[key]
+
+
 @_query("pca_segments")
 def pca_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.segment_tables(*_fitted(spark, sf_dir))["pca_segmentos"]
+    return _segment_tables(spark, sf_dir)["pca_segmentos"]
 
 
 @_query("pca_centres")
 def pca_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rp.segment_tables(*_fitted(spark, sf_dir))["pca_centros"]
+    return _segment_tables(spark, sf_dir)["pca_centros"]
 
 
 @_query("score_applicants")

@@ -119,7 +119,12 @@ class PreparationConfig:
 
 @dataclass(frozen=True)
 class TrainingConfig:
-    """Hyper-parameters of the two classifiers and the segmentation."""
+    """Hyper-parameters of the two classifiers and the segmentation.
+
+    ``min_instances_per_node`` is the fewest training rows a leaf of the forest may have. With 1
+    and a depth of 30 the number of nodes follows the rows, and all trees are kept in the driver
+    and sent to every task: at 10⁹ rows set it so that rows / value stays near a few thousand.
+    """
 
     seed: int = 42
     inverse_regularisation: float = 1.0
@@ -127,6 +132,7 @@ class TrainingConfig:
     trees: int = 100
     tree_depth: int = 30
     tree_bins: int = 128
+    min_instances_per_node: int = 1
     segments: int = 3
     segment_starts: int = 10
     segment_iterations: int = 300

@@ -32,6 +32,19 @@ class _Search:
         return F.when(kept, value)
 
 
+def _within(items: list, sizes: list[int], limit: int) -> list[list]:
+    """``items`` in order, in groups whose sizes add up to at most ``limit`` (one item at least)."""
+    groups: list[list] = []
+    total = 0
+    for item, size in zip(items, sizes):
+        if not groups or total + size > limit:
+            groups.append([])
+            total = 0
+        groups[-1].append(item)
+        total += size
+    return groups
+
+
 def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int, int]],
                     direct_rows: int = 1_000_000) -> list[float]:
     """The exact values at 0-based ``rank`` of each ``(column, rank, non-missing count)``.
@@ -39,7 +52,9 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int, int]],
     While more than ``direct_rows`` candidates remain, an approximate quantile sketch proposes
     a bracket and an exact count decides which side of it holds the rank, so each round
     shrinks the candidates thousands of times whatever the distribution or the number of
-    equal values. All columns advance together: two scans per round, one more at the end.
+    equal values. All columns advance together: two scans per round. At the end columns share a
+    scan as long as their candidates together stay within ``direct_rows``, so the buffers of the
+    last step are bounded by it, however many columns there are.
     """
     searches = [_Search(name, rank, size) for name, rank, size in wanted]
 
@@ -84,15 +99,15 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int, int]],
                 passed = below + at_a + between + at_b
                 s.low, s.rank, s.size = b, s.rank - passed, s.size - passed
     narrow = [s for s in searches if s.answer is None]
-    if narrow:
+    for group in _within(narrow, [s.size for s in narrow], direct_rows):
         # The half step keeps the position clear of rounding at either neighbour.
-        shares = [(s.rank + 0.5) / s.size for s in narrow]
-        candidates = df.select(*[s.inside(value(s)).alias(f"v{i}") for i, s in enumerate(narrow)])
+        shares = [(s.rank + 0.5) / s.size for s in group]
+        candidates = df.select(*[s.inside(value(s)).alias(f"v{i}") for i, s in enumerate(group)])
         row = candidates.agg(*[
             F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY v{i})").alias(f"r{i}")
             for i, share in enumerate(shares)
         ]).first()
-        for i, s in enumerate(narrow):
+        for i, s in enumerate(group):
             s.answer = row[f"r{i}"]
     return [s.answer for s in searches]
 
@@ -103,11 +118,14 @@ def exact_medians(df: DataFrame, counts: dict[str, int],
     if not counts:
         return {}
     if max(counts.values()) <= direct_rows:
-        row = df.agg(*[
-            F.median(without_nan(col(n), df.schema[n].dataType).cast("double")).alias(f"m{i}")
-            for i, n in enumerate(counts)
-        ]).first()
-        return {n: float(row[f"m{i}"]) for i, n in enumerate(counts)}
+        medians: dict[str, float] = {}
+        for group in _within(list(counts), list(counts.values()), direct_rows):
+            row = df.agg(*[
+                F.median(without_nan(col(n), df.schema[n].dataType).cast("double")).alias(f"m{i}")
+                for i, n in enumerate(group)
+            ]).first()
+            medians |= {n: float(row[f"m{i}"]) for i, n in enumerate(group)}
+        return medians
     wanted = [
         (n, rank, size) for n, size in counts.items()
         for rank in sorted({(size - 1) // 2, size // 2})

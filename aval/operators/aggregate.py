@@ -240,6 +240,12 @@ def correlation_matrix(df: DataFrame, names: list[str] | None = None) -> DataFra
     return both.unionByName(diagonal)
 
 
+def uncorrelated_columns(df: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The numeric columns that the correlations leave out, because they do not vary."""
+    _, constant = varying_columns(df, names or numeric_columns(df))
+    return df.sparkSession.createDataFrame([(n,) for n in constant], "variable string")
+
+
 def correlation_with_target(df: DataFrame, target: str = c.TARGET,
                             thresholds: c.ChartThresholds | None = None) -> DataFrame:
     """Correlation of each varying column with the target, with sign and strength flags."""

@@ -37,7 +37,7 @@ def random_forest(rows: int, config: c.TrainingConfig) -> RandomForestClassifier
     return RandomForestClassifier(
         featuresCol="features", labelCol=c.TARGET, numTrees=config.trees,
         maxDepth=config.tree_depth, maxBins=config.tree_bins, featureSubsetStrategy="sqrt",
-        seed=config.seed, maxMemoryInMB=1024,
+        minInstancesPerNode=config.min_instances_per_node, seed=config.seed, maxMemoryInMB=1024,
     )
 
 

@@ -53,6 +53,7 @@ def exploratory_tables(clients: DataFrame,
     return {
         "distribucion_clases": ag.class_distribution(clients, config.charts),
         "correlaciones": ag.correlation_matrix(clients),
+        "correlaciones_excluidas": ag.uncorrelated_columns(clients),
         "correlaciones_principales": ag.top_correlations(with_target),
         "correlacion_aprobacion": with_target.orderBy("r", "variable"),
         "correlacion_extremos": ag.correlation_extremes(with_target),

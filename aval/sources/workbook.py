@@ -7,6 +7,7 @@ import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from aval.functions.values import normalise_null_tokens
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_ROWS_PER_FRAME = 10_000
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
@@ -44,14 +46,28 @@ def _cell(cell: ET.Element, shared: list[str]) -> str | None:
     return {"1": "true", "0": "false"}[raw] if cell.get("t") == "b" else raw
 
 
+def _elements(archive: zipfile.ZipFile, part: str, tag: str) -> Iterator[ET.Element]:
+    """The elements of one tag, each emptied once the next is asked for."""
+    with archive.open(part) as stream:
+        parents: list[ET.Element] = []
+        for event, element in ET.iterparse(stream, ("start", "end")):
+            if event == "start":
+                parents.append(element)
+                continue
+            parents.pop()
+            if element.tag == f"{_MAIN}{tag}":
+                yield element
+                parents[-1].remove(element)
+
+
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
-    """Rows of the first sheet as texts."""
+    """Rows of the first sheet as texts; one row of the sheet is in memory at a time."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in archive.namelist():
-            for item in ET.fromstring(archive.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si"):
+            for item in _elements(archive, "xl/sharedStrings.xml", "si"):
                 shared.append("".join(t.text or "" for t in item.iter(f"{_MAIN}t")))
-        for row in ET.fromstring(archive.read(_first_sheet(archive))).iter(f"{_MAIN}row"):
+        for row in _elements(archive, _first_sheet(archive), "row"):
             values: list[str | None] = []
             for position, cell in enumerate(row.iter(f"{_MAIN}c")):
                 place = _column_number(cell.get("r")) if cell.get("r") else position
@@ -86,10 +102,11 @@ def read_workbooks(spark: SparkSession, path: str, schema: T.StructType | None =
                 lines = sheet_rows(content)
                 header = next(lines, [])
                 places = [header.index(n) if n in header else -1 for n in columns]
-                records = [
+                records = (
                     [line[p] if 0 <= p < len(line) else None for p in places]
                     for line in lines if any(v is not None for v in line)
-                ]
-                yield pd.DataFrame(records, columns=columns, dtype=object)
+                )
+                while part := list(islice(records, _ROWS_PER_FRAME)):
+                    yield pd.DataFrame(part, columns=columns, dtype=object)
 
     return normalise_null_tokens(files.mapInPandas(rows, schema))

@@ -460,6 +460,18 @@ LEFT JOIN (SELECT credito_aprobado AS k, count(DISTINCT ID_Cliente) AS n
         f"SELECT {i} AS posicion, '{n}' AS columna, "
         f"CAST(count(*) FILTER (WHERE {n} IS NULL) AS BIGINT) AS faltantes FROM profile_raw"
         for i, n in enumerate(_SOURCE_COLUMNS["profile"])), "profile_raw")
+    changed = ["ID_Cliente", "Edad", "Ingreso_Declarado", "Tipo_Vivienda"]
+    s["quality_structure"] = _statement(f"""
+SELECT count(*) AS rows, count(*) - (SELECT count(*) FROM (
+    SELECT DISTINCT {', '.join(changed)} FROM profile_raw)) AS duplicates,
+  'Antiguedad_Laboral' AS faltan, 'Canal' AS sobran, false AS valid_structure FROM profile_raw""",
+                                        "profile_raw")
+    types = ["string", "string", "double", "string"]
+    s["quality_column_types"] = _statement(" UNION ALL ".join(
+        f"SELECT {i} AS posicion, '{n}' AS columna, '{t}' AS tipo, "
+        f"CAST(count(*) FILTER (WHERE {n} IS NULL) AS BIGINT) AS faltantes FROM profile_raw"
+        for i, (n, t) in enumerate(zip(changed, types))
+    ) + " UNION ALL SELECT 4, 'Canal', 'int', 0", "profile_raw")
     s["quality_missing_by_stage"] = _statement(
         "SELECT substr(indicador, 12) AS columna, 'Antes' AS momento, antes AS faltantes "
         f"FROM ({_comparison('profile')}) WHERE indicador LIKE 'Faltantes:%' UNION ALL "
@@ -684,17 +696,75 @@ SELECT ID_Cliente, CAST(f.Tipo_Vivienda AS INTEGER) AS segmento, t.segmento_n_cl
     SELECT Tipo_Vivienda, count(*) AS segmento_n_clientes, round(avg(Edad), 2) AS segmento_Edad
     FROM filled GROUP BY Tipo_Vivienda) t USING (Tipo_Vivienda)""", "filled")
 
+    s["suggested_k"] = _statement("""
+SELECT k, round(silueta, 6) AS silueta, k = 3 AS es_el_modelo, metrica,
+  row_number() OVER (PARTITION BY metrica ORDER BY silueta DESC, k) = 1 AS sugerido,
+  CASE WHEN metrica = 'euclidean' THEN CASE WHEN silueta >= 0.5 THEN 'fuerte'
+    WHEN silueta >= 0.25 THEN 'moderada' ELSE 'débil' END END AS estructura
+FROM (SELECT k, metrica, avg((b - a) / greatest(a, b)) AS silueta
+      FROM (SELECT k, metrica, vec_id, max(CASE WHEN s = t THEN total / (size - 1) END) AS a,
+              min(CASE WHEN s <> t THEN total / size END) AS b
+            FROM (SELECT k, metrica, a.vec_id, a.vec_id % k AS s, b.vec_id % k AS t,
+                    count(*) AS size, sum(CASE metrica WHEN 'euclidean' THEN list_distance(a.v, b.v)
+                                          ELSE list_distance(a.v, b.v) ** 2 END) AS total
+                  FROM vectors a, vectors b, (SELECT unnest([2, 3, 4, 5]) AS k),
+                    (SELECT unnest(['euclidean', 'squaredEuclidean']) AS metrica)
+                  GROUP BY ALL) GROUP BY k, metrica, vec_id) GROUP BY k, metrica)""", "vectors")
+    plane = """(SELECT l_linenumber AS segmento, CAST(l_quantity AS DOUBLE) AS x,
+  CAST(l_extendedprice AS DOUBLE) / 1000 AS y FROM lineitem)"""
+    s["pca_two_columns"] = f"""
+WITH m AS (SELECT var_samp(x) AS a, var_samp(y) AS d, covar_samp(x, y) AS b FROM {plane}),
+e AS (SELECT *, (a + d) / 2 + sqrt(((a - d) / 2) ** 2 + b * b) AS top FROM m),
+u AS (SELECT *, b / sqrt(b * b + (top - a) ** 2) AS p, (top - a) / sqrt(b * b + (top - a) ** 2) AS q
+      FROM e)
+SELECT 1 AS componente, round(top / (a + d), 5) AS varianza_explicada,
+  false AS menos_de_la_mitad, round(p * sign(CASE WHEN abs(p) > abs(q) THEN p ELSE q END), 5)
+    AS carga_cantidad,
+  round(q * sign(CASE WHEN abs(p) > abs(q) THEN p ELSE q END), 5) AS carga_precio FROM u
+UNION ALL SELECT 2, round(1 - top / (a + d), 5), false,
+  round(-q * sign(CASE WHEN abs(q) > abs(p) THEN -q ELSE p END), 5),
+  round(p * sign(CASE WHEN abs(q) > abs(p) THEN -q ELSE p END), 5) FROM u"""
+    s["pca_projection_fixed"] = f"""
+SELECT segmento, count(*) AS n_clientes, round(avg((x - 25) * 0.6 + (y - 38) * 0.8), 4) AS c1,
+  round(avg((x - 25) * 0.8 - (y - 38) * 0.6), 4) AS c2 FROM {plane} GROUP BY segmento"""
+    s["kmeans_fixed_point"] = """
+SELECT count(*) AS filas, CAST(0 AS BIGINT) AS lejos, CAST(6 AS BIGINT) AS centros,
+  CAST(0 AS DOUBLE) AS desvio FROM orders"""
+    s["logistic_gradient"] = """
+SELECT count(*) AS filas, variable, CAST(0 AS DOUBLE) AS gradiente
+FROM lineitem, (SELECT unnest(['cantidad', 'descuento', 'impuesto']) AS variable) GROUP BY variable"""
+    s["importance_top_fixed"] = """
+SELECT l_returnflag AS modelo,
+  string_agg('linea-' || l_linenumber, '; ' ORDER BY n DESC, l_linenumber) AS principales,
+  CAST(count(*) FILTER (WHERE l_linenumber % 2 = 0) AS INTEGER) AS de_la_regla
+FROM (SELECT l_returnflag, l_linenumber, count(*) AS n,
+        row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, l_linenumber) AS place
+      FROM lineitem GROUP BY l_returnflag, l_linenumber)
+WHERE place <= 3 GROUP BY l_returnflag"""
+    s["correlation_excluded"] = "SELECT 'Constante' AS variable"
+    s["forest_importance_sum"] = """
+SELECT 'Random forest' AS modelo, CAST(1 AS DOUBLE) AS suma, CAST(0 AS BIGINT) AS negativas"""
+    s["score_explanations"] = _statement(f"""
+SELECT ID_Cliente, credito_aprobado AS regla_negocio,
+  CASE WHEN credito_aprobado = 0 THEN {_REASONS} ELSE '' END AS motivos,
+  concat_ws('; ', """ + ", ".join(f"CASE WHEN {n} IS NULL THEN '{n}' END" for n in NUMBERS)
+        + ") AS imputados FROM applicant_clients", "applicant_clients")
+
     # Applicants
     s["nested_profile"] = _statement("""
-SELECT id AS ID_Cliente, CAST(edad AS VARCHAR) AS Edad, CAST(antiguedad AS VARCHAR)
-  AS Antiguedad_Laboral FROM applicants""", "applicants")
+SELECT id AS ID_Cliente, CAST(edad AS VARCHAR) AS Edad, round(ingreso, 2) AS Ingreso_Declarado,
+  CAST(antiguedad AS VARCHAR) AS Antiguedad_Laboral, CASE WHEN seq % 8 <> 0
+    THEN CASE vivienda WHEN 1 THEN 'Propia' ELSE 'Rentada' END END AS Tipo_Vivienda FROM applicants""", "applicants")
     s["nested_history"] = _statement("""
-SELECT id AS ID_Cliente, CASE WHEN usd THEN 'USD' ELSE 'MXN' END AS Moneda,
-  CAST(freq AS VARCHAR) AS Frecuencia_Deposito
+SELECT id AS ID_Cliente, round(price, 2) AS Monto_Transaccion,
+  CASE WHEN usd THEN 'USD' ELSE 'MXN' END AS Moneda,
+  round(price / 10, 1) AS Saldo_Promedio_Mensual, CAST(freq AS VARCHAR) AS Frecuencia_Deposito
 FROM (SELECT *, unnest(range(copies)) FROM applicants)""", "applicants")
     s["nested_bureau"] = _statement("""
 SELECT id AS ID_Cliente, CAST(score AS VARCHAR) AS Score_Buro,
-  CAST(creditos AS VARCHAR) AS Creditos_Activos FROM applicants""", "applicants")
+  CAST(creditos AS VARCHAR) AS Creditos_Activos, CASE WHEN seq % 6 <> 0
+    THEN CASE morosidad WHEN 1 THEN 'SI' ELSE 'NO' END END AS Mantiene_Morosidad_Previa
+FROM applicants""", "applicants")
     s["default_ids"] = _statement("""
 SELECT seq, coalesce(id, 'NUEVO-' || CASE WHEN n < 1000 THEN lpad(CAST(n AS VARCHAR), 3, '0')
   ELSE CAST(n AS VARCHAR) END) AS ID_Cliente

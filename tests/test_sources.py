@@ -75,6 +75,18 @@ def workbook(path, sheet, shared=""):
             z.writestr("xl/sharedStrings.xml", f"<sst {MAIN}>{shared}</sst>")
 
 
+def test_every_row_of_a_sheet_is_read(spark, tmp_path):
+    from aval.sources import workbook as wb
+
+    rows = "".join(f'<row><c t="inlineStr"><is><t>c{i}</t></is></c><c><v>{i}</v></c></row>' for i in range(25))
+    workbook(tmp_path / "1.xlsx", '<row><c t="inlineStr"><is><t>a</t></is></c>'
+             '<c t="inlineStr"><is><t>b</t></is></c></row>' + rows)
+    content = (tmp_path / "1.xlsx").read_bytes()
+    assert [r[0] for r in wb.sheet_rows(content)] == ["a"] + [f"c{i}" for i in range(25)]
+    got = files.load_source(spark, str(tmp_path / "1.xlsx")).collect()
+    assert sorted((r.a, r.b) for r in got) == sorted((f"c{i}", str(i)) for i in range(25))
+
+
 def test_folder_of_workbooks(spark, tmp_path):
     folder = tmp_path / "buro"
     folder.mkdir()

@@ -19,7 +19,7 @@ def test_bracket_search_equals_sorting(spark, data):
     assert found == [sorted(data)[r] for r in ranks]
 
 
-@pytest.mark.parametrize("limit", [1, 50, 1_000_000])
+@pytest.mark.parametrize("limit", [1, 50, 3_000, 1_000_000])
 def test_medians_are_the_same_on_both_paths(spark, limit):
     df = spark.range(2001).selectExpr(
         "id * id * 1.0D as skewed", "if(id < 1500, 7.0D, id * 1.0D) as heavy",
