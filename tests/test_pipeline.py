@@ -190,7 +190,8 @@ def test_stream_equals_batch(fitted, docs, spark, tmp_path):
 def test_report_is_written_whole(fitted, sources, spark, tmp_path):
     tables = rp.report_tables(*sources, *fitted, CONFIG)
     folders = rp.write_report(tables, str(tmp_path / "report"))
-    assert len(folders) == len(tables) == 9 + 3 + 5 + 9 + 7
+    assert len(folders) == len(tables) == 9 + 3 + 6 + 9 + 7
+    assert "correlaciones_excluidas" in tables
     for folder in folders:
         assert spark.read.parquet(folder).columns
     sizes = spark.read.parquet(f"{tmp_path}/report/tamanos_segmentos")
