@@ -51,9 +51,9 @@ def text_fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * bits > len(values), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 4) -> DataFrame:
-    """``keep`` and ``fp`` (long) for every whole text; a projection."""
-    return per_text(docs, keep, "fp long", lambda text: (text_fingerprint(text, shingle),))
+def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 4, result: str = "fp") -> DataFrame:
+    """``keep`` and ``result`` (long) for every whole text; a projection."""
+    return per_text(docs, keep, f"`{result}` long", lambda text: (text_fingerprint(text, shingle),))
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -3,7 +3,8 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. ``run`` writes every stage's
 result as Parquet in the shared folder and hands the stored rows to the next. All stages but the last
 return the columns of ``documents``. They accept empty tables, repeated rows and nulls in any
-column as the operators define them; extra columns are carried along.
+column as the operators define them; extra columns are carried along, whatever they are called:
+the columns that a stage works with get names that are free.
 """
 
 from __future__ import annotations
@@ -19,34 +20,47 @@ from aval.session import discard, materialise
 ORACLE_SQL = None  # learned scores, bit distances and keyed permutations have no SQL form
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5; learned from the labels the toxicity query learns from."""
     model = toxicity.learn_toxicity(
         docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), remainder(F.col("doc_id"), 5) != 0)
-    scored = toxicity.score_toxicity(docs, model, docs.columns, "_toxicity")
-    return scored.where("_toxicity < 0.5").select(*docs.columns)
+    score = free_name(docs, "_toxicity")
+    scored = toxicity.score_toxicity(docs, model, docs.columns, score)
+    return scored.where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class, that with the smallest id.
 
-    Of rows that share this id, one stays. Classes without any id keep one row. The row numbers
-    are those of the stored scan, which has the same order each time it is read.
+    Of rows that share this id, one stays. Classes without any id keep one row. Rows are numbered
+    in the table that is stored with the fingerprints, so the numbers hold whatever executors
+    are lost or added between its scans.
     """
-    marked = docs.withColumn("_row", F.monotonically_increasing_id())
-    table = materialise(simhash.fingerprints(marked, ["doc_id", "_row"]), "fingerprints")
-    classes = simhash.near_duplicates(table)
+    row, fp = free_name(docs, "_row"), free_name(docs, "_fp")
+    marked = docs.withColumn(row, F.monotonically_increasing_id())
+    table = materialise(simhash.fingerprints(marked, marked.columns, result=fp), "fingerprints")
+    classes = simhash.near_duplicates(
+        table.select("doc_id", F.col(row).alias("_row"), F.col(fp).alias("fp")))
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     grouped = classes.groupBy("component_id").agg(best.alias("_best"))
-    kept = materialise(grouped.select(F.col("_best._row").alias("_row")), "kept")
-    return marked.join(kept, "_row", "left_semi").drop("_row")
+    kept = materialise(grouped.select(F.col("_best._row").alias(row)), "kept")
+    return table.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item within its error budget."""
+    matches = free_name(docs, "_matches")
     found = decontaminate.find_items(
-        docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), docs.columns, result="_matches")
-    return found.where(F.size("_matches") == 0).select(*docs.columns)
+        docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), docs.columns, result=matches)
+    return found.where(F.size(matches) == 0).select(*docs.columns)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
