@@ -1,7 +1,7 @@
 """DuckDB statements for the queries that SQL can express; columns are named as in the queries.
 
-The others learn a model, or need suffix automata, archives, encrypted values or 64-bit shingle
-hashes; ``tests/llm`` holds them against brute force.
+The others learn a model, or need edit distances, encrypted values or 64-bit shingle hashes;
+``tests/llm`` holds them against brute force.
 """
 
 from __future__ import annotations
@@ -85,5 +85,27 @@ SELECT d.doc_id, d.size, b.source_size, b.target,
     - (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.size ROWS UNBOUNDED PRECEDING) - d.size)))
     AS BIGINT) AS taken
 FROM sized d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
+""",
+    "op8_substring_dedup": r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS listed FROM documents
+), placed AS (
+  SELECT doc_id, len(listed) AS n, unnest(listed) AS word, generate_subscripts(listed, 1) AS place FROM texts
+), windows AS (
+  SELECT *, string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS said
+  FROM placed
+), judged AS (
+  SELECT doc_id, place, word,
+    place <= n - 19 AND row_number() OVER (PARTITION BY said ORDER BY doc_id, place) > 1 AS again
+  FROM windows
+), covered AS (
+  SELECT doc_id, place, word, bool_or(again) OVER (
+    PARTITION BY doc_id ORDER BY place ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM judged
+)
+SELECT t.doc_id, count(word) AS n_words, count(*) FILTER (gone) AS n_removed,
+  sha256(coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM texts t LEFT JOIN covered c ON t.doc_id = c.doc_id GROUP BY t.doc_id
 """,
 }

@@ -1,11 +1,15 @@
 import random
 
 import brute
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from aval.llm import decontaminate, quality_rules, simhash, substring_dedup
+from aval.llm.oracle import ORACLES
 
 
 def test_quality_counts(docs, texts):
@@ -63,6 +67,10 @@ def test_substring_dedup(spark, docs, texts, shard_passages):
     got = substring_dedup.remove_repeated(table, shard_passages=shard_passages)
     rows = sorted(tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept_text").collect())
     assert rows == brute.remove_repeated(texts + made)
+    con = duckdb.connect()
+    con.register("documents", table.toPandas())
+    hashed = got.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)).collect()
+    assert sorted(con.execute(ORACLES["op8_substring_dedup"]).fetchall()) == sorted(map(tuple, hashed))
 
 
 def test_rows_with_one_id_are_at_one_place(spark):
