@@ -144,7 +144,8 @@ class EvaluationConfig:
 
     ``silhouette_metric`` holds at every number of rows: ``"squaredEuclidean"`` takes linear
     time, ``"euclidean"`` needs every pair of rows. ``max_segments`` bounds the clusters a
-    silhouette is measured over, of which it keeps one row each.
+    silhouette is measured over, of which it keeps one row each. ``prepare_folds`` learns
+    imputation, categories and scaling anew from the training part of every fold.
     """
 
     folds: int = 5
@@ -154,6 +155,7 @@ class EvaluationConfig:
     silhouette_metric: str = "squaredEuclidean"
     max_segments: int = 1_000
     parallel_fits: int = 8
+    prepare_folds: bool = False
 
 
 @dataclass(frozen=True)

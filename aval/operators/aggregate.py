@@ -21,29 +21,37 @@ def _first_present(name: str, order: str | None) -> Column:
     return F.min_by(col(name), F.when(col(name).isNotNull(), F.col(order)))
 
 
+#: What a history column becomes in the client's row; any other column keeps its first value.
+#: The names of the results.
+SUMMARIES = {
+    c.CURRENCY: {},
+    c.AMOUNT: {c.TOTAL_AMOUNT: F.sum},
+    c.BALANCE: {c.BALANCE: F.avg},
+    c.FREQUENCY: {c.MAX_FREQUENCY: F.max, c.N_TRANSACTIONS: F.count},
+}
+
+
+def _summaries(names: list[str], order: str | None) -> list[Column]:
+    """The aggregates of the columns, in their order."""
+    made = []
+    for name in names:
+        known = SUMMARIES.get(name)
+        made += ([_first_present(name, order).alias(name)] if known is None else
+                 [how(col(name)).alias(result) for result, how in known.items()])
+    return made
+
+
 def aggregate_by_client(df: DataFrame, order: str | None = None) -> DataFrame:
     """Summarise the combined table to one row per client; rows without an id are dropped.
 
-    Amounts are summed, balances averaged, deposit frequency reduced to its maximum and its
-    non-missing count. Other columns take their first non-missing value by ``order``; without
-    one they are taken as constant within the client, which holds after the merge.
+    ``SUMMARIES`` says what becomes of the history. Other columns take their first non-missing
+    value by ``order``; without one they are taken as constant within the client, which holds
+    after the merge.
     """
     if c.ID not in df.columns:
         raise PreparationError(f"cannot summarise by client: column {c.ID} is absent")
     df = nan_to_null(df)
-    summary: list[Column] = []
-    for name in df.columns:
-        if name in (c.ID, c.CURRENCY, order):
-            continue
-        if name == c.AMOUNT:
-            summary.append(F.sum(col(name)).alias(c.TOTAL_AMOUNT))
-        elif name == c.BALANCE:
-            summary.append(F.avg(col(name)).alias(name))
-        elif name == c.FREQUENCY:
-            summary.append(F.max(col(name)).alias(c.MAX_FREQUENCY))
-            summary.append(F.count(col(name)).alias(c.N_TRANSACTIONS))
-        else:
-            summary.append(_first_present(name, order).alias(name))
+    summary = _summaries([n for n in df.columns if n not in (c.ID, order)], order)
     return df.filter(col(c.ID).isNotNull()).groupBy(col(c.ID)).agg(*summary)
 
 
@@ -95,11 +103,7 @@ def client_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,
     transactions = distinct.drop(c.CURRENCY)
     per_client = _stacked(profile, transactions, bureau).groupBy(col(c.ID)).agg(
         *_first_rows(about, credit),
-        F.sum(col(c.AMOUNT)).alias(c.TOTAL_AMOUNT),
-        F.avg(col(c.BALANCE)).alias(c.BALANCE),
-        F.max(col(c.FREQUENCY)).alias(c.MAX_FREQUENCY),
-        F.count(col(c.FREQUENCY)).alias(c.N_TRANSACTIONS),
-        *[_first_present(n, "_history").alias(n) for n in extra],
+        *_summaries([c.AMOUNT, c.BALANCE, c.FREQUENCY, *extra], "_history"),
     )
     return per_client.withColumn(c.TARGET, _approved(rule or c.ApprovalRule())).select(
         *[col(n) for n in [c.ID, *about, c.TOTAL_AMOUNT, c.BALANCE, c.MAX_FREQUENCY,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from aval import config as c
 from aval.errors import EvaluationError, InvalidTrainingDataError, NotTrainedError
 from aval.functions.values import col
-from aval.operators.features import assemble, check_inputs, check_same_columns
+from aval.operators.features import FeatureModel, assemble, check_inputs, check_same_columns
 from aval.operators.split import assign_folds, class_counts
 
 
@@ -133,33 +134,46 @@ def fit_classifiers(train: DataFrame, variables: list[str], config: c.TrainingCo
 
 
 def cross_validate(train: DataFrame, variables: list[str], config: c.EvaluationConfig | None = None,
-                   training: c.TrainingConfig | None = None, classifiers: dict | None = None
-                   ) -> DataFrame:
+                   training: c.TrainingConfig | None = None, classifiers: dict | None = None,
+                   learn: Callable[[DataFrame], FeatureModel] | None = None) -> DataFrame:
     """Out-of-fold predictions of freshly fitted copies: long ``(modelo, fold, label, prediccion)``.
 
     Folds are a column of the one cached table; each fit is a distributed job on a filter of
     it, a few at a time. The predictions stay lazy and are scored together in one aggregation.
+    With ``learn``, ``train`` holds rows before their preparation, and every fold applies the
+    preparation that ``learn`` makes of its training part to both of its parts.
     """
     config = config or c.EvaluationConfig()
     training = training or c.TrainingConfig()
     if c.FOLD not in train.columns:
         train = assign_folds(train, config.folds, seed=config.seed)
     # Each MLlib fit caches its own input; here the (cached) rows are only projected.
-    data = assemble(train, variables).select("features", c.TARGET, c.FOLD)
-    sizes = class_counts(data, c.FOLD)
+    if learn is None:
+        train = assemble(train, variables).select("features", c.TARGET, c.FOLD)
+    sizes = class_counts(train, c.FOLD)
     rows = sum(sizes.values())
     makers = classifiers or CLASSIFIERS
-    jobs = [(name, make, f) for name, make in makers.items() for f in range(config.folds)]
+
+    def parts_of(f: int) -> tuple[DataFrame, DataFrame]:
+        parts = train.filter(F.col(c.FOLD) != f), train.filter(F.col(c.FOLD) == f)
+        if learn is None:
+            return parts
+        features = learn(parts[0])
+        return tuple(
+            assemble(features.transform(part, (c.TARGET, c.FOLD)), features.variables)
+            .select("features", c.TARGET, c.FOLD) for part in parts)
 
     def fit(job):
         name, make, f = job
-        model = make(rows - sizes.get(f, 0), training).fit(data.filter(F.col(c.FOLD) != f))
-        held_out = data.filter(F.col(c.FOLD) == f)
+        fitted_on, held_out = divided[f]
+        model = make(rows - sizes.get(f, 0), training).fit(fitted_on)
         return apply_model(model, held_out, c.PREDICTION, c.PROBABILITY).select(
             F.lit(name).alias(c.MODEL), c.FOLD, c.TARGET, c.PREDICTION, c.PROBABILITY
         )
 
+    jobs = [(name, make, f) for name, make in makers.items() for f in range(config.folds)]
     with ThreadPoolExecutor(config.parallel_fits) as pool:
+        divided = list(pool.map(parts_of, range(config.folds)))
         parts = list(pool.map(fit, jobs))
     result = parts[0]
     for part in parts[1:]:

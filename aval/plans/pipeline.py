@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,6 +116,10 @@ class Prepared:
         return self.table.filter(col(c.SPLIT) == c.TEST)
 
 
+def _preparation(config: c.PipelineConfig) -> Callable[[DataFrame], FeatureModel]:
+    return partial(fit_features, config=config.preparation, dropped={c.CURRENCY: SINGLE_CURRENCY})
+
+
 def prepare(clients: DataFrame, config: c.PipelineConfig | None = None) -> Prepared:
     """Split, learn the preparation on train and apply it to both parts.
 
@@ -130,7 +136,7 @@ def prepare(clients: DataFrame, config: c.PipelineConfig | None = None) -> Prepa
     options = config.preparation
     divided = stratified_split(stored, test_size=options.test_size, seed=options.seed,
                                max_classes=options.max_classes)
-    features = fit_features(divided, options, {c.CURRENCY: SINGLE_CURRENCY})
+    features = _preparation(config)(divided)
     return Prepared(divided, features, features.transform(divided))
 
 
@@ -193,7 +199,11 @@ def evaluate(trained: Trained, config: c.PipelineConfig | None = None,
     metrics = mt.classification_metrics(predictions).persist()
     rows = prepared.train.persist()
     try:
-        folds = cross_validate(rows, variables, options, config.training, classifiers)
+        folds = (
+            cross_validate(prepared.clients.filter(col(c.SPLIT) == c.TRAIN), variables, options,
+                           config.training, classifiers, _preparation(config))
+            if options.prepare_folds
+            else cross_validate(rows, variables, options, config.training, classifiers))
         summary = materialise(mt.fold_summary(folds), "cross-validation")
         silhouette = sg.silhouette_by_k(rows, variables, c.ID, options, config.training,
                                         config.charts, trained.segmentation).persist()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from aval import config as c
 from aval.errors import EvaluationError, InvalidTrainingDataError, NotTrainedError, PreparationError
 from aval.operators import models as md
+from aval.operators.features import fit_features
 from aval.operators.metrics import require_models
 from aval.plans import pipeline as pl
 from aval.plans import report as rp
@@ -118,6 +119,28 @@ def test_another_classifier_can_be_added(fitted):
     assert model.predict(trained.prepared.test).select("modelo").distinct().first()[0] == "Árbol"
 
 
+def test_preparation_can_be_learned_in_each_fold(fitted):
+    trained, _ = fitted
+    clients = trained.prepared.clients.filter(F.col(c.SPLIT) == c.TRAIN)
+    learned = []
+
+    def learn(rows):
+        learned.append(fit_features(rows))
+        return learned[-1]
+
+    config = c.EvaluationConfig(folds=3)
+    only = {c.LOGISTIC: md.logistic_regression}
+    whole = md.cross_validate(clients, [], config, classifiers=only, learn=learn)
+    fixed = md.cross_validate(trained.prepared.train, trained.prepared.features.variables, config, classifiers=only)
+    assert len(learned) == 3 and len({repr(m.scaling) for m in learned}) == 3
+    assert whole.count() == clients.count() and whole.columns == fixed.columns
+    sizes = [{tuple(r) for r in t.groupBy(c.FOLD, c.TARGET).count().collect()} for t in (whole, fixed)]
+    assert sizes[0] == sizes[1]
+    options = c.PipelineConfig(training=CONFIG.training, evaluation=c.EvaluationConfig(
+        folds=2, segment_counts=(2,), prepare_folds=True))
+    assert pl.evaluate(trained, options).comparison.count() == 2
+
+
 def _document(number, perfil=None, historial=None, buro=None):
     parts = {"ID_Cliente": f"NUEVO-{number:03d}", "perfil": perfil, "historial": historial, "buro": buro}
     return json.dumps({k: v for k, v in parts.items() if v is not None})
