@@ -151,16 +151,23 @@ def fingerprint_links(distinct: DataFrame, radius: int = 4, tile_rows: int = 409
     return pairs.mapInArrow(_compare(radius), "a long, b long")
 
 
-def near_duplicates(table: DataFrame, radius: int = 4, id_column: str = "doc_id") -> DataFrame:
-    """``table`` (with ``fp``) and ``component_id``, the smallest id its fingerprint reaches."""
+def near_duplicates(
+    table: DataFrame, radius: int = 4, id_column: str = "doc_id", root: str | None = None,
+) -> DataFrame:
+    """``table`` (with ``fp``) and ``component_id``, the smallest id its fingerprint reaches.
+
+    The id does not name a class: classes without any id share the null, and a repeated id can be
+    the smallest of several. ``root`` asks for a column of that name with a fingerprint that does.
+    """
     smallest = table.groupBy("fp").agg(F.min(id_column).alias("_least"))
     links = materialise(fingerprint_links(smallest.select("fp"), radius), "links")
     roots = connected_components(links).toDF("fp", "_root")
     classes = smallest.join(roots, "fp", "left").withColumn(
         "_root", F.coalesce("_root", "fp"))
     least = classes.groupBy("_root").agg(F.min("_least").alias("component_id"))
+    named = [F.col("_root").alias(root)] if root else []
     ids = materialise(
-        classes.select("fp", "_root").join(least, "_root", "left").select("fp", "component_id"),
-        "classes")
+        classes.select("fp", "_root").join(least, "_root", "left")
+        .select("fp", "component_id", *named), "classes")
     discard(links)
     return table.join(ids, "fp")

@@ -40,17 +40,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class, that with the smallest id.
 
-    Of rows that share this id, one stays. Classes without any id keep one row. Rows are numbered
-    in the table that is stored with the fingerprints, so the numbers hold whatever executors
-    are lost or added between its scans.
+    Of the rows of a class that share this id, one stays. Each class without any id keeps one row
+    of its own, and so does each of several classes whose smallest id is the same. Rows are
+    numbered in the table that is stored with the fingerprints, so the numbers hold whatever
+    executors are lost or added between its scans.
     """
     row, fp = free_name(docs, "_row"), free_name(docs, "_fp")
     marked = docs.withColumn(row, F.monotonically_increasing_id())
     table = materialise(simhash.fingerprints(marked, marked.columns, result=fp), "fingerprints")
     classes = simhash.near_duplicates(
-        table.select("doc_id", F.col(row).alias("_row"), F.col(fp).alias("fp")))
+        table.select("doc_id", F.col(row).alias("_row"), F.col(fp).alias("fp")), root="_class")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
-    grouped = classes.groupBy("component_id").agg(best.alias("_best"))
+    grouped = classes.groupBy("_class").agg(best.alias("_best"))
     kept = materialise(grouped.select(F.col("_best._row").alias(row)), "kept")
     return table.join(kept, row, "left_semi").select(*docs.columns)
 

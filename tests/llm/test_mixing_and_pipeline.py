@@ -68,3 +68,17 @@ def test_stages_keep_columns_and_clean_documents(spark, docs, tmp_path):
     for name in ("labels", "benchmark", "documents"):
         spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{empty_dir}/{name}.parquet")
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
+
+
+def test_classes_without_an_id_or_with_one_id_keep_a_row_each(spark):
+    one, two, three = ("alpha beta gamma delta epsilon", "red green blue black white grey", "just some other words")
+    table = spark.createDataFrame(
+        [(None, one), (None, two), (None, two), (5, one + " zeta"), (5, three), (9, three)], "doc_id long, text string")
+    marked = simhash.fingerprints(table, ["doc_id", "text"])
+    classes = simhash.near_duplicates(marked, root="root").collect()
+    assert {(r.text, r.doc_id): r.component_id for r in classes} == {
+        (one, None): None, (two, None): None, (one + " zeta", 5): 5, (three, 5): 5, (three, 9): 5}
+    assert len({r.root for r in classes}) == 4 == len({(r.text, r.root) for r in classes})
+    kept = corpus_pipeline.drop_near_duplicates(spark, table, "").collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [
+        (0, one), (0, two), (5, one + " zeta"), (5, three)]
