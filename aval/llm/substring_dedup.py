@@ -14,11 +14,16 @@ a passage, and the passages of one anchor are one shard.
 4. A copy of a passage loses all of its windows, the first one those that were seen earlier.
 
 A shard with over ``shard_passages`` differing passages (a common line in many contexts) is not
-put into one task: its windows are merged by their own hashes, which decides them exactly, too.
+put into one task: its windows are merged by their own hashes, which decides them exactly, too. So
+are the windows of a shard whose passages lie in several rows with one id, since the places of such
+passages interleave.
+
+Ids only order the rows. Rows are numbered in the table they are stored in, and passages are
+collected and joined by that number, so a list never holds more than the passages of one text.
 
 Edge cases: null texts have no words and keep the empty string. Null ids come before all others.
-Rows that share an id are at the same place: equal windows at equal starts in them are not
-earlier than one another. Extra columns are carried, except ``n_words``, ``n_removed`` and
+Rows that share an id, or have none, are at the same place: equal windows at equal starts in them
+are not earlier than one another. Extra columns are carried, except ``n_words``, ``n_removed`` and
 ``kept_text``, which are replaced. Empty tables give no rows.
 """
 
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from aval.llm.words import covered, find_words
+from aval.llm.words import covered, find_words, free_name
 from aval.session import discard, materialise
 
 GRAM = 6
@@ -109,10 +114,11 @@ def _anchor_rows(window: int):
                 starts, windows, anchors, contents = map(np.concatenate, zip(*parts))
                 rows = np.repeat([o[0] for o in owners], [o[1] for o in owners])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(rows)), pa.array(starts.astype(np.int32)),
+                    [batch.column("row").take(pa.array(rows)),
+                     batch.column("doc_id").take(pa.array(rows)), pa.array(starts.astype(np.int32)),
                      pa.array(windows.astype(np.int32)), pa.array(anchors.view(np.int64)),
                      pa.array(contents.view(np.int64))],
-                    ["doc_id", "start", "windows", "anchor", "content"])
+                    ["row", "doc_id", "start", "windows", "anchor", "content"])
 
     return run
 
@@ -208,39 +214,25 @@ def _flat(column: pa.Array, *names: str) -> list[np.ndarray]:
             *(structs.field(n).to_numpy(zero_copy_only=False) for n in names)]
 
 
-def _same(spans: Spans, size: int, start, length, content) -> np.ndarray:
-    """Which stretches lie in the text and have the content."""
-    inside = start + length <= size
-    inside[inside] = spans.of(start[inside], length[inside]).view(np.int64) == content[inside]
-    return inside
-
-
 def _cut_passages(window: int):
-    """The word strings of the wanted passages of each text; only those with the right content."""
+    """The word strings of the wanted passages of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordHashes()
         for batch in batches:
             wanted = batch.column("wanted")
-            ends, start, windows, content = _flat(wanted, "start", "windows", "content")
-            rows, places, texts = [], [], []
+            ends, start, windows = _flat(wanted, "start", "windows")
+            texts = []
             for row, text in enumerate(batch.column("text")):
                 words = find_words(text.as_py() or "")
                 mine = slice(ends[row], ends[row + 1])
-                first, length = start[mine].astype(np.int64), windows[mine] + window - 1
-                good = _same(Spans(table.of(words)), len(words), first, length, content[mine])
-                for at, size in zip(first[good].tolist(), length[good].tolist()):
+                for at, size in zip(start[mine].tolist(), (windows[mine] + window - 1).tolist()):
                     texts.append(" ".join(words[at : at + size]))
-                places.append(np.flatnonzero(good) + ends[row])
-                rows.append(np.full(len(places[-1]), row))
-            taken = pa.array(np.concatenate(places) if places else np.zeros(0, np.int64))
-            owner = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+            owner = pa.array(np.repeat(np.arange(len(ends) - 1), np.diff(ends)))
             flat = wanted.flatten()
             yield pa.RecordBatch.from_arrays(
-                [flat.field("anchor").take(taken), flat.field("content").take(taken),
-                 batch.column("doc_id").take(owner), flat.field("start").take(taken),
-                 flat.field("windows").take(taken), pa.array(texts, pa.string()),
-                 flat.field("hot").take(taken)],
+                [flat.field("anchor"), flat.field("content"), batch.column("doc_id").take(owner),
+                 flat.field("start"), flat.field("windows"), pa.array(texts, pa.string()),
+                 flat.field("hot")],
                 ["anchor", "content", "doc_id", "start", "windows", "words", "hot"])
 
     return run
@@ -268,19 +260,21 @@ def _cut_windows(window: int):
     return run
 
 
-def _masks(first: DataFrame, docs: DataFrame, window: int, shard_passages: int) -> DataFrame:
+def _masks(first: DataFrame, docs: DataFrame, row: str, window: int, shard_passages: int) -> DataFrame:
     """(anchor, content, mask) of all passages whose anchor has others with another content."""
+    ids = first.groupBy("anchor", "first.doc_id").agg(
+        F.count("*").alias("n"), F.min("first.row").alias("low"), F.max("first.row").alias("high"))
     kinds = materialise(
-        first.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
-    wanted = first.join(kinds, "anchor").groupBy(F.col("first.doc_id").alias("_wanted_id")).agg(
+        ids.groupBy("anchor").agg(
+            F.sum("n").alias("kinds"), F.max(F.col("low") < F.col("high")).alias("shared"))
+        .where("kinds > 1"), "kinds")
+    wanted = first.join(kinds, "anchor").groupBy(F.col("first.row").alias(row)).agg(
         F.collect_list(F.struct(
             "anchor", "content", F.col("first.start").alias("start"), "windows",
-            (F.col("kinds") > shard_passages).alias("hot"))).alias("wanted"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_wanted_id"))).select("doc_id", "text", "wanted")
-    cut = materialise(
-        texts.mapInArrow(_cut_passages(window), _PASSAGE).dropDuplicates(["anchor", "content"]),
-        "passages")
+            (F.col("shared") | (F.col("kinds") > shard_passages)).alias("hot"))).alias("wanted"))
+    texts = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        wanted, row).select("doc_id", "text", "wanted")
+    cut = materialise(texts.mapInArrow(_cut_passages(window), _PASSAGE), "passages")
     ordered = cut.where("not hot").repartition("anchor").sortWithinPartitions(
         "anchor", "doc_id", "start")
     judged = ordered.select("anchor", "content", "words").mapInArrow(
@@ -301,20 +295,16 @@ def _apply(window: int, schema: StructType):
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordHashes()
         bits = np.arange(62)
         for batch in batches:
             counts, gone, texts = [], [], []
-            ends, start, windows, content, mask = _flat(
-                batch.column("_removed"), "start", "windows", "content", "mask")
+            ends, start, mask = _flat(batch.column("_removed"), "start", "mask")
             for row, text in enumerate(batch.column("text")):
                 words = find_words(text.as_py() or "")
                 drop, mine = None, slice(ends[row], ends[row + 1])
                 if ends[row + 1] > ends[row]:
-                    first, length = start[mine].astype(np.int64), windows[mine] + window - 1
-                    good = _same(Spans(table.of(words)), len(words), first, length, content[mine])
-                    passage, bit = np.nonzero(mask[mine][good][:, None] >> bits & 1)
-                    drop = covered(first[good][passage] + bit, window, len(words))
+                    passage, bit = np.nonzero(mask[mine][:, None] >> bits & 1)
+                    drop = covered(start[mine][passage] + bit, window, len(words))
                 kept = words if drop is None else [w for w, d in zip(words, drop.tolist()) if not d]
                 counts.append(len(words))
                 gone.append(len(words) - len(kept))
@@ -335,10 +325,15 @@ def remove_repeated(docs: DataFrame, window: int = 20, shard_passages: int = 64)
     if not GRAM < window < 60:
         raise ValueError("the window must have 7 to 59 words")
     docs = docs.drop("n_words", "n_removed", "kept_text")
+    schema = StructType(docs.schema.fields + StructType.fromDDL(
+        "n_words long, n_removed long, kept_text string").fields)
+    row = free_name(docs, "_row")
+    docs = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     anchors = materialise(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+        .mapInArrow(
             _anchor_rows(window),
-            "doc_id long, start int, windows int, anchor long, content long"), "anchors")
+            "row long, doc_id long, start int, windows int, anchor long, content long"), "anchors")
     repeated = materialise(
         anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"),
         "repeated")
@@ -346,23 +341,20 @@ def remove_repeated(docs: DataFrame, window: int = 20, shard_passages: int = 64)
     discard(anchors, repeated)
     first = materialise(
         members.groupBy("anchor", "content").agg(
-            F.min(F.struct("doc_id", "start")).alias("first"), F.max("windows").alias("windows"),
+            F.min(F.struct("doc_id", "start", "row")).alias("first"), F.max("windows").alias("windows"),
             F.count("*").alias("n")), "first")
-    masks = _masks(first, docs, window, shard_passages)
+    masks = _masks(first, docs, row, window, shard_passages)
     decided = materialise(
         first.join(masks, ["anchor", "content"], "left")
         .select("anchor", "content", "first", F.coalesce("mask", F.lit(0)).alias("mask"))
         .where((F.col("n") > 1) | (F.col("mask") != 0)), "decided")
-    is_first = F.struct("doc_id", "start").eqNullSafe(F.col("first"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
+        F.col("start") == F.col("first.start"))
     every = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("windows")) - 1
     removed = (
         members.join(decided, ["anchor", "content"])
         .withColumn("mask", F.when(is_first, F.col("mask")).otherwise(every)).where("mask <> 0")
-        .groupBy(F.col("doc_id").alias("_removed_id"))
-        .agg(F.collect_list(F.struct("start", "windows", "content", "mask")).alias("_removed")))
+        .groupBy(F.col("row").alias(row))
+        .agg(F.collect_list(F.struct("start", "mask")).alias("_removed")))
     discard(masks, first)
-    joined = docs.join(
-        removed, F.col("doc_id").cast("long").eqNullSafe(F.col("_removed_id")), "left").drop("_removed_id")
-    schema = StructType(docs.schema.fields + StructType.fromDDL(
-        "n_words long, n_removed long, kept_text string").fields)
-    return joined.mapInArrow(_apply(window, schema), schema)
+    return docs.join(removed, row, "left").mapInArrow(_apply(window, schema), schema)

@@ -17,6 +17,14 @@ find_words = re.compile(WORD).findall
 find_letters = re.compile(r"[^\W\d_]+").findall
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def word_count(text: Column) -> Column:
     """How many words a text has; 0 for null."""
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))), F.lit(0)).cast(

@@ -14,20 +14,12 @@ from pyspark.sql import functions as F
 
 from aval.llm import decontaminate, mixing, pii, simhash, toxicity
 from aval.llm.queries import PSEUDONYM_KEY
-from aval.llm.words import remainder, word_count
+from aval.llm.words import free_name, remainder, word_count
 from aval.session import discard, materialise
 
 ORACLE_SQL = None  # learned scores, bit distances and keyed permutations have no SQL form
 
 
-def free_name(docs: DataFrame, name: str) -> str:
-    """``name``, with underscores added until no column of ``docs`` is called so."""
-    taken = {c.lower() for c in docs.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5; learned from the labels the toxicity query learns from."""
     model = toxicity.learn_toxicity(

@@ -63,6 +63,22 @@ def remove_repeated(docs, window=20):
     return out
 
 
+def remove_repeated_by_place(docs, window=20):
+    """[((id, text), (removed, kept text))] for rows whose ids may repeat or be missing."""
+    listed = [((i is not None, i or 0), find(t or "")) for i, t in docs]
+    first = {}
+    for doc, words in listed:
+        for i in range(len(words) - window + 1):
+            key = tuple(words[i : i + window])
+            first[key] = min(first.get(key, (doc, i)), (doc, i))
+    out = []
+    for row, (doc, words) in zip(docs, listed):
+        gone = {j for i in range(len(words) - window + 1)
+                if first[tuple(words[i : i + window])] != (doc, i) for j in range(i, i + window)}
+        out.append((row, (len(gone), " ".join(w for j, w in enumerate(words) if j not in gone))))
+    return out
+
+
 def edit_distance(pattern, text):
     """Smallest edit distance of the pattern to any stretch of the text."""
     row = [0] * (len(text) + 1)

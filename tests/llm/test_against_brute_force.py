@@ -2,6 +2,7 @@ import random
 
 import brute
 import duckdb
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,6 +81,42 @@ def test_rows_with_one_id_are_at_one_place(spark):
     assert got == {(1, 25), (None, 0)}
 
 
+@pytest.mark.parametrize("shard_passages", [64, 1])
+def test_repeated_and_missing_ids(spark, shard_passages):
+    random.seed(11)
+    common = [f"c{i}" for i in range(70)]
+    rows = []
+    for n in range(60):
+        at, size = random.randrange(40), random.randrange(20, 31)
+        before = [f"b{n}_{i}" for i in range(random.randrange(4))]
+        rows.append((random.choice([None, None, 7, 7, 3, 100 + n]),
+                     " ".join(before + common[at : at + size] + [f"e{n}"] + common[:25])))
+    table = spark.createDataFrame(rows + rows[:5], "doc_id long, text string").withColumn("_row", F.lit(1))
+    got = substring_dedup.remove_repeated(table, shard_passages=shard_passages)
+    assert got.columns == ["doc_id", "text", "_row", "n_words", "n_removed", "kept_text"]
+    assert sorted((repr(r.doc_id), r.text, r.n_removed, r.kept_text) for r in got.collect()) == sorted(
+        (repr(i), t, n, k) for (i, t), (n, k) in brute.remove_repeated_by_place(rows + rows[:5]))
+
+
+def test_passages_of_other_rows_with_the_id_are_not_gathered(spark, monkeypatch):
+    def lengths(window, schema):
+        def run(batches):
+            for batch in batches:
+                sizes = [len(x or []) for x in batch.column("_removed").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("text"), pa.array(sizes, pa.int64()),
+                     pa.array(sizes, pa.int64()), pa.array([""] * len(sizes))], schema.fieldNames())
+
+        return run
+
+    monkeypatch.setattr(substring_dedup, "_apply", lengths)
+    shared = [f"s{i}" for i in range(30)]
+    rows = [(None, " ".join([f"y{n}_{i}" for i in range(n)] + shared)) for n in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [r.n_removed for r in substring_dedup.remove_repeated(table).collect()]
+    assert len(sizes) == 40 and 0 < max(sizes) <= 11  # a text has 11 repeated windows
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from("abc"), min_size=1, max_size=80), st.lists(st.sampled_from("abc"), max_size=80))
 def test_bit_parallel_distance(pattern, text):
