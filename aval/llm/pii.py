@@ -5,7 +5,8 @@ calendar, social security numbers and network addresses by their ranges. A keyed
 network permutes each within its format: separators, lengths and check digits stay right, equal
 values get equal pseudonyms in every document, different values different ones. The network
 works on two numbers (l, r) modulo (a, b), so any domain of a * b values is permuted exactly. Mail
-addresses keep their domain; their local part is permuted character by character.
+addresses keep their domain; their local part is permuted character by character. Slash dates are
+read as dd/MM/yyyy, those valid as MM/dd/yyyy only are permuted among themselves.
 
 Only built-in functions are used. The key is a literal in the query plan: treat plans and event
 logs as confidential where it matters. Edge cases: null stays null; values that fail validation
@@ -34,6 +35,8 @@ PATTERN = f"(?:{MAIL})|(?=[0-9+(])(?:{_NUMBERS})"  # one look ahead rules most c
 # Days from 1900-01-01 to 2099-12-31, as a product.
 _DAYS_A, _DAYS_B = 319, 229
 _FIRST_DAY, _LAST_DAY = "1900-01-01", "2099-12-31"
+# Days after the 12th before each month of a common year; 221 in all.
+_LATE_BEFORE = (0, 19, 35, 54, 72, 91, 109, 128, 147, 165, 184, 202)
 
 
 def _round(key: str, tweak: Column, number: Column, half: Column) -> Column:
@@ -155,6 +158,32 @@ def _date(value: Column, layout: str, key: str) -> Column:
     return F.when(day.between(F.lit(_FIRST_DAY).cast("date"), F.lit(_LAST_DAY).cast("date")), moved)
 
 
+def _month_first(value: Column, key: str) -> Column:
+    """Dates valid as MM/dd/yyyy only, the days after the 12th, permuted among themselves.
+
+    The 49 leap days have a permutation of their own, since 200 years of 221 days leave them out.
+    """
+    day = F.try_to_date(value, "MM/dd/yyyy")
+    before = F.array(*map(F.lit, _LATE_BEFORE))
+    place = F.element_at(before, F.month(day)) + F.dayofmonth(day) - 13
+    new = permute_pair(F.year(day) - 1900, place, F.lit(200), F.lit(221), key, F.lit("month-first"))
+    leap = F.floor((F.year(day) - 1904) / 4)
+    new_leap = permute_pair(F.floor(leap / 7), leap % 7, F.lit(7), F.lit(7), key, F.lit("leap-day"))
+
+    def text(s: Column) -> Column:
+        month = F.size(F.filter(before, lambda b: b <= s["r"]))
+        return F.format_string(
+            "%02d/%02d/%04d", month, s["r"] - F.element_at(before, month) + 13, s["l"] + 1900)
+
+    def leap_text(s: Column) -> Column:
+        return F.format_string("02/29/%04d", 1904 + 4 * (7 * s["l"] + s["r"]))
+
+    known = day.between(F.lit(_FIRST_DAY).cast("date"), F.lit(_LAST_DAY).cast("date"))
+    is_leap = (F.month(day) == 2) & (F.dayofmonth(day) == 29)
+    return F.when(known & is_leap, F.transform(F.array(new_leap), leap_text)[0]).when(
+        known & (F.dayofmonth(day) > 12), F.transform(F.array(new), text)[0])
+
+
 def _shifted(half: Column, stream: Column) -> Column:
     """Every character moved within its class by the byte of ``stream`` (hex) at its place."""
     def move(at: Column) -> Column:
@@ -200,7 +229,7 @@ def pseudonym(value: Column, key: str) -> Column:
     def whole(pattern: str) -> Column:
         return value.rlike(f"^(?:{pattern})$")
 
-    slash = F.coalesce(_date(value, "dd/MM/yyyy", key), _date(value, "MM/dd/yyyy", key))
+    slash = F.coalesce(_date(value, "dd/MM/yyyy", key), _month_first(value, key))
     return F.coalesce(
         F.when(value.contains("@"), _mail(value, key))
         .when(whole(ADDRESS), _address(value, key))

@@ -98,3 +98,17 @@ def test_permutations_are_one_to_one(spark):
     numbers = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
     out = numbers.select(pii.permute_digits(F.col("d"), "k", F.lit("t")).alias("p"))
     assert out.distinct().count() == 10_000 and out.where("length(p) <> 4").count() == 0
+
+
+def test_slash_dates_of_both_layouts_stay_different(spark):
+    from pyspark.sql import functions as F
+
+    days = spark.range(73_049).select(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+    first = days.select(F.date_format("day", "dd/MM/yyyy").alias("d"))
+    only = days.where("day(day) > 12").select(F.date_format("day", "MM/dd/yyyy").alias("d"))
+    out = first.union(only).select("d", pii.pseudonym(F.col("d"), "k").alias("p")).toPandas()
+    assert len(out) == 73_049 + 44_249 and out.p.is_unique
+    late = out.d.str.slice(3, 5).astype(int) > 12
+    assert late.sum() == 44_249 and set(out.d[late]) == set(out.p[late])
+    assert (out.d == out.p).sum() < 100
+    assert masked(["12/25/1899", "13/25/2000", "02/30/2000"], spark) == ["12/25/1899", "13/25/2000", "02/30/2000"]
