@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aval.llm import chat_format, decontaminate, language_id, mixing, pii, quality_rules, simhash
-from aval.llm import substring_dedup, toxicity, warc
+from aval.llm import bpe, chat_format, decontaminate, fill_in_middle, hard_negatives, language_id, mixing
+from aval.llm import pii, quality_rules, simhash, substring_dedup, toxicity, warc
 from aval.llm.words import remainder, word_count
 from aval.session import materialise, shared_folder
 
@@ -100,6 +101,26 @@ def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("matches.item_id").alias("item_ids"), F.col("matches.distance").alias("distances"))
 
 
+def fill_in_middle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = fill_in_middle.fim_pieces(_read(spark, sf_dir, "documents"), ["doc_id"])
+    return fill_in_middle.digests(pieces)
+
+
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.clean_vectors(
+        _read(spark, sf_dir, "embeddings"), F.col("vec_id"), label, F.col("embedding"))
+    return hard_negatives.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def bpe_query(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode_texts(_read(spark, sf_dir, "documents"), path, ["doc_id"])
+    return bpe.decode_ids(encoded, path, ["doc_id", "n_tokens", "ids"]).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": quality_rules_query,
     "op2_chat_format": chat_format_query,
@@ -111,4 +132,7 @@ QUERIES = {
     "op8_substring_dedup": substring_dedup_query,
     "op9_toxicity": toxicity_query,
     "op10_decontaminate": decontaminate_query,
+    "op11_fill_in_middle": fill_in_middle_query,
+    "op12_hard_negatives": hard_negatives_query,
+    "op13_bpe": bpe_query,
 }
