@@ -10,12 +10,14 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import pyarrow as pa  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from aval import config as c  # noqa: E402
 from aval.functions.statistics import exact_medians, modes, value_counts  # noqa: E402
@@ -43,10 +45,12 @@ from aval.sources import derived as dv  # noqa: E402
 from aval.sources.applicants import (  # noqa: E402
     APPLICANT_SCHEMA,
     flatten_applicants,
+    read_applicants,
     with_default_ids,
 )
 from aval.sources.derived import table  # noqa: E402
 from aval.sources.files import load_source  # noqa: E402
+from aval.sources.order import numbered  # noqa: E402
 from oracle_queries import FIXED_INTERCEPT, FIXED_WEIGHTS, statements  # noqa: E402
 
 try:  # the text operators may be left out of an installation
@@ -833,6 +837,79 @@ def json_lines_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_source(spark, path, schema=orders.schema)
 
 
+def _as_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The JSON texts of a task as the lines of one list."""
+    begin = "["
+    for batch in batches:
+        lines = []
+        for text in batch.column(0).to_pylist():
+            lines.append(begin + text)
+            begin = ","
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if begin == "[" else "]"])], ["value"])
+
+
+def _write_lists(spark: SparkSession, rows: DataFrame, files: int, *order: str) -> str:
+    """``rows`` as a folder of JSON lists that follow each other in ``order``."""
+    path = f"{shared_folder(spark)}/lists-{uuid.uuid4().hex}.json"
+    placed = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    placed.select(F.to_json(F.struct(*rows.columns)).alias("value")).mapInArrow(
+        _as_lists, "value string").write.text(path)
+    return path
+
+
+def _noted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a text that holds quotes, braces, backslashes and, for every third, line breaks."""
+    key = F.col("o_orderkey").cast("string")
+    note = F.concat(F.lit('said "'), key, F.lit('}, {[\\", '), F.when(
+        F.col("o_orderkey") % 3 == 0, F.lit('"new\nline"\n')).otherwise(F.lit("")), F.col("o_orderpriority"))
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("o_totalprice"), note.alias("note"))
+
+
+@_query("json_list_orders")
+def json_list_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as JSON lists and read back by splits, with their numbers in the order of the files."""
+    path = _write_lists(spark, _noted_orders(spark, sf_dir), 3, "o_orderkey")
+    schema = "o_orderkey long, o_custkey long, o_totalprice double, note string"
+    return numbered(load_source(spark, path, schema=T.StructType.fromDDL(schema), place=True), "place")
+
+
+@_query("csv_quoted_orders")
+def csv_quoted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose text breaks lines inside quotes, written as CSV and read back by splits."""
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}.csv"
+    orders = _noted_orders(spark, sf_dir)
+    orders.repartitionByRange(3, "o_orderkey").sortWithinPartitions("o_orderkey").write.options(
+        header=True, escape='"').csv(path)
+    rows = numbered(load_source(spark, path, multiline=True, place=True), "place")
+    return rows.select(
+        "place", F.col("o_orderkey").cast("long").alias("o_orderkey"),
+        F.col("o_custkey").cast("long").alias("o_custkey"),
+        F.col("o_totalprice").cast("double").alias("o_totalprice"), "note")
+
+
+@_query("first_order_by_file")
+def first_order_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first order of each customer as the rows stand in several CSV files."""
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}.csv"
+    orders = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") % 3).alias("turn"), "o_orderkey", "o_custkey")
+    orders.repartitionByRange(5, "turn", "o_orderkey").sortWithinPartitions("turn", "o_orderkey").write.option(
+        "header", True).csv(path)
+    rows = load_source(spark, path, sequence=True)
+    return cl.keep_first(rows, ["o_custkey"]).select(
+        F.col("o_custkey").cast("long").alias("o_custkey"), F.col("o_orderkey").cast("long").alias("o_orderkey"))
+
+
+@_query("default_ids_by_file")
+def default_ids_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applicant documents in several JSON lists; those without an id get one from their position."""
+    docs = _documents(spark, sf_dir).withColumn("_key", F.col(c.SEQ)).drop(c.SEQ)
+    path = _write_lists(spark, docs, 4, "_key")
+    return read_applicants(spark, path).select(F.col(c.SEQ).alias("seq"), c.ID)
+
+
 # --- Queries that fit models: no SQL form --------------------------------------------------
 
 _SEGMENT_TABLES: dict[tuple[str, str], dict[str, DataFrame]] = {}

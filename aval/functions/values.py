@@ -106,12 +106,3 @@ def display_missing(df: DataFrame, text: str = c.MISSING_TEXT) -> DataFrame:
     return nan_to_null(df).select(
         *[F.coalesce(col(n).cast("string"), F.lit(text)).alias(n) for n in df.columns]
     )
-
-
-def with_sequence(df: DataFrame, name: str = c.SEQ) -> DataFrame:
-    """Number rows in scan order. Call right after the scan, before any shuffle.
-
-    Unique and stable for a given file listing; ingest your own column where an order across
-    files matters.
-    """
-    return df if name in df.columns else df.withColumn(name, F.monotonically_increasing_id())

@@ -13,10 +13,10 @@ from aval.functions.values import (
     equals_word,
     strip,
     tolerant_number,
-    with_sequence,
     yes_no,
 )
 from aval.operators.quality import require_columns
+from aval.sources.order import with_sequence
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.NullType)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from aval import config as c
 from aval.errors import PreparationError
-from aval.functions.values import col, with_sequence
+from aval.functions.values import col
 from aval.operators import metrics as mt
 from aval.operators import segments as sg
 from aval.operators.aggregate import aggregate_by_client, client_outcomes, client_table
@@ -29,6 +29,7 @@ from aval.operators.models import Classifiers, cross_validate, fit_classifiers,
 from aval.operators.split import stratified_split
 from aval.operators.target import label_approval
 from aval.session import materialise
+from aval.sources.order import with_sequence
 
 
 def combined_table(profile: DataFrame, history: DataFrame, bureau: DataFrame,

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,17 +13,32 @@ from pyspark.sql import types as T
 from aval import config as c
 from aval.errors import MissingPathError, ParseError, SourceNotFoundError, UnsupportedFormatError
 from aval.functions.values import col, nan_to_null, normalise_null_tokens
+from aval.session import materialise
+from aval.sources.order import PLACE, with_place, with_sequence
+from aval.sources.ranges import csv_records, json_records
 from aval.sources.workbook import read_workbooks
 
 CORRUPT = "_corrupt_record"
 
 
-def _permissive(spark: SparkSession, path: str, schema: T.StructType,
-                multiline: bool = False) -> DataFrame:
+def _quoted_rows(records: DataFrame, schema: T.StructType, place: bool) -> DataFrame:
+    """The fields of CSV records that may have line breaks; as ``read_csv`` in all else."""
+    fields = [f"f{i}" for i in range(len(schema) + 1)]
+    parsed = records.withColumn("r", F.from_csv(
+        "value", ", ".join(f"{n} string" for n in fields), {"escape": '"'}))
+    message = F.concat(F.lit("malformed row: "), F.substring("value", 1, 200))
+    checked = parsed.where(F.when(F.col("r")[fields[-1]].isNotNull(), F.raise_error(message).cast("boolean"))
+                           .otherwise(F.lit(True)))
+    kept = [F.col(PLACE)] if place else []
+    return normalise_null_tokens(checked.select(
+        *kept, *(F.col("r")[n].cast(f.dataType).alias(f.name) for n, f in zip(fields, schema))))
+
+
+def _permissive(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows with their whole text in ``CORRUPT`` where the number of fields is not the header's."""
     whole = with_corrupt(schema)
     return spark.read.options(
-        header=True, mode="PERMISSIVE", escape='"', multiLine=multiline,
+        header=True, mode="PERMISSIVE", escape='"',
         columnNameOfCorruptRecord=CORRUPT, enforceSchema=True,
         columnPruning=False,  # otherwise the fields of a line are not all counted
     ).schema(whole).csv(path)
@@ -39,16 +52,21 @@ def _too_long(schema: T.StructType) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             multiline: bool = False) -> DataFrame:
+             multiline: bool = False, place: bool = False) -> DataFrame:
     """CSV with a header, as text; textual spellings of "missing" become NULL.
 
     Lines with fewer fields than the header are completed with NULL; a line with more raises
-    when the data is read. ``multiline`` allows line breaks inside quotes, at the price of one
-    task per file.
+    when the data is read. ``multiline`` allows line breaks inside quotes: the ends of rows are
+    found by the parity of the quotes before them, in as many tasks as the file has splits.
+    ``place`` adds where each row stands (``_at``).
     """
     if schema is None:
         schema = spark.read.options(header=True, escape='"', multiLine=multiline).csv(path).schema
-    rows = _permissive(spark, path, schema, multiline)
+    if multiline:
+        return _quoted_rows(csv_records(spark, path), schema, place)
+    rows = _permissive(spark, path, schema)
+    if place:
+        rows = with_place(rows)
     # The message reads a second column because Spark refuses to read CORRUPT alone.
     message = F.concat_ws(" ", F.lit("malformed line:"), CORRUPT,
                           F.substring(col(schema[0].name), 1, 0))
@@ -88,53 +106,50 @@ def json_is_lines(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _values_beyond_the_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for text in batch.column(0):
-            whole = text.as_py().lstrip("\ufeff \t\r\n")
-            try:
-                _, end = json.JSONDecoder().raw_decode(whole)
-            except ValueError:
-                continue  # the reader reports what cannot be parsed
-            if whole[end:].strip():
-                yield pa.RecordBatch.from_arrays([pa.array([whole[end:end + 80]])], ["rest"])
-
-
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
-              lines: bool | None = None) -> DataFrame:
-    """One record per line (``lines``), which can be split, or a JSON list or object per file.
+              lines: bool | None = None, place: bool = False) -> DataFrame:
+    """One record per line (``lines``), or a JSON list of objects, or one object, per file.
 
-    Without ``lines`` the layout is recognised. A file of one value is one task; one that goes on
-    after its first value is an error, since the reader would drop the rest silently.
+    Without ``lines`` the layout is recognised. All are read in as many tasks as the files have splits; a
+    file that goes on after its value is an error when the data are read. Without ``schema`` the types are
+    inferred from all records. ``place`` adds where each record stands (``_at``).
     """
     lines = json_is_lines(spark, path) if lines is None else lines
-    if not lines:
-        texts = spark.read.text(path, wholetext=True)
-        rest = texts.mapInArrow(_values_beyond_the_first, "rest string").limit(1).collect()
-        if rest:
-            raise ParseError(f"'{path}' holds more than one value: {rest[0][0]!r}")
-    reader = spark.read.options(mode="FAILFAST", multiLine=not lines)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return nan_to_null(reader.json(path))
+    if lines:
+        reader = spark.read.options(mode="FAILFAST")
+        rows = (reader if schema is None else reader.schema(schema)).json(path)
+        return nan_to_null(with_place(rows) if place else rows)
+    records = json_records(spark, path)
+    if schema is None:
+        records = materialise(records, "records")  # read for the types and for the values
+        schema = spark.read.json(records.select("value").rdd.map(lambda r: r[0])).schema
+    kept = [F.col(PLACE)] if place else []
+    parsed = F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")
+    return nan_to_null(records.select(*kept, parsed).select(*kept, "r.*"))
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def parsed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def parsed_lines(lines: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
     """One row per line (``value``) with text; ``CORRUPT`` has those that are no such record."""
     record = F.from_json("value", with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
-    return lines.filter(F.trim("value") != "").select(record.alias("r")).select("r.*")
+    return lines.filter(F.trim("value") != "").select(*keep, record.alias("r")).select(*keep, "r.*")
 
 
-def read_json_quarantine(spark: SparkSession, path: str, schema: T.StructType
-                         ) -> tuple[DataFrame, DataFrame]:
-    """``(good rows, malformed lines)`` of JSON Lines; malformed text is in ``linea``."""
-    rows = parsed_lines(spark.read.text(path), schema)
-    good = nan_to_null(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-    return good, rows.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "linea")
+def read_json_quarantine(spark: SparkSession, path: str, schema: T.StructType, lines: bool = True,
+                         place: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(good rows, malformed ones)`` of JSON Lines, or of the objects of lists; malformed text is in ``linea``.
+
+    Of a list, elements that are no such object are malformed, and so is text behind its end.
+    """
+    source = with_place(spark.read.text(path)) if lines else materialise(
+        json_records(spark, path, strict=False), "records")
+    rows = parsed_lines(source, schema, PLACE)
+    kept = rows if place else rows.drop(PLACE)
+    good = nan_to_null(kept.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    return good, kept.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "linea")
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -150,9 +165,11 @@ def _extension(path: str) -> str:
     return os.path.splitext(path.rstrip("/*"))[1].lstrip(".").lower()
 
 
-def load_source(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
+def load_source(spark: SparkSession, path: str, fmt: str | None = None, sequence: bool = False,
+                **options) -> DataFrame:
     """Load a file, folder or glob with the reader of its extension (or of ``fmt``).
 
+    ``sequence`` adds ``_seq``, which orders rows as they stand in their files, whatever the splits.
     Checked in this order: empty path, nothing there, no reader.
     """
     if not path:
@@ -167,7 +184,10 @@ def load_source(spark: SparkSession, path: str, fmt: str | None = None, **option
         known = ", ".join(sorted(READERS))
         raise UnsupportedFormatError(f"format '.{kind}' of '{path}' has no reader; known: {known}")
     try:
-        return READERS[kind](spark, path, **options)
+        if sequence and kind in ("csv", "json", "jsonl"):
+            options["place"] = True
+        rows = READERS[kind](spark, path, **options)
+        return with_sequence(rows) if sequence else rows
     except Exception as error:
         raise ParseError(f"cannot read '{path}' as {kind}: {error}") from error
 

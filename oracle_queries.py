@@ -651,6 +651,21 @@ SELECT c.ID_Cliente, f.Canal FROM clients c LEFT JOIN (
   GROUP BY ID_Cliente) f USING (ID_Cliente)""", "clients", "history_raw")
     s["json_lines_orders"] = """
 SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"""
+    noted = """
+SELECT row_number() OVER (ORDER BY o_orderkey) AS place, o_orderkey, o_custkey,
+  round(o_totalprice, 2) AS o_totalprice,
+  'said "' || CAST(o_orderkey AS VARCHAR) || '}, {[\\", '
+    || CASE WHEN o_orderkey % 3 = 0 THEN '"new' || chr(10) || 'line"' || chr(10) ELSE '' END
+    || o_orderpriority AS note
+FROM orders"""
+    s["json_list_orders"] = s["csv_quoted_orders"] = noted
+    s["first_order_by_file"] = """
+SELECT o_custkey, arg_min(o_orderkey, (o_orderkey % 3) * 1000000000000 + o_orderkey) AS o_orderkey
+FROM orders GROUP BY o_custkey"""
+    s["default_ids_by_file"] = _statement("""
+SELECT n AS seq, coalesce(id, 'NUEVO-' || CASE WHEN n < 1000 THEN lpad(CAST(n AS VARCHAR), 3, '0')
+  ELSE CAST(n AS VARCHAR) END) AS ID_Cliente
+FROM (SELECT *, row_number() OVER (ORDER BY seq) AS n FROM applicants)""", "applicants")
     s["fold_summary"] = _statement("SELECT modelo, " + ", ".join(
         f"round({m}_cv, 6) AS {m}_cv, round({m}_cv_std, 6) AS {m}_cv_std" for m in METRICS
     ) + " FROM fold_summary", "fold_summary")

@@ -1,11 +1,15 @@
+import json
 import zipfile
 
 import pytest
+from pyspark.sql import types as T
 
 from aval import config as c
 from aval.errors import MissingPathError, ParseError, SourceNotFoundError, UnsupportedFormatError
+from aval.operators.cleaning import keep_first
 from aval.sources import files
 from aval.sources.applicants import flatten_applicants, read_applicants
+from aval.sources.order import numbered, with_place, with_sequence
 
 
 def rows(df):
@@ -123,11 +127,9 @@ def test_applicant_documents(spark, tmp_path):
 
 
 def test_positions_are_consecutive_over_partitions(spark, tmp_path):
-    from aval.sources.applicants import positions
-
     spark.range(100).repartition(7).write.parquet(str(tmp_path / "p"))
     scan = spark.read.parquet(str(tmp_path / "p")).repartition(1).union(spark.range(50).coalesce(3).toDF("id"))
-    found = [r["n"] for r in positions(scan, "n").select("n").collect()]
+    found = [r["n"] for r in numbered(scan, "n").select("n").collect()]
     assert sorted(found) == list(range(1, 151))
 
 
@@ -173,3 +175,112 @@ def test_broken_documents_are_quarantined_in_batch_and_stream(spark, tmp_path):
         query.awaitTermination(60)
         counts[name] = spark.table(name).count()
     assert counts == {"good": 1, "rejected": 2}
+
+
+# --- Files read by splits ------------------------------------------------------------------
+
+
+def in_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+
+
+@pytest.fixture
+def splits(spark):
+    before = {k: spark.conf.get(k) for k in (
+        "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    yield lambda size: in_splits(spark, size)
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+NOTES = ['plain', 'quote " and }', '} {[ ]', 'back\\slash\\', '\\"', '\\\\"}', 'é漢 ', '', 'line\nbreak\n', '"', ',']
+
+
+@pytest.mark.parametrize("size, indent", [(900, None), (1 << 27, 2)])
+def test_json_lists_are_read_by_splits(spark, tmp_path, splits, size, indent):
+    records = [{"id": i, "note": NOTES[i % len(NOTES)], "in": {"x": [i, {"y": "}"}], "z": {}}} for i in range(60)]
+    (tmp_path / "a.json").write_text(json.dumps(records[:45], indent=indent, ensure_ascii=False))
+    (tmp_path / "b.json").write_text("﻿ \n" + json.dumps(records[45:59], indent=indent) + "\n\n")
+    (tmp_path / "c.json").write_text(json.dumps(records[59], indent=indent))
+    (tmp_path / "d.json").write_text(" [ ] ")
+    splits(size)
+    schema = "id long, note string, in struct<x: array<string>, z: struct<q: string>>"
+    rows = numbered(files.read_json(
+        spark, str(tmp_path), T.StructType.fromDDL(schema), lines=False, place=True), "n").orderBy("n").collect()
+    assert [(r["n"], r["id"], r["note"]) for r in rows] == [
+        (i + 1, i, records[i]["note"]) for i in range(60)]
+    assert all(r["in"]["x"][1] == '{"y":"}"}' for r in rows)
+    inferred = files.read_json(spark, str(tmp_path), lines=False)
+    assert inferred.columns == ["id", "in", "note"] and inferred.count() == 60
+
+
+@pytest.mark.parametrize("text", [
+    '[{"a": 1}', '{"a": 1', '[{"a": 1}] x', '[{"a": 1} {"a": 2}]', '[1, {"a": 2}]', '{"a": 1} {"a": 2}',
+    '[{"a": "x}]', '[{"a": 1},]'])
+def test_broken_json_is_an_error(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(ParseError):
+        files.check_readable(files.load_source(spark, str(tmp_path / "x.json"), lines=False,
+                                               schema=T.StructType.fromDDL("a long")), "x")
+
+
+def test_json_elements_are_put_aside(spark, tmp_path, splits):
+    (tmp_path / "x.json").write_text('[{"a": 1}, 5, {"a": 2}, {"a": {}}, {"a": 3}] rest')
+    splits(30)
+    good, bad = files.read_json_quarantine(
+        spark, str(tmp_path), T.StructType.fromDDL("a long"), lines=False)
+    assert rows(good) == [(1,), (3,)]
+    assert sorted(r["linea"] for r in bad.collect()) == [', 5, {"a": 2}', '] rest', '{"a": {}}']
+
+
+@pytest.mark.parametrize("size, end", [(150, "\n"), (1 << 27, "\r\n")])
+def test_quoted_line_breaks_are_read_by_splits(spark, tmp_path, splits, size, end):
+    notes = [n.replace(" ", "") for n in NOTES]
+    quoted = [(i, notes[i % len(notes)]) for i in range(50)]
+    for name, part in (("a", quoted[:40]), ("b", quoted[40:])):
+        lines = ["id,note", *(f'{i},"' + n.replace('"', '""') + '"' for i, n in part)]
+        (tmp_path / f"{name}.csv").write_bytes((end.join(lines) + (end if name == "a" else "")).encode())
+    splits(size)
+    got = numbered(files.load_source(spark, str(tmp_path), fmt="csv", multiline=True, place=True), "n")
+    assert [tuple(r) for r in got.select("n", "id", "note").orderBy("n").collect()] == [
+        (i + 1, str(i), n or None) for i, n in quoted]
+
+
+def test_an_open_quote_and_a_long_row_are_errors(spark, tmp_path):
+    for name, text in (("open", 'a,b\n1,"x\n2,y\n'), ("long", 'a,b\n1,2\n3,"4\n",5\n')):
+        (tmp_path / f"{name}.csv").write_text(text)
+        with pytest.raises(ParseError):
+            files.check_readable(files.load_source(
+                spark, str(tmp_path / f"{name}.csv"), multiline=True), name)
+
+
+def test_first_rows_and_numbers_do_not_follow_the_splits(spark, tmp_path, splits):
+    """Spark reads the larger file first; the order of the files stays that of their names."""
+    def lines(first, n):
+        return "id,age\n" + "".join(f"C{i % 5},{first + i}\n" for i in range(n))
+
+    (tmp_path / "a.csv").write_text(lines(20, 8))
+    (tmp_path / "b.csv").write_text(lines(40, 400))
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "a.jsonl").write_text('{"perfil": {"Edad": 1}}\n{"perfil": {"Edad": 2}}\n')
+    (docs / "b.jsonl").write_text("".join(f'{{"perfil": {{"Edad": {i}}}}}\n' for i in range(3, 90)))
+    for size in (300, 1_500, 1 << 27):
+        splits(size)
+        read = files.load_source(spark, str(tmp_path / "*.csv"), fmt="csv", sequence=True)
+        assert rows(keep_first(read, ["id"]).select("id", "age")) == [(f"C{i}", str(20 + i)) for i in range(5)]
+        plain = with_sequence(files.load_source(spark, str(tmp_path / "*.csv"), fmt="csv"))
+        assert rows(keep_first(plain, ["id"]).select("id", "age")) == [(f"C{i}", str(20 + i)) for i in range(5)]
+        got = read_applicants(spark, str(docs), lines=True).orderBy("_seq").collect()
+        assert [r[c.ID] for r in got] == [f"NUEVO-{i:03d}" for i in range(1, 90)]
+        assert [r["perfil"]["Edad"] for r in got] == [str(i) for i in range(1, 90)]
+
+
+def test_numbering_many_splits_and_filtered_rows(spark, tmp_path, splits):
+    (tmp_path / "a.csv").write_text("x\n" + "".join(f"{i}\n" for i in range(2_000)))
+    splits(200)  # about fifty
+    got = numbered(with_place(files.load_source(spark, str(tmp_path), fmt="csv")), "n")
+    assert [r["x"] for r in got.orderBy("n").collect()] == [str(i) for i in range(2_000)]
+    filtered = numbered(with_place(files.load_source(spark, str(tmp_path), fmt="csv")).where("x % 3 = 0"), "n")
+    assert [r["n"] for r in filtered.orderBy("n").collect()] == list(range(1, 668))
