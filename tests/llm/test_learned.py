@@ -76,3 +76,72 @@ def test_negative_risk_stays_non_negative():
     margin = np.bincount(rows, weights[columns], 330) + bias
     loss = 1 / (1 + np.exp(-margin))
     assert loss[~positive].mean() - 0.1 * loss[positive].mean() > -0.02
+
+
+def toxic_table(spark, seed=4, n=900):
+    random.seed(seed)
+    rows = []
+    for i in range(n):
+        words = [f"w{random.randrange(200)}" for _ in range(40)]
+        if i % 6 == 0:
+            words[random.randrange(40)] = random.choice(["nasty", "vilelike", "vileness"])
+        rows.append((i, " ".join(words)))
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_toxicity_without_a_single_negative(spark):
+    """Confirmed toxic labels alone give the prior, and the same verdicts."""
+    _, table = toxic_table(spark)
+    known = spark.createDataFrame([(i, 1) for i in range(0, 900, 18)], "doc_id long, toxic int")
+    model = toxicity.learn_toxicity(table, known, F.lit(True))
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(table, model, ["doc_id"]).collect()}
+    assert sum(got[i] >= 0.5 for i in range(0, 900, 6)) >= 0.9 * 150
+    assert sum(got[i] >= 0.5 for i in range(900) if i % 6) <= 0.01 * 750
+
+
+def test_the_prior_is_estimated(spark):
+    rng = np.random.default_rng(8)
+    for share in (0.05, 0.2, 0.5):
+        toxic = np.r_[np.ones(400, bool), rng.random(3_000) < share]
+        positive = np.r_[np.ones(400, bool), np.zeros(3_000, bool)]
+        pairs = [(i, f) for i, t in enumerate(toxic) for f in range(10) if rng.random() < (0.35 if t else 0.01)]
+        rows, columns = np.array(pairs).T
+        assert abs(toxicity.estimate_prior(rows, columns, positive, 10) - share) < 0.05
+
+
+def test_the_labelled_share_is_an_option(spark):
+    _, table = toxic_table(spark)
+    known = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(0, 900, 3)], "doc_id long, toxic int")
+    model = toxicity.learn_toxicity(table, known, F.lit(True), toxicity.LABELLED_SHARE)
+    assert model.weights["nasty"] > 0
+    assert toxicity.learn_toxicity(table, known, F.lit(True), 0.17).weights["nasty"] > 0
+
+
+def test_toxicity_is_repeatable_where_ids_repeat(spark):
+    rows, table = toxic_table(spark)
+    known = spark.createDataFrame([(i, 1) for i in range(0, 900, 6)], "doc_id long, toxic int")
+    more = spark.createDataFrame([(i, f"other {t}") for i, t in rows[:200]], "doc_id long, text string")
+    one = toxicity.learn_toxicity(table.union(more).repartition(7), known, F.lit(True))
+    two = toxicity.learn_toxicity(more.union(table).repartition(3), known, F.lit(True))
+    assert one == two
+
+
+def test_one_step_of_the_fit_follows_the_plain_risk():
+    """The first step of Adam goes against the sign of the risk's gradient, taken by differences."""
+    rng = np.random.default_rng(2)
+    x = rng.random((60, 6)) < 0.4
+    positive, prior, rate = np.arange(60) < 15, 0.3, 0.05
+    rows, columns = np.nonzero(x)
+
+    def risk(theta):
+        loss_as_one = 1 / (1 + np.exp(x @ theta[:-1] + theta[-1]))
+        negative = (1 - loss_as_one)[~positive].mean() - prior * (1 - loss_as_one)[positive].mean()
+        return prior * loss_as_one[positive].mean() + max(0, negative)
+
+    zero, step = np.zeros(7), 1e-6
+    gradient = np.array([(risk(zero + step * e) - risk(zero - step * e)) / (2 * step) for e in np.eye(7)])
+    weights, bias = toxicity.fit_nnpu(rows, columns, positive, 6, prior, steps=1, rate=rate)
+    wanted = -rate * np.sign(gradient)
+    clear = np.abs(gradient[:-1]) > 1e-4
+    assert clear.sum() >= 4 and np.isclose(bias, wanted[-1], atol=1e-5)
+    assert np.allclose(weights[clear], np.maximum(wanted[:-1], 0)[clear], atol=1e-5)
