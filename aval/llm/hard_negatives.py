@@ -248,7 +248,7 @@ def best_rows(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asks"),
         "row", "vec_id", "label", "v", "scores")
     found = (
-        dealt.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+        dealt.unionByName(asked).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "asks")
         .mapInArrow(_search_shards(same, k, low_percent, high_percent),
                     "row long, at int, score long, other_id long, other long"))
     order = Window.partitionBy("row", "at").orderBy(F.desc("score"), "other_id", "other")
