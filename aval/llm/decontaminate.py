@@ -4,12 +4,14 @@ An item of m words may occur with up to k = floor(error_rate * m) word insertion
 substitutions. Cut into k + 1 pieces, at least one piece then occurs unchanged. All pieces are
 searched at once in every whole text; around each hit the distance of the item to the text is
 computed exactly by Myers' algorithm over words. Texts and items are compared by their
-lower-case words, without punctuation.
+lower-case words, without punctuation; in scripts without spaces a character is a word. Items too short for an
+edit (under ten words at a rate of a tenth) are found where they occur unchanged.
 
-Edge cases: null or empty texts match nothing; neither do null items nor items under
-``min_item_words`` words. Equal items are reported under each id. A text's smallest distance per
+Edge cases: null or empty texts match nothing; neither do null items nor items without a word, nor those under
+``min_item_words`` words, if it is raised above 1. Texts and items of any length are searched whole. Equal items are reported under each id. A text's smallest distance per
 item id is reported, once, also where rows of the benchmark repeat the id. Repeated documents get a row each. Other columns are
-not read; in ``docs``, names starting with ``_hit`` are reserved.
+not read, whatever they are called; one named like the result is replaced. Empty tables give no rows, and an
+empty benchmark no matches.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aval.llm.words import per_text
+from aval.llm.words import free_name, per_text
 from aval.session import materialise
 
-_words = re.compile(r"\w+").findall
+# Thai, Lao, Burmese, Khmer, kana and Han are written without spaces.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff"
+_words = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+").findall
 MATCHES = "array<struct<item_id:bigint,distance:int>>"
 
 
@@ -104,15 +108,20 @@ class ItemSearch:
         return sorted(best.items())
 
 
-def _blocks(items: DataFrame, size: int, min_words: int) -> Iterator[list[tuple[int, list[str]]]]:
+def _blocks(
+    items: DataFrame, size: int, characters: int, min_words: int
+) -> Iterator[list[tuple[int, list[str]]]]:
     block: list[tuple[int, list[str]]] = []
+    held = 0
     for row in items.toLocalIterator():
         words = normalised(row[1])
-        if len(words) >= min_words:
-            block.append((row[0], words))
-        if len(block) == size:
+        if len(words) < max(min_words, 1):
+            continue
+        if len(block) == size or (block and held + len(row[1]) > characters):
             yield block
-            block = []
+            block, held = [], 0
+        block.append((row[0], words))
+        held += len(row[1])
     if block:
         yield block
 
@@ -131,11 +140,12 @@ def _searcher(shared, error_rate: float):
 
 def find_items(
     docs: DataFrame, benchmark: DataFrame, keep: list[str], error_rate: float = 0.1,
-    min_item_words: int = 5, block_items: int = 20_000, result: str = "matches",
+    min_item_words: int = 1, block_items: int = 20_000, result: str = "matches",
+    block_characters: int = 20_000_000,
 ) -> DataFrame:
     """``keep`` and ``result`` (see ``MATCHES``), which replaces a column of that name.
 
-    Up to ``block_items`` items are broadcast and searched in one projection. More items are
+    Up to ``block_items`` items of ``block_characters`` together are broadcast and searched in one projection. More are
     searched block by block: each block is one scan of the texts whose few hits are stored by the
     digest of the text, and its broadcast is given up before the next, so a task never holds more
     than one block and the driver two. The hits are joined to the texts at the end.
@@ -144,7 +154,7 @@ def find_items(
     known = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
         F.col("item_id").cast("long"), "text")
     keep = [c for c in keep if c != result]
-    blocks = _blocks(known, block_items, min_item_words)
+    blocks = _blocks(known, block_items, block_characters, min_item_words)
     block, following = next(blocks, []), next(blocks, None)
     if following is None:
         work = _searcher(context.broadcast(block), error_rate)
@@ -159,10 +169,11 @@ def find_items(
             .agg(F.min("distance").alias("distance")), "item-hits"))
         shared.destroy()
         block, following = following, next(blocks, None)
+    text, listed = free_name(docs, "_hit_text"), free_name(docs, "_hit_items")
     by_text = (
         reduce(DataFrame.unionByName, hits).groupBy("_hit_text", "item_id")
-        .agg(F.min("distance").alias("distance")).groupBy("_hit_text")
-        .agg(F.array_sort(F.collect_list(F.struct("item_id", "distance"))).alias("_hit_items")))
-    joined = docs.join(by_text, F.sha2("text", 256) == F.col("_hit_text"), "left")
+        .agg(F.min("distance").alias("distance")).groupBy(F.col("_hit_text").alias(text))
+        .agg(F.array_sort(F.collect_list(F.struct("item_id", "distance"))).alias(listed)))
+    joined = docs.join(by_text, F.sha2("text", 256) == F.col(text), "left")
     return joined.select(
-        *keep, F.coalesce("_hit_items", F.array().cast(MATCHES)).alias(result))
+        *keep, F.coalesce(listed, F.array().cast(MATCHES)).alias(result))

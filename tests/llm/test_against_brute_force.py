@@ -140,7 +140,7 @@ def test_items_with_edits_are_found(spark, block_items):
            for r in decontaminate.find_items(table, bench, ["doc_id"], block_items=block_items).collect()}
     for doc, text in rows:
         want = {}
-        for n, item in items:
+        for n, item in [*items, (9, "before it")]:
             words = decontaminate.normalised(item)
             distance = brute.edit_distance(words, decontaminate.normalised(text))
             if distance <= len(words) // 10:
@@ -148,3 +148,26 @@ def test_items_with_edits_are_found(spark, block_items):
         assert got[doc] == want
     assert got[98] == got[99] == {} and len(got) == len(rows) + 2
     assert decontaminate.find_items(table, bench, table.columns, block_items=block_items).count() == len(rows) + 4
+
+
+@pytest.mark.parametrize("block_items", [1, 1_000])
+def test_short_items_and_clashing_names(spark, block_items):
+    """Items under five words, also without spaces, occur unchanged or not at all."""
+    rows = [(1, "The answer is forty two, he said."), (2, "the answer is forty-one"), (3, "今天天气很好,我们去公园"),
+            (4, "今天天氣很好"), (5, None), (6, "Yes"), (7, "yesterday"), (8, "... !!")]
+    table = spark.createDataFrame(
+        [(i, t, "a", "b", i) for i, t in rows],
+        "doc_id long, text string, _hit_text string, _hit_items string, matches long")
+    bench = spark.createDataFrame(
+        [(10, "forty two"), (11, "天气很好"), (12, "yes!"), (13, ""), (14, "?!"), (15, "is forty")],
+        "item_id long, text string")
+    found = decontaminate.find_items(table, bench, table.columns, block_items=block_items).collect()
+    got = {r["doc_id"]: [(m["item_id"], m["distance"]) for m in r["matches"]] for r in found}
+    assert got == {1: [(10, 0), (15, 0)], 2: [(15, 0)], 3: [(11, 0)], 4: [], 5: [], 6: [(12, 0)], 7: [], 8: []}
+    assert all((r["_hit_text"], r["_hit_items"]) == ("a", "b") for r in found)
+
+
+def test_blocks_are_bounded_by_characters(spark):
+    bench = spark.createDataFrame([(i, f"item number {i} " * 10) for i in range(20)], "item_id long, text string")
+    blocks = list(decontaminate._blocks(bench, 1_000, 500, 1))
+    assert len(blocks) > 5 and sum(map(len, blocks)) == 20
