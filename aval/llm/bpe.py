@@ -26,6 +26,7 @@ import heapq
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,8 @@ _END = "</w>"
 _REMEMBERED = 200_000  # words a task remembers, at most
 _LONGEST = 64
 _CHUNK = 1 << 20  # characters of text encoded together
-_NEVER = np.iinfo(np.int64).max
+_ROWS = 1_000  # rows of a batch worked on together
+_NEVER = int(np.iinfo(np.int64).max)
 _beyond_latin = re.compile("[̀-\U0010ffff]").search
 
 
@@ -50,6 +52,17 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
+def _spelled_out(pattern: str) -> str:
+    """``pattern`` for ``re`` and characters below U+0300: classes of characters as lists of ranges."""
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        found = [i for i in range(0x300) if regex.match(name, chr(i))]
+        begins = [i for i in found if i - 1 not in found]
+        ends = [i for i in found if i + 1 not in found]
+        pattern = pattern.replace(name, "".join(
+            f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(begins, ends)))
+    return pattern
+
+
 class BytePairs:
     """The merges of one vocabulary file, and the words already encoded with it."""
 
@@ -59,14 +72,12 @@ class BytePairs:
         plain = ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
         if model["type"] != "BPE" or model["end_of_word_suffix"] != _END or any(map(model.get, plain)):
             raise ValueError("only plain BPE over bytes with word ends is supported")
-        if spec["decoder"] is not None:
-            raise ValueError("only files without a decoder are supported")
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(not t["special"] or t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]
                for t in spec["added_tokens"]):
             raise ValueError("only plain special tokens are supported")
-        self.names = {i: t for t, i in (self.ids | self.special).items()}
+
         self._translate = byte_characters()
         letters = list(self._translate.values())
         if not all(c in self.ids and c + _END in self.ids for c in letters):
@@ -76,14 +87,16 @@ class BytePairs:
         if [s["type"] for s in splits] != ["Split", "ByteLevel"] or not splits[0]["invert"] or (
                 splits[0]["behavior"] != "Removed" or splits[1]["use_regex"] or splits[1]["add_prefix_space"]):
             raise ValueError("only words cut by one pattern are supported")
-        self._pattern = regex.compile(splits[0]["pattern"]["Regex"])
+        pattern = splits[0]["pattern"]["Regex"]
+        self._pattern = regex.compile(pattern)
         steps = spec["normalizer"]["normalizers"]
         self._latin_is_lower = [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and (
             steps[1]["pattern"], steps[1]["content"]) == ({"Regex": r"\s+"}, " ")
+        self._find_latin = re.compile(_spelled_out(pattern)).findall if self._latin_is_lower else None
         self._cut_special = re.compile(
             "(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if (
             self.special) else (lambda text: [text])
-        self._library = Tokenizer.from_str(content.decode())
+        self._content = content
         self._agreed: set[str] = set()
         self._from_bytes = {c: b for b, c in self._translate.items()}
         self._forget()
@@ -91,7 +104,7 @@ class BytePairs:
     def _learn(self, merges: list) -> None:
         """Rank, left and right part of every token, and the ranks of all pairs in a sorted table."""
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
-        size = max(self.names) + 1
+        size = max(self.ids.values()) + 1
         self._rank = np.full(size, -1, np.int64)
         self._left, self._right = np.zeros(size, np.int64), np.zeros(size, np.int64)
         left = np.array([self.ids[a] for a, _ in pairs], np.int64)
@@ -113,9 +126,13 @@ class BytePairs:
             reached[token] = good and reached[a] and reached[b]
         self._inner = {t: i for t, i in self.ids.items() if reached[i] and not t.endswith(_END)}
         self._final = {t[: -len(_END)]: i for t, i in self.ids.items() if reached[i] and t.endswith(_END)}
-        self._span = max(map(len, self._inner))
+        self._beginnings = {t[:n]: -1 for t in self._inner for n in range(1, len(t))} | self._inner
         self._final_span = max(map(len, self._final))
 
+    @cached_property
+    def _library(self) -> Tokenizer:
+        return Tokenizer.from_str(self._content.decode())
+
     def _forget(self) -> None:
         self._known = {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
 
@@ -147,19 +164,45 @@ class BytePairs:
     def propose(self, word: str) -> list[int]:
         """Greedy longest match, left to right, over the characters that stand for bytes."""
         out, at, size = [], 0, len(word)
+        begins = self._beginnings.get
         while True:
             if size - at <= self._final_span and (last := self._final.get(word[at:])) is not None:
                 out.append(last)
                 return out
-            for end in range(min(at + self._span, size - 1), at, -1):
-                if (token := self._inner.get(word[at:end])) is not None:
-                    out.append(token)
-                    at = end
+            for end in range(at + 1, size):
+                if (token := begins(word[at:end])) is None:
                     break
+                if token >= 0:
+                    longest, to = token, end
+            out.append(longest)
+            at = to
 
     def merge(self, word: str) -> list[int]:
         """The tokens of a word by merging the first pair of the lowest rank until none is left."""
-        tokens = [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + _END]]
+        tokens = self.ids_of(word)
+        return self._merge_short(tokens) if len(tokens) <= _LONGEST else self._merge_long(tokens)
+
+    def ids_of(self, word: str) -> list[int]:
+        """A token per character, the last one with the word's end."""
+        return [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + _END]]
+
+    def _merge_short(self, tokens: list[int]) -> list[int]:
+        """A scan for the lowest rank per merge."""
+        size, none = self._size, (_NEVER, -1)
+        pairs = self._pairs.get
+        ranks = [pairs(a * size + b, none)[0] for a, b in zip(tokens, tokens[1:])]
+        while ranks and (lowest := min(ranks)) < _NEVER:
+            at = ranks.index(lowest)
+            tokens[at : at + 2] = [pairs(tokens[at] * size + tokens[at + 1])[1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = pairs(tokens[at - 1] * size + tokens[at], none)[0]
+            if at < len(ranks):
+                ranks[at] = pairs(tokens[at] * size + tokens[at + 1], none)[0]
+        return tokens
+
+    def _merge_long(self, tokens: list[int]) -> list[int]:
+        """A heap of the pairs, so a word of any length takes n log n steps."""
         after = [*range(1, len(tokens)), -1]
         before = [*range(-1, len(tokens) - 1)]
         heap: list[tuple[int, int, int, int]] = []
@@ -205,8 +248,10 @@ class BytePairs:
             if part in self.special:
                 out.append(part)
                 continue
-            latin = self._latin_is_lower and not _beyond_latin(part)
-            part = part.lower() if latin else self._library.normalizer.normalize_str(part)
+            if self._find_latin and not _beyond_latin(part):
+                out += self._find_latin(part.lower())
+                continue
+            part = self._library.normalizer.normalize_str(part)
             if all(map(self._alike, set(part) - self._agreed)):
                 out += self._pattern.findall(part)
             else:
@@ -242,26 +287,36 @@ class BytePairs:
             for words in cut:
                 yield b"".join([known[w] if w in known else packed[w] for w in words])
 
+
+class TokenNames:
+    """The strings of the ids of one vocabulary file."""
+
+    def __init__(self, content: bytes):
+        spec = json.loads(content)
+        if spec["decoder"] is not None:
+            raise ValueError("only files without a decoder are supported")
+        self._names = {i: t for t, i in spec["model"]["vocab"].items()}
+        self._names |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+
     def decode(self, ids: bytes | None) -> str:
         numbers = np.frombuffer(ids or b"", "<u4").tolist()
-        return " ".join([self.names[i] for i in numbers if i in self.names])
+        return " ".join([self._names[i] for i in numbers if i in self._names])
 
 
-_LOADED: dict[str, BytePairs] = {}
+_LOADED: dict[type, tuple] = {}
 
 
-def load(content: bytes) -> BytePairs:
-    """The vocabulary of a file's bytes; a worker process keeps the last one it used."""
+def _load(kind: type, content: bytes):
+    """``kind(content)``; a worker process keeps the last one it used of each kind."""
     key = hashlib.sha256(content).hexdigest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = BytePairs(content)
-    return _LOADED[key]
+    if _LOADED.get(kind, ("",))[0] != key:
+        _LOADED[kind] = key, kind(content)
+    return _LOADED[kind][1]
 
 
 def _with_vocabulary(
-    df: DataFrame, path: str, keep: list[str], column: str, schema: str,
-    work: Callable[[BytePairs, list], Iterator[tuple]],
+    df: DataFrame, path: str, keep: list[str], column: str, schema: str, kind: type,
+    work: Callable[..., Iterator[tuple]],
 ) -> DataFrame:
     """``keep`` columns and the values that ``work`` makes of ``column``; a projection."""
     with open(path, "rb") as file:
@@ -273,13 +328,15 @@ def _with_vocabulary(
     arrow = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = load(shared.value)
-        for batch in batches:
-            rows = list(work(vocabulary, batch.column(at[column]).to_pylist()))
-            columns = list(zip(*rows)) if rows else [()] * len(arrow)
-            arrays = [pa.array(values, field.type) for values, field in zip(columns, arrow)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(at[c]) for c in keep] + arrays, keep + arrow.names)
+        vocabulary = _load(kind, shared.value)
+        for whole in batches:
+            for first in range(0, max(len(whole), 1), _ROWS):
+                batch = whole.slice(first, _ROWS)
+                rows = list(work(vocabulary, batch.column(at[column]).to_pylist()))
+                columns = list(zip(*rows)) if rows else [()] * len(arrow)
+                arrays = [pa.array(values, field.type) for values, field in zip(columns, arrow)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(at[c]) for c in keep] + arrays, keep + arrow.names)
 
     return source.mapInArrow(run, StructType([source.schema[c] for c in keep] + added.fields))
 
@@ -288,7 +345,7 @@ def _encoded(vocabulary: BytePairs, texts: list) -> Iterator[tuple]:
     return ((len(ids) // 4, ids) for ids in vocabulary.encode(texts))
 
 
-def _decoded(vocabulary: BytePairs, packed: list) -> Iterator[tuple]:
+def _decoded(vocabulary: TokenNames, packed: list) -> Iterator[tuple]:
     return ((vocabulary.decode(ids),) for ids in packed)
 
 
@@ -297,9 +354,9 @@ def encode_texts(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
 
     ``path`` is the vocabulary file, read by the driver.
     """
-    return _with_vocabulary(docs, path, keep, "text", "n_tokens long, ids binary", _encoded)
+    return _with_vocabulary(docs, path, keep, "text", "n_tokens long, ids binary", BytePairs, _encoded)
 
 
 def decode_ids(table: DataFrame, path: str, keep: list[str]) -> DataFrame:
     """``keep`` and ``decoded``, the text of ``ids`` as the library writes it without a decoder."""
-    return _with_vocabulary(table, path, keep, "ids", "decoded string", _decoded)
+    return _with_vocabulary(table, path, keep, "ids", "decoded string", TokenNames, _decoded)

@@ -260,3 +260,14 @@ def test_verification_accepts_what_merging_gives_and_nothing_else(pairs):
 def test_unsupported_vocabularies_are_refused(pairs):
     with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as file, pytest.raises(ValueError):
         bpe.BytePairs(file.read())
+
+
+def test_short_and_long_words_merge_alike(pairs):
+    for size in (1, 2, 9, 60):
+        for word in np.random.default_rng(size).choice(list("anhelo"), (300, size)):
+            tokens = pairs.ids_of("".join(word))
+            assert pairs._merge_short(list(tokens)) == pairs._merge_long(list(tokens))
+
+
+def test_latin_characters_are_cut_as_the_library_cuts_them(pairs):
+    assert all(pairs._alike(chr(i)) for i in range(0x300))
