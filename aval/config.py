@@ -142,8 +142,10 @@ class TrainingConfig:
 class EvaluationConfig:
     """Cross-validation and silhouette settings.
 
-    ``silhouette_metric`` holds at every number of rows: ``"squaredEuclidean"`` takes linear
-    time, ``"euclidean"`` needs every pair of rows. ``max_segments`` bounds the clusters a
+    ``silhouette_metric`` and ``silhouette_anchors`` hold at every number of rows: ``"euclidean"`` measures all
+    rows against so many anchors per cluster, in linear time and with a standard error (exact where no
+    cluster is larger), or against all rows without anchors; ``"squaredEuclidean"`` is another, also
+    linear number, whose levels have no names. ``max_segments`` bounds the clusters a
     silhouette is measured over, of which it keeps one row each. ``prepare_folds`` learns
     imputation, categories and scaling anew from the training part of every fold.
     """
@@ -152,7 +154,8 @@ class EvaluationConfig:
     seed: int = 42
     segment_counts: tuple[int, ...] = (2, 3, 4, 5)
     silhouette_block: int = 2_000
-    silhouette_metric: str = "squaredEuclidean"
+    silhouette_metric: str = "euclidean"
+    silhouette_anchors: int | None = 1_000
     max_segments: int = 1_000
     parallel_fits: int = 8
     prepare_folds: bool = False

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,29 +199,113 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = (c.ID,)) -> list[s
     return [f.name for f in df.schema if is_numeric(f.dataType) and f.name not in exclude]
 
 
-def _pairwise(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Long ``(variable_1, variable_2, r)`` for the pairs, in one scan.
+def _pairwise(df: DataFrame, lefts: list[str], rights: list[str], upper: bool) -> DataFrame:
+    """Long ``(variable_1, variable_2, r)`` for every left with every right column, in one scan of the data.
 
-    Each row yields one entry per pair that is complete in it, and the entries are reduced
-    map-side to one row per pair and task. The plan keeps its size however many pairs there
-    are. A pair that is constant on its shared rows has no correlation (NULL).
+    A pair counts the rows where both are present. Per Arrow batch numpy multiplies the matrices of values, of
+    squares and of presence; a task returns one row of sums per left column, whatever its rows. The sums
+    of tasks are added in two steps, so no reducer reads more than about the square root of their number for
+    a column. Values are centred at the columns' means, which keeps the sums small. ``upper`` keeps pairs
+    whose right column stands behind the left one. A pair that is constant on its shared rows (its variance under
+    1e-12 of its mean square) has no correlation (NULL).
     """
-    def value(name: str) -> Column:
-        return without_nan(col(name).cast("double"), df.schema[name].dataType)
-
-    names = sorted({n for pair in pairs for n in pair})
-    values = df.select(*[value(n).alias(n) for n in names])
-    entries = values.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), col(a).alias("x"), col(b).alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ]))).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    spread = F.stddev_pop("x") * F.stddev_pop("y")
-    measured = entries.groupBy("i").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("r"))
-    labels = df.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(pairs)],
-        "i int, variable_1 string, variable_2 string",
-    )
-    return labels.join(measured, "i", "left").select("variable_1", "variable_2", "r")
+    names = list(dict.fromkeys([*lefts, *rights]))
+    values = df.select(*[
+        without_nan(col(n).cast("double"), df.schema[n].dataType).alias(n) for n in names])
+    means = values.agg(*[F.avg(col(n)).alias(n) for n in names]).first()
+    centre = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    left, right = [names.index(n) for n in lefts], [names.index(n) for n in rights]
+
+    sums = values.mapInArrow(_masked_products(centre, left, right), _SUMS)
+    grouped = sums.withColumn("task", F.col("task") % _ADDERS).repartition("i", "task")
+    grouped = grouped.sortWithinPartitions("i", "task").mapInArrow(_added, _SUMS)
+    measured = grouped.repartition("i").sortWithinPartitions("i").mapInArrow(
+        _correlations, "i int, j int, r double")
+    labels = df.sparkSession.createDataFrame(list(enumerate(names)), "n int, name string")
+    places = {"i": left, "j": right}
+    for key, title in (("i", "variable_1"), ("j", "variable_2")):
+        place = df.sparkSession.createDataFrame(list(enumerate(places[key])), f"{key} int, n int")
+        # One row per column of the input.
+        measured = measured.join(F.broadcast(place.join(labels, "n").select(
+            key, F.col("n").alias(f"{key}_n"), F.col("name").alias(title))), key)
+    kept = measured.where("j_n > i_n") if upper else measured
+    return kept.select("variable_1", "variable_2", "r")
+
+
+_SUMS = "i int, task long, sums array<double>"
+_ADDERS = 64  # groups of tasks whose sums are added first
+_CELLS = 1 << 20  # values of a batch multiplied together
+
+
+def _masked_products(centre: np.ndarray, left: list[int], right: list[int]):
+    """Per left column: counts, sums of either side, sums of squares of either, sums of products."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((6, len(left), len(right)))
+        step = max(1, _CELLS // len(centre))
+        for whole in batches:
+            for first in range(0, len(whole), step):
+                batch = whole.slice(first, step)
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                there = ~np.isnan(x)
+                x = np.where(there, x - centre, 0.0)
+                a, b, p, q = x[:, left], x[:, right], there[:, left] * 1.0, there[:, right] * 1.0
+                totals += np.stack([p.T @ q, a.T @ q, p.T @ b, (a * a).T @ q, p.T @ (b * b), a.T @ b])
+        task = TaskContext.get().partitionId()
+        rows = totals.transpose(1, 0, 2).reshape(len(left), -1)
+        for i, row in enumerate(rows):
+            yield _sum_row(i, task, row)
+
+    return run
+
+
+def _sum_row(i: int, task: int, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([i], pa.int32()), pa.array([task], pa.int64()),
+         pa.ListArray.from_arrays(pa.array([0, len(sums)], pa.int32()), pa.array(sums))], ["i", "task", "sums"])
+
+
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray]]:
+    for batch in batches:
+        for i, task, sums in zip(batch.column("i").to_pylist(), batch.column("task").to_pylist(),
+                                 batch.column("sums")):
+            yield (i, task), sums.values.to_numpy()
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that follow each other with the same keys as one."""
+    key, total = None, None
+    for found, sums in _sum_rows(batches):
+        if found == key:
+            total = total + sums
+            continue
+        if key is not None:
+            yield _sum_row(*key, total)
+        key, total = found, sums
+    if key is not None:
+        yield _sum_row(*key, total)
+
+
+def _correlations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Up to ``_ADDERS`` rows of a column follow each other.
+    column, total = None, None
+    for (i, _), sums in _sum_rows(batches):
+        if column is not None and i != column:
+            yield _correlation_rows(column, total)
+            total = None
+        column, total = i, sums if total is None else total + sums
+    if column is not None:
+        yield _correlation_rows(column, total)
+
+
+def _correlation_rows(i: int, sums: np.ndarray) -> pa.RecordBatch:
+    n, a, b, aa, bb, ab = sums.reshape(6, -1)
+    with np.errstate(all="ignore"):
+        spread_a, spread_b = aa / n - (a / n) ** 2, bb / n - (b / n) ** 2
+        r = (ab / n - (a / n) * (b / n)) / np.sqrt(spread_a * spread_b)
+        known = (n > 0) & (spread_a > 1e-12 * (aa / n)) & (spread_b > 1e-12 * (bb / n))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(n), i), pa.int32()), pa.array(np.arange(len(n)), pa.int32()),
+         pa.array(r, mask=~known)], ["i", "j", "r"])
 
 
 def correlation_matrix(df: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -232,10 +319,9 @@ def correlation_matrix(df: DataFrame, names: list[str] | None = None) -> DataFra
     diagonal = df.sparkSession.createDataFrame(
         [(n, n, 1.0) for n in varying], "variable_1 string, variable_2 string, r double"
     )
-    pairs = list(combinations(varying, 2))
-    if not pairs:
+    if len(varying) < 2:
         return diagonal
-    upper = _pairwise(df, pairs)
+    upper = _pairwise(df, varying, varying, upper=True)
     both = upper.select(F.inline(F.array(
         F.struct("variable_1", "variable_2", "r"),
         F.struct(F.col("variable_2").alias("variable_1"),
@@ -260,7 +346,7 @@ def correlation_with_target(df: DataFrame, target: str = c.TARGET,
         raise PreparationError("the target does not vary, or no other column does")
     size = F.abs(F.col("r"))
     return (
-        _pairwise(df, [(n, target) for n in others])
+        _pairwise(df, others, [target], upper=False)
         .filter(F.col("r").isNotNull())
         .select(
             F.col("variable_1").alias("variable"), "r",

@@ -4,23 +4,25 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aval import config as c
 from aval.errors import EvaluationError, InvalidTrainingDataError
 from aval.functions.values import col
-from aval.session import materialise
+from aval.session import discard, materialise
 from aval.operators.features import assemble, check_inputs
 
 
@@ -206,6 +208,116 @@ def _silhouette_value(per_row: DataFrame, key: str, segment: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Silhouette:
+    """A mean silhouette, its standard error, and how many rows it is the mean of."""
+
+    value: float
+    error: float
+    rows: int
+
+
+def silhouette_by_anchors(df: DataFrame, vector: str, segment: str, key: str, anchors: int = 1_000,
+                          max_segments: int = 1_000, max_anchors: int = 20_000) -> Silhouette:
+    """Mean Euclidean silhouette from distances to anchors, in linear time.
+
+    A cluster's anchors are its ``anchors`` rows (fewer with many clusters: ``max_anchors`` in all) whose keys
+    have the smallest md5. The mean distance of a row to a cluster is that to the cluster's anchors, so all rows
+    are measured and one matrix product per Arrow batch gives their distances. Where a cluster has no
+    more rows than anchors its distances are exact; with all clusters so small the result is the exact
+    silhouette and the error 0. Otherwise the error is a jackknife's: the anchors are dealt in ten groups, and
+    the mean is taken again without each, scaled by the share of rows that are no anchors. What the driver sees is
+    the anchors and eleven sums per task.
+    """
+    rows = materialise(_measurable(df, vector, segment, key).withColumn(
+        "r", F.monotonically_increasing_id()), "silhouette-rows")
+    sizes = _cluster_sizes(rows, max_segments)
+    each = max(2, min(anchors, max_anchors // len(sizes)))
+    order = Window.partitionBy("s").orderBy(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), "r")
+    chosen = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).orderBy(
+        "s", "n").select("r", "s", "n", "v").collect()
+    segments = sorted(sizes)
+    points = np.array([a["v"] for a in chosen], np.float64)
+    owner = np.array([segments.index(a["s"]) for a in chosen])
+    group = np.array([(a["n"] - 1) % _GROUPS for a in chosen])
+    anchor_rows = {a["r"]: i for i, a in enumerate(chosen)}
+    cells = owner * _GROUPS + group
+    measured = rows.select("r", "s", "v").mapInArrow(
+        _anchor_sums(points, cells, anchor_rows, segments, [sizes[s] for s in segments]),
+        "n long, sums array<double>").collect()
+    n = sum(r["n"] for r in measured)
+    means = np.sum([r["sums"] for r in measured], axis=0) / n
+    without = means[1:]
+    free = max(0.0, 1 - len(chosen) / n)
+    spread = (_GROUPS - 1) / _GROUPS * float(((without - without.mean()) ** 2).sum())
+    discard(rows)
+    return Silhouette(float(means[0]), math.sqrt(spread * free), n)
+
+
+_GROUPS = 10
+
+
+def _anchor_sums(points: np.ndarray, cells: np.ndarray, anchor_rows: dict[int, int], segments: list[int],
+                 sizes: list[int]):
+    """Per task: rows, and the sums of their silhouettes with all anchors and without each group."""
+    clusters = len(segments)
+    middle = points.mean(0)  # distances stay the same, their squares lose less
+    points = points - middle
+    to_cell = np.zeros((len(points), clusters * _GROUPS))
+    to_cell[np.arange(len(points)), cells] = 1.0
+    norms = (points * points).sum(1)
+    counts = to_cell.sum(0).reshape(clusters, _GROUPS)
+
+    def silhouettes(total: np.ndarray, count: np.ndarray, own: np.ndarray, is_anchor: np.ndarray) -> float:
+        """Sums of distances and numbers of anchors per cluster; an anchor's distance to itself does not count."""
+        at = np.arange(len(own))
+        number = np.repeat(count[None, :], len(own), 0).astype(np.float64)
+        number[at, own] -= is_anchor
+        with np.errstate(all="ignore"):
+            mean = total / number
+        a = mean[at, own].copy()
+        mean[at, own] = np.inf
+        b = np.nanmin(mean, 1)
+        with np.errstate(all="ignore"):
+            value = (b - a) / np.maximum(a, b)
+        alone = np.array(sizes)[own] == 1
+        return float(np.where(alone | ~np.isfinite(value), 0.0, value).sum())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, sums = 0, np.zeros(_GROUPS + 1)
+        step = max(1, 2_000_000 // max(len(points), 1))
+        for whole in batches:
+            for first in range(0, len(whole), step):
+                batch = whole.slice(first, step)
+                x = np.array(batch.column("v").to_pylist(), np.float64) - middle
+                own = np.searchsorted(segments, batch.column("s").to_numpy())
+                numbers = batch.column("r").to_pylist()
+                squares = (x * x).sum(1)[:, None] + norms[None, :] - 2 * (x @ points.T)
+                # What is lost in the differences of squares of near points is computed anew.
+                near = np.argwhere(squares < 1e-6 * norms[None, :])
+                for at in range(0, len(near), 10_000):
+                    i, j = near[at : at + 10_000].T
+                    squares[i, j] = ((x[i] - points[j]) ** 2).sum(1)
+                distances = np.sqrt(np.maximum(squares, 0.0))
+                place = np.array([anchor_rows.get(r, -1) for r in numbers])
+                by_cell = (distances @ to_cell).reshape(len(x), clusters, _GROUPS)
+                mine = np.where(place >= 0, cells[place] % _GROUPS, -1)
+                whole_sum = by_cell.sum(2)
+                rows += len(x)
+                sums[0] += silhouettes(whole_sum, counts.sum(1), own, place >= 0)
+                for g in range(_GROUPS):
+                    kept = counts.sum(1) - counts[:, g]
+                    enough = kept > 1  # a cluster whose few anchors are all in the group keeps them
+                    total = np.where(enough, whole_sum - by_cell[:, :, g], whole_sum)
+                    number = np.where(enough, kept, counts.sum(1))
+                    counted = (place >= 0) & ~(enough[own] & (mine == g))
+                    sums[g + 1] += silhouettes(total, number, own, counted)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([rows], pa.int64()), pa.array([sums.tolist()], pa.list_(pa.float64()))], ["n", "sums"])
+
+    return run
+
+
 def silhouette_squared(df: DataFrame, vector: str, segment: str, key: str,
                        max_segments: int = 1_000) -> DataFrame:
     """Silhouette of every row under squared Euclidean distance, in linear time.
@@ -275,10 +387,11 @@ def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
                 train, variables, k, training.segment_starts, training.segment_iterations,
                 config.seed, config.parallel_fits, checked=True,
             )
-        rows.append((k, model_silhouette(train, model, key, metric, config.silhouette_block),
-                     k == training.segments, metric))
+        measured = model_silhouette(
+            train, model, key, metric, config.silhouette_block, config.silhouette_anchors)
+        rows.append((k, measured.value, measured.error, k == training.segments, metric))
     table = spark.createDataFrame(
-        rows, "k int, silueta double, es_el_modelo boolean, metrica string"
+        rows, "k int, silueta double, error_estandar double, es_el_modelo boolean, metrica string"
     )
     return with_suggestion(table, thresholds)
 
@@ -286,25 +399,29 @@ def silhouette_by_k(train: DataFrame, variables: list[str], key: str,
 EUCLIDEAN, SQUARED = "euclidean", "squaredEuclidean"
 
 
-def model_silhouette(df: DataFrame, model: SegmentModel, key: str, metric: str = SQUARED,
-                     block: int = 2_000) -> float:
-    """Mean silhouette of the model's segments over ``df``."""
+def model_silhouette(df: DataFrame, model: SegmentModel, key: str, metric: str = EUCLIDEAN,
+                     block: int = 2_000, anchors: int | None = 1_000) -> Silhouette:
+    """Mean silhouette of the model's segments over ``df``; Euclidean from all pairs without ``anchors``."""
     vector = F.array(*[col(n).cast("double") for n in model.variables])
     assigned = model.assign(df).select(col(key), c.SEGMENT, vector.alias("_v"))
+    if metric == EUCLIDEAN and anchors is not None:
+        return silhouette_by_anchors(assigned, "_v", c.SEGMENT, key, anchors)
     if metric == EUCLIDEAN:
         per_row = silhouette_euclidean(assigned, "_v", c.SEGMENT, key, block)
     elif metric == SQUARED:
         per_row = silhouette_squared(assigned, "_v", c.SEGMENT, key)
     else:
         raise EvaluationError(f"unknown silhouette metric '{metric}'")
-    return float(mean_silhouette(per_row).first()["silueta"])
+    mean = mean_silhouette(per_row).first()
+    return Silhouette(float(mean["silueta"]), 0.0, mean["filas"])
 
 
 def with_suggestion(table: DataFrame, thresholds: c.ChartThresholds | None = None) -> DataFrame:
     """Mark the k with the highest silhouette (smallest on a tie) and name the structure.
 
     The limits of the structure levels are meant for the Euclidean silhouette; under another
-    ``metrica`` the structure has no name.
+    ``metrica`` the structure has no name. With a standard error, ``estructura_segura`` says whether
+    two of them around the value stay within the level.
     """
     thresholds = thresholds or c.ChartThresholds()
     best = table.agg(
@@ -317,9 +434,16 @@ def with_suggestion(table: DataFrame, thresholds: c.ChartThresholds | None = Non
         .when(F.col("silueta") >= thresholds.moderate_silhouette, "moderada")
         .otherwise("débil")
     )
-    return table.join(F.broadcast(best), "k", "left").withColumns({
+    marked = table.join(F.broadcast(best), "k", "left").withColumns({
         "sugerido": F.coalesce("sugerido", F.lit(False)), "estructura": strength,
     })
+    if "error_estandar" not in table.columns:
+        return marked
+    reach = 2 * F.col("error_estandar")
+    apart = [F.abs(F.col("silueta") - limit) >= reach
+             for limit in (thresholds.strong_silhouette, thresholds.moderate_silhouette)]
+    return marked.withColumn(
+        "estructura_segura", F.when(F.col("estructura").isNotNull(), apart[0] & apart[1]))
 
 
 # --- Describing segments -------------------------------------------------------------------

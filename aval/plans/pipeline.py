@@ -209,7 +209,7 @@ def evaluate(trained: Trained, config: c.PipelineConfig | None = None,
         silhouette = sg.silhouette_by_k(rows, variables, c.ID, options, config.training,
                                         config.charts, trained.segmentation).persist()
         own = sg.model_silhouette(rows, trained.segmentation, c.ID, options.silhouette_metric,
-                                  options.silhouette_block)
+                                  options.silhouette_block, options.silhouette_anchors).value
     finally:
         rows.unpersist()
     names = list(trained.classifiers.models)

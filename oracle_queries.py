@@ -690,6 +690,9 @@ JOIN (SELECT *, row_number() OVER (ORDER BY precision_cv DESC, f1_cv DESC,
         "SELECT vec_id, segmento, round(silueta, 6) AS silueta FROM silhouettes", "silhouettes")
     s["silhouette_mean"] = _statement(
         "SELECT round(avg(silueta), 6) AS silueta, count(*) AS filas FROM silhouettes", "silhouettes")
+    s["silhouette_by_anchors"] = _statement(
+        "SELECT round(avg(silueta), 6) AS silueta, CAST(0 AS DOUBLE) AS error_estandar, count(*) AS filas "
+        "FROM silhouettes", "silhouettes")
     s["silhouette_squared"] = _statement(
         "SELECT vec_id, segmento, round(silueta, 6) AS silueta FROM silhouettes_squared",
         "silhouettes_squared")

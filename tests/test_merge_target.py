@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from aval import config as c
 from aval.errors import PreparationError, RuleColumnsError
 from aval.operators import aggregate as ag
@@ -176,3 +178,31 @@ def test_large_lookups_are_not_broadcast(spark):
     assert attach_by_key(rows, rows.selectExpr("k", "k AS v"), "k", few_keys=True).count() == 20
     with pytest.raises(PreparationError, match="few_keys"):
         attach_by_key(rows, rows.selectExpr("k", "k AS v"), "k", few_keys=True, max_keys=19)
+
+
+def test_correlations_equal_numpy_with_missing_values(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 5)) + [0, 1e6, -5, 0, 3]
+    x[:, 3] = x[:, 0] * 2 + rng.normal(size=300)
+    x[rng.random(x.shape) < 0.3] = np.nan
+    rows = [tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(7)
+    got = {(r[0], r[1]): r[2] for r in ag.correlation_matrix(df).collect()}
+    assert len(got) == 25
+    for i, a in enumerate("abcde"):
+        for j, b in enumerate("abcde"):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            assert abs(got[a, b] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-9
+
+
+def test_correlations_of_a_thousand_columns(spark):
+    """One row of sums per column and task; the rows that leave a task do not follow its input."""
+    n = 1_000
+    rows = spark.range(400).select(*[
+        ((F.col("id") * (2 * i + 1) + i) % 101 + F.rand(i)).alias(f"c{i}") for i in range(n)]).coalesce(2)
+    got = ag.correlation_matrix(rows)
+    assert got.count() == n * n
+    assert got.where("r IS NULL OR abs(r) > 1.0000001").count() == 0
+    assert abs(got.where("variable_1 = 'c3' AND variable_2 = 'c3'").first()["r"] - 1) < 1e-12

@@ -135,3 +135,31 @@ def test_silhouette_edge_cases(spark, measure):
     broken = df.union(spark.createDataFrame([(5, 1, None)], df.schema))
     with pytest.raises(Exception, match="complete vector"):
         measure(broken, "v", "segmento", "id").collect()
+
+
+def test_anchors_estimate_the_euclidean_silhouette_and_its_error(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    centres = np.array([[0.0, 0.0], [4.0, 0.0], [0.0, 5.0]])
+    s = rng.choice(3, 900, p=[0.6, 0.3, 0.1])
+    points = centres[s] + rng.normal(size=(900, 2)) + 1e5  # far from the origin
+    rows = [(i, int(g), p.tolist()) for i, (g, p) in enumerate(zip(s, points))]
+    rows += [(900, 3, [1e5 + 50.0, 1e5])]  # a lone member
+    df = spark.createDataFrame(rows, "id long, segmento int, v array<double>").repartition(5)
+    exact = sg.mean_silhouette(sg.silhouette_euclidean(df, "v", "segmento", "id", 200)).first()["silueta"]
+    whole = sg.silhouette_by_anchors(df, "v", "segmento", "id")
+    assert abs(whole.value - exact) < 1e-9 and whole.error == 0 and whole.rows == 901
+    few = [sg.silhouette_by_anchors(df, "v", "segmento", "id", n) for n in (20, 60)]
+    assert all(0 < f.error and abs(f.value - exact) < 4 * f.error for f in few)
+    assert few[1].error < few[0].error < 0.1
+    again = sg.silhouette_by_anchors(df.repartition(3), "v", "segmento", "id", 20)
+    assert abs(again.value - few[0].value) < 1e-12
+
+
+def test_strength_follows_from_the_interval(spark):
+    table = spark.createDataFrame(
+        [(2, 0.52, 0.02, "euclidean"), (3, 0.6, 0.02, "euclidean"), (4, 0.1, 0.01, "euclidean"), (5, 0.9, 0.0, "squaredEuclidean")],
+        "k int, silueta double, error_estandar double, metrica string")
+    got = {r["k"]: (r["estructura"], r["estructura_segura"]) for r in sg.with_suggestion(table).collect()}
+    assert got == {2: ("fuerte", False), 3: ("fuerte", True), 4: ("débil", True), 5: (None, None)}
