@@ -36,7 +36,9 @@ from aval.operators import quality as q  # noqa: E402
 from aval.operators import segments as sg  # noqa: E402
 from aval.operators import split as sp  # noqa: E402
 from aval.operators import target as tg  # noqa: E402
+from aval.operators.folds import fit_features_by_fold  # noqa: E402
 from aval.operators.models import fit_classifiers, importances, logistic_regression, top_importances  # noqa: E402
+from aval.operators.sparse import fit_sparse_features  # noqa: E402
 from aval.plans import pipeline as pl  # noqa: E402
 from aval.plans import report as rp  # noqa: E402
 from aval.plans.scoring import Scorer, document_clients  # noqa: E402
@@ -460,6 +462,27 @@ def prepare_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_rounded(ft.fit_features(divided).transform(divided))
 
 
+@_query("fold_preparation")
+def fold_preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median, mean and deviation of each variable outside of each fold, learned in the same scans."""
+    learned = fit_features_by_fold(sp.assign_folds(_stored_clients(spark, sf_dir)))
+    rows = [(f, n, round(float(model.fills[n]), 6), round(m, 4), round(s, 4))
+            for f, model in learned.items() for n, (m, s) in model.scaling.items()]
+    return spark.createDataFrame(
+        rows, "fold int, variable string, mediana double, media double, desviacion double")
+
+
+@_query("onehot_wide")
+def onehot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the ones that two text columns give, one of them with a category per customer."""
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("prioridad"),
+        F.col("o_custkey").cast("string").alias("cliente"),
+        F.when(F.col("o_orderkey") % 5 == 0, c.TEST).otherwise(c.TRAIN).alias(c.SPLIT))
+    learned = fit_sparse_features(rows, dropped={"o_orderkey": "identificador"})
+    return learned.pairs(rows, "o_orderkey")
+
+
 @_query("imputed_flags")
 def imputed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     divided = _split_clients(spark, sf_dir)
@@ -537,6 +560,13 @@ def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
                     {"tasa_falsos_positivos": 6, "tasa_verdaderos_positivos": 6})
 
 
+@_query("roc_curve")
+def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curve within an area of 0.01."""
+    return _rounded(mt.roc_curve(_scored_orders(spark, sf_dir), 0.01),
+                    {"tasa_falsos_positivos": 6, "tasa_verdaderos_positivos": 6})
+
+
 @_query("fewest_false_positives")
 def fewest_false_positives(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = mt.confusion(_scored_orders(spark, sf_dir), [c.MODEL])

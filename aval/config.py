@@ -147,7 +147,8 @@ class EvaluationConfig:
     cluster is larger), or against all rows without anchors; ``"squaredEuclidean"`` is another, also
     linear number, whose levels have no names. ``max_segments`` bounds the clusters a
     silhouette is measured over, of which it keeps one row each. ``prepare_folds`` learns
-    imputation, categories and scaling anew from the training part of every fold.
+    imputation, categories and scaling anew from the training part of every fold. ``roc_tolerance``
+    is the area by which the curve of the report may differ from the exact one; None gives that.
     """
 
     folds: int = 5
@@ -159,6 +160,7 @@ class EvaluationConfig:
     max_segments: int = 1_000
     parallel_fits: int = 8
     prepare_folds: bool = False
+    roc_tolerance: float | None = 0.001
 
 
 @dataclass(frozen=True)

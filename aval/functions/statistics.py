@@ -19,12 +19,13 @@ class _Search:
     name: str
     rank: int
     size: int
+    where: Column | None = None
     low: float | None = None
     high: float | None = None
     answer: float | None = None
 
     def inside(self, value: Column) -> Column:
-        kept = value.isNotNull()
+        kept = value.isNotNull() if self.where is None else value.isNotNull() & self.where
         if self.low is not None:
             kept = kept & (value > self.low)
         if self.high is not None:
@@ -45,10 +46,11 @@ def _within(items: list, sizes: list[int], limit: int) -> list[list]:
     return groups
 
 
-def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int, int]],
+def values_at_ranks(df: DataFrame, wanted: list[tuple],
                     direct_rows: int = 1_000_000) -> list[float]:
     """The exact values at 0-based ``rank`` of each ``(column, rank, non-missing count)``.
 
+    A fourth element is the condition on the rows among which the rank counts.
     While more than ``direct_rows`` candidates remain, an approximate quantile sketch proposes
     a bracket and an exact count decides which side of it holds the rank, so each round
     shrinks the candidates thousands of times whatever the distribution or the number of
@@ -56,7 +58,7 @@ def values_at_ranks(df: DataFrame, wanted: list[tuple[str, int, int]],
     scan as long as their candidates together stay within ``direct_rows``, so the buffers of the
     last step are bounded by it, however many columns there are.
     """
-    searches = [_Search(name, rank, size) for name, rank, size in wanted]
+    searches = [_Search(*one) for one in wanted]
 
     def value(s: _Search) -> Column:
         return without_nan(col(s.name), df.schema[s.name].dataType).cast("double")

@@ -5,6 +5,7 @@ Every function takes all models at once: one scan, whatever the number of models
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
@@ -139,6 +140,27 @@ def roc_points(df: DataFrame, label: str = c.TARGET, score: str = c.PROBABILITY,
     return points.unionByName(origin)
 
 
+def roc_curve(df: DataFrame, tolerance: float = 0.001, label: str = c.TARGET,
+              score: str = c.PROBABILITY, model: str = c.MODEL,
+              buckets: int | None = None) -> DataFrame:
+    """ROC curve per model in a number of points that does not follow the scores.
+
+    The way along the curve, both rates together, is cut into ``1 / (2 * tolerance)`` cells; the
+    first and the last point of each stay. What is left out of a cell lies in the rectangle between
+    these two, so the area under the curve changes by less than ``tolerance`` and no point of the
+    exact curve is farther from the kept one than four times that. At most ``1 / tolerance + 3`` points a model.
+    """
+    if not 0 < tolerance <= 0.5:
+        raise EvaluationError("the tolerance of a ROC curve lies above 0 and up to 0.5")
+    cells = math.ceil(1 / (2 * tolerance))
+    way = F.col("tasa_falsos_positivos") + F.col("tasa_verdaderos_positivos")
+    point = F.struct("umbral", "tasa_falsos_positivos", "tasa_verdaderos_positivos")
+    ends = roc_points(df, label, score, model, buckets).groupBy(
+        model, F.floor(way * F.lit(cells / 2)).alias("celda")
+    ).agg(F.max_by(point, "umbral").alias("first"), F.min_by(point, "umbral").alias("last"))
+    return ends.select(model, F.inline(F.array_distinct(F.array("first", "last"))))
+
+
 def classification_metrics(df: DataFrame, label: str = c.TARGET, prediction: str = c.PREDICTION,
                            score: str | None = c.PROBABILITY, model: str = c.MODEL,
                            buckets: int | None = None) -> DataFrame:
@@ -218,6 +240,7 @@ def compare_models(metrics: DataFrame, summary: DataFrame, model: str = c.MODEL)
     return test.join(summary, model)
 
 
+# The criterion names are fixed values.
 def recommend(comparison: DataFrame, simplest: str = c.LOGISTIC, position: str | None = None,
               thresholds: c.ChartThresholds | None = None, model: str = c.MODEL) -> DataFrame:
     """The recommended model, what decided it and how firm the choice is.

@@ -135,20 +135,24 @@ def fit_classifiers(train: DataFrame, variables: list[str], config: c.TrainingCo
 
 def cross_validate(train: DataFrame, variables: list[str], config: c.EvaluationConfig | None = None,
                    training: c.TrainingConfig | None = None, classifiers: dict | None = None,
-                   learn: Callable[[DataFrame], FeatureModel] | None = None) -> DataFrame:
+                   learn: Callable[[DataFrame], FeatureModel] | None = None,
+                   learn_folds: Callable[[DataFrame], dict[int, FeatureModel]] | None = None
+                   ) -> DataFrame:
     """Out-of-fold predictions of freshly fitted copies: long ``(modelo, fold, label, prediccion)``.
 
     Folds are a column of the one cached table; each fit is a distributed job on a filter of
     it, a few at a time. The predictions stay lazy and are scored together in one aggregation.
     With ``learn``, ``train`` holds rows before their preparation, and every fold applies the
-    preparation that ``learn`` makes of its training part to both of its parts.
+    preparation that ``learn`` makes of its training part to both of its parts; ``learn_folds``
+    makes those of all folds from the table with its folds at once.
     """
     config = config or c.EvaluationConfig()
     training = training or c.TrainingConfig()
     if c.FOLD not in train.columns:
         train = assign_folds(train, config.folds, seed=config.seed)
     # Each MLlib fit caches its own input; here the (cached) rows are only projected.
-    if learn is None:
+    learned = learn_folds(train) if learn_folds else {}
+    if learn is None and not learned:
         train = assemble(train, variables).select("features", c.TARGET, c.FOLD)
     sizes = class_counts(train, c.FOLD)
     rows = sum(sizes.values())
@@ -156,9 +160,9 @@ def cross_validate(train: DataFrame, variables: list[str], config: c.EvaluationC
 
     def parts_of(f: int) -> tuple[DataFrame, DataFrame]:
         parts = train.filter(F.col(c.FOLD) != f), train.filter(F.col(c.FOLD) == f)
-        if learn is None:
+        if learn is None and not learned:
             return parts
-        features = learn(parts[0])
+        features = learned[f] if learned else learn(parts[0])
         return tuple(
             assemble(features.transform(part, (c.TARGET, c.FOLD)), features.variables)
             .select("features", c.TARGET, c.FOLD) for part in parts)

@@ -24,6 +24,7 @@ from aval.operators.cleaning import (
     normalise_profile,
 )
 from aval.operators.features import SINGLE_CURRENCY, FeatureModel, fit_features
+from aval.operators.folds import fit_features_by_fold
 from aval.operators.merge import merge_sources
 from aval.operators.models import Classifiers, cross_validate, fit_classifiers, importances
 from aval.operators.split import stratified_split
@@ -202,7 +203,9 @@ def evaluate(trained: Trained, config: c.PipelineConfig | None = None,
     try:
         folds = (
             cross_validate(prepared.clients.filter(col(c.SPLIT) == c.TRAIN), variables, options,
-                           config.training, classifiers, _preparation(config))
+                           config.training, classifiers, learn_folds=partial(
+                               fit_features_by_fold, config=config.preparation,
+                               dropped={c.CURRENCY: SINGLE_CURRENCY}))
             if options.prepare_folds
             else cross_validate(rows, variables, options, config.training, classifiers))
         summary = materialise(mt.fold_summary(folds), "cross-validation")

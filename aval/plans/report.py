@@ -62,6 +62,7 @@ def exploratory_tables(clients: DataFrame,
 
 def model_tables(trained: Trained, evaluation: Evaluation,
                  config: c.PipelineConfig | None = None) -> dict[str, DataFrame]:
+    tolerance = (config or c.PipelineConfig()).evaluation.roc_tolerance
     return {
         "metricas": evaluation.metrics,
         "comparacion": evaluation.comparison,
@@ -69,7 +70,8 @@ def model_tables(trained: Trained, evaluation: Evaluation,
         "matriz_confusion": mt.confusion_cells(evaluation.metrics),
         "menos_falsos_positivos": mt.fewest_false_positives(
             mt.with_position(evaluation.metrics, list(trained.classifiers.models)), mt.POSITION),
-        "curva_roc": mt.roc_points(evaluation.predictions),
+        "curva_roc": (mt.roc_curve(evaluation.predictions, tolerance) if tolerance
+                      else mt.roc_points(evaluation.predictions)),
         "importancia": evaluation.importances,
         "importancia_principales": top_importances(evaluation.importances),
         "predicciones_prueba": trained.classifiers.prediction_table(trained.prepared.test),

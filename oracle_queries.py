@@ -244,6 +244,18 @@ _fragment("folded", """
 SELECT *, (row_number() OVER (PARTITION BY credito_aprobado ORDER BY md5('42|' || ID_Cliente)) - 1)
   * 5 // count(*) OVER (PARTITION BY credito_aprobado) AS fold FROM clients""", "clients")
 
+_fragment("fold_medians", " UNION ALL ".join(
+    f"SELECT CAST(k AS INTEGER) AS k, '{n}' AS variable, median(CAST({n} AS DOUBLE)) AS mediana "
+    "FROM folded JOIN range(5) r(k) ON fold <> k GROUP BY k" for n in NUMBERS), "folded")
+
+_fragment("fold_scaling", " UNION ALL ".join(
+    f"SELECT k, '{n}' AS variable, any_value(mediana) AS mediana, "
+    f"avg(coalesce(CAST({n} AS DOUBLE), mediana)) AS media, "
+    f"stddev_pop(coalesce(CAST({n} AS DOUBLE), mediana)) AS desviacion, "
+    f"bool_and(coalesce(CAST({n} AS DOUBLE), mediana) IN (0, 1)) AS binaria "
+    f"FROM folded JOIN fold_medians ON variable = '{n}' AND fold <> k GROUP BY k" for n in NUMBERS),
+    "folded", "fold_medians")
+
 _fragment("fold_predictions", """
 SELECT fold, credito_aprobado, modelo, prediccion FROM (
   SELECT fold, credito_aprobado, 'Regresión logística' AS modelo,
@@ -635,6 +647,24 @@ SELECT modelo, s AS umbral, round(cn / tn, 6) AS tasa_falsos_positivos,
   round(cp / tp, 6) AS tasa_verdaderos_positivos FROM cumulated
 UNION ALL SELECT DISTINCT modelo, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM scored""",
                                  "cumulated", "scored")
+    s["roc_curve"] = _statement("""
+SELECT modelo, umbral, round(x, 6) AS tasa_falsos_positivos, round(y, 6) AS tasa_verdaderos_positivos
+FROM (SELECT *, row_number() OVER (PARTITION BY modelo, floor((x + y) * 25.0::DOUBLE) ORDER BY umbral) AS up,
+        row_number() OVER (PARTITION BY modelo, floor((x + y) * 25.0::DOUBLE) ORDER BY umbral DESC) AS down
+      FROM (SELECT modelo, s AS umbral, cn / tn AS x, cp / tp AS y FROM cumulated
+            UNION ALL SELECT DISTINCT modelo, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM scored))
+WHERE up = 1 OR down = 1""", "cumulated", "scored")
+    s["fold_preparation"] = _statement("""
+SELECT k AS fold, variable, round(mediana, 6) AS mediana, round(media, 4) AS media,
+  round(CASE WHEN desviacion = 0 THEN 1 ELSE desviacion END, 4) AS desviacion
+FROM fold_scaling WHERE NOT binaria""", "fold_scaling")
+    s["onehot_wide"] = """
+WITH t AS (SELECT o_orderkey, o_orderpriority AS prioridad, CAST(o_custkey AS VARCHAR) AS cliente FROM orders),
+v AS (SELECT DISTINCT 1 AS place, prioridad AS valor FROM t WHERE o_orderkey % 5 <> 0
+      UNION ALL SELECT DISTINCT 2, cliente FROM t WHERE o_orderkey % 5 <> 0),
+i AS (SELECT *, CAST(row_number() OVER (ORDER BY place, valor) AS INTEGER) AS indice FROM v)
+SELECT o_orderkey, indice FROM t JOIN i ON place = 1 AND valor = prioridad
+UNION ALL SELECT o_orderkey, indice FROM t JOIN i ON place = 2 AND valor = cliente"""
     s["fewest_false_positives"] = _statement("""
 SELECT modelo, fp AS falsos_positivos FROM confusion_counts
 ORDER BY fp, modelo <> 'Regresión logística' LIMIT 1""", "confusion_counts")

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from aval import config as c
+from aval.errors import EvaluationError
 from aval.operators import metrics as mt
 
 SCHEMA = "modelo string, credito_aprobado int, prediccion int, probabilidad double"
@@ -39,6 +40,27 @@ def test_auc_with_ties_and_skew_equals_brute_force(spark, buckets):
     assert len(points) == len({s for _, s in data["m1"]}) + 1
 
 
+@pytest.mark.parametrize("tolerance", [0.25, 0.01, 0.001])
+def test_short_curve_keeps_the_area(spark, tolerance):
+    rng = random.Random(3)
+    # A long tie in the middle, a steep start and many different scores.
+    rows = [(int(rng.random() < 0.9), 0, 2 + rng.random()) for _ in range(1500)] + [
+        (i % 2, 0, 1.5) for i in range(700)] + [(int(rng.random() < 0.2), 0, rng.random()) for _ in range(1500)]
+    df = frame(spark, "m", rows)
+    exact = mt.auc(df).first()["auc_roc"]
+    points = sorted((r[2], r[3], -r[1]) for r in mt.roc_curve(df, tolerance).collect())
+    area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+    assert abs(area - exact) < tolerance and len(points) <= 1 / tolerance + 3
+    assert points[0] == (0.0, 0.0, -math.inf) and points[-1][:2] == (1.0, 1.0)
+    assert set(points) <= {(r[2], r[3], -r[1]) for r in mt.roc_points(df).collect()}
+
+
+def test_curve_without_a_model_or_tolerance(spark):
+    assert mt.roc_curve(frame(spark, "m", [(1, 1, 0.9)]).limit(0)).count() == 0
+    with pytest.raises(EvaluationError):
+        mt.roc_curve(frame(spark, "m", [(1, 1, 0.9)]), 0)
+
+
 def test_metrics_and_notes(spark):
     df = frame(spark, "a", [(1, 1, 0.9), (1, 0, 0.4), (0, 1, 0.6), (0, 0, 0.1)]).union(
         frame(spark, "b", [(1, 0, 0.2), (0, 0, 0.1)])).union(frame(spark, "c", [(1, 1, 0.9), (1, 1, 0.8)]))
