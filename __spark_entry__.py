@@ -51,7 +51,7 @@ from aval.sources.applicants import (  # noqa: E402
     with_default_ids,
 )
 from aval.sources.derived import table  # noqa: E402
-from aval.sources.files import load_source  # noqa: E402
+from aval.sources.files import load_source, write_table  # noqa: E402
 from aval.sources.order import numbered  # noqa: E402
 from oracle_queries import FIXED_INTERCEPT, FIXED_WEIGHTS, statements  # noqa: E402
 
@@ -864,6 +864,16 @@ def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select(F.col(c.SEQ).alias("seq"), c.ID, c.AGE, c.HOUSING)
 
 
+@_query("combined_by_split")
+def combined_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined table with the split of its clients, written by split and read back."""
+    splits = _split_clients(spark, sf_dir).select(c.ID, c.SPLIT)
+    rows = _merged(spark, sf_dir).join(splits, c.ID, "left")
+    path = f"{shared_folder(spark)}/combined-{uuid.uuid4().hex}.parquet"
+    write_table(rows, path, partition_by=(c.SPLIT,))
+    return _rounded(load_source(spark, path), {c.AMOUNT: 2, c.BALANCE: 4})
+
+
 @_query("json_lines_orders")
 def json_lines_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as JSON Lines to the shared folder and read back with the layout recognised."""

@@ -16,9 +16,10 @@ from aval.functions.values import col, nan_to_null, normalise_null_tokens
 from aval.session import materialise
 from aval.sources.order import PLACE, with_place, with_sequence
 from aval.sources.ranges import csv_records, json_records
-from aval.sources.workbook import read_workbooks
+from aval.sources.workbook import read_workbooks, read_workbooks_checked
 
 CORRUPT = "_corrupt_record"
+BROKEN = "_broken"
 
 
 def _quoted_rows(records: DataFrame, schema: T.StructType, place: bool) -> DataFrame:
@@ -152,6 +153,18 @@ def read_json_quarantine(spark: SparkSession, path: str, schema: T.StructType, l
     return good, kept.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "linea")
 
 
+def read_workbooks_quarantine(spark: SparkSession, path: str, schema: T.StructType | None = None
+                              ) -> tuple[DataFrame, DataFrame]:
+    """``(rows of good workbooks, broken ones)`` instead of stopping at the first broken workbook.
+
+    A broken workbook gives no rows but one of ``ruta``, ``fila`` (the row of the sheet at which reading
+    stopped, 0 before the first) and ``motivo``. Every workbook is parsed once; both tables read the result.
+    """
+    checked = materialise(read_workbooks_checked(spark, path, schema), "workbooks")
+    good = normalise_null_tokens(checked.filter(F.col(BROKEN).isNull()).drop(BROKEN))
+    return good, checked.filter(F.col(BROKEN).isNotNull()).select(f"{BROKEN}.*")
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return nan_to_null(reader.parquet(path))
@@ -205,8 +218,18 @@ def check_readable(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    """Write as Parquet (optionally partitioned) or as CSV with a header."""
+                partition_by: tuple[str, ...] = (), mode: str = "overwrite",
+                rebalance: bool | None = None) -> None:
+    """Write as Parquet (optionally partitioned) or as CSV with a header.
+
+    Rows of a partitioned table are rebalanced by its columns first: adaptive execution gives a light
+    partition to one task, and so one file, and splits a heavy one at
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``; a light one that shares a shuffle partition with a
+    heavy one is split with it, so ``spark.sql.shuffle.partitions`` should exceed their number. ``rebalance`` asks for that without partition
+    columns too, where it evens out the files and loses the order of the rows.
+    """
+    if bool(partition_by) if rebalance is None else rebalance:
+        df = df.hint("rebalance", *[col(n) for n in partition_by])
     writer = df.write.mode(mode).partitionBy(*partition_by)
     if fmt == "csv":
         writer.option("header", True).csv(path)

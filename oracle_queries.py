@@ -537,6 +537,9 @@ SELECT DISTINCT text, lang, source FROM documents"""
     # Joins, rule, aggregation
     s["merge_sources"] = _statement(
         f"SELECT {_MERGED_COLUMNS}, 0 AS credito_aprobado FROM merged", "merged")
+    s["combined_by_split"] = _statement(
+        f"SELECT {_MERGED_COLUMNS}, 0 AS credito_aprobado, split FROM (SELECT m.*, c.split FROM merged m "
+        "LEFT JOIN clients_split c ON m.ID_Cliente = c.ID_Cliente)", "merged", "clients_split")
     s["approval_label"] = _statement(
         f"SELECT {_MERGED_COLUMNS}, credito_aprobado FROM labelled", "labelled")
     s["labelled_table"] = s["approval_label"]

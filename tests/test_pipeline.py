@@ -1,13 +1,15 @@
 """The whole pipeline, its models, scoring, report and stream, on derived sources."""
 
 import json
+from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from aval import config as c
-from aval.errors import EvaluationError, InvalidTrainingDataError, NotTrainedError, PreparationError
+from aval.errors import EvaluationError, InvalidTrainingDataError, NotTrainedError, PreparationError, SourceNotFoundError
 from aval.operators import models as md
 from aval.operators.features import fit_features
 from aval.operators.metrics import require_models
@@ -191,6 +193,29 @@ def test_array_form_equals_the_general_form(fitted, docs):
     assert sorted(map(repr, flat.collect())) == sorted(map(repr, nested.collect()))
 
 
+def test_stopped_or_damaged_saves_are_not_loaded(fitted, spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "scorer")
+    with pytest.raises(SourceNotFoundError):
+        Scorer.load(spark, path)
+    first = Scorer.of(*fitted, CONFIG)
+    first.save(spark, path)
+    other = replace(first, recommended="otro")
+    with monkeypatch.context() as stopping:
+        def stop(*_):
+            raise RuntimeError("stopped")
+
+        stopping.setattr(type(first.segmentation), "save", stop)  # features are written by then
+        with pytest.raises(RuntimeError, match="stopped"):
+            other.save(spark, path)
+    assert Scorer.load(spark, path).recommended == first.recommended
+    second = other.save(spark, path)
+    assert Scorer.load(spark, path).recommended == "otro"
+    damaged = next(f for f in Path(second, "features").glob("part-*"))
+    damaged.write_bytes(damaged.read_bytes() + b" ")
+    Path(damaged.parent, f".{damaged.name}.crc").unlink(missing_ok=True)
+    assert Scorer.load(spark, path).recommended == first.recommended
+
+
 def test_saved_scorer_gives_the_same_scores(fitted, docs, spark, tmp_path):
     scorer = Scorer.of(*fitted, CONFIG)
     scorer.save(spark, str(tmp_path / "scorer"))

@@ -112,6 +112,50 @@ def test_folder_of_workbooks(spark, tmp_path):
         files.load_source(spark, str(tmp_path / "malo.xlsx"))
 
 
+def test_broken_workbooks_are_put_aside(spark, tmp_path):
+    folder = tmp_path / "libros"
+    folder.mkdir()
+    head = '<row><c t="inlineStr"><is><t>a</t></is></c><c t="inlineStr"><is><t>b</t></is></c></row>'
+    for i in range(4):
+        workbook(folder / f"{i}.xlsx", head + f'<row><c><v>{i}</v></c><c t="inlineStr"><is><t>NA</t></is></c></row>')
+    # Broken behind three good rows: wrong index of a shared text.
+    workbook(folder / "4.xlsx", head + "<row><c><v>8</v></c></row><row><c><v>9</v></c></row>"
+             '<row><c t="s"><v>7</v></c></row>')
+    good, bad = files.read_workbooks_quarantine(spark, str(folder))
+    assert good.columns == ["a", "b"] and rows(good) == [(str(i), None) for i in range(4)]
+    found = bad.collect()
+    assert bad.columns == ["ruta", "fila", "motivo"] and len(found) == 1
+    assert found[0].ruta.endswith("/4.xlsx") and found[0].fila == 3 and found[0].motivo.startswith("IndexError")
+    (folder / "5.xlsx").write_text("no es un libro")
+    good, bad = files.read_workbooks_quarantine(spark, str(folder), good.schema)
+    assert good.count() == 4
+    assert sorted((r.ruta[-6:], r.fila) for r in bad.collect()) == [("4.xlsx", 3), ("5.xlsx", 0)]
+    with pytest.raises(ParseError):
+        files.check_readable(files.load_source(spark, str(folder), fmt="xlsx", schema=good.schema), str(folder))
+
+
+def test_partitions_are_written_in_files_of_similar_size(spark, tmp_path):
+    # A heavy part of the rows, nine light ones, dealt over many tasks.
+    df = spark.range(400_000).selectExpr(
+        "id", "md5(cast(id as string)) as text", "if(id % 50 < 41, 0, id % 50 - 40) as part").repartition(24)
+    size, partitions = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(partitions)
+    spark.conf.set(size, "4m")
+    spark.conf.set(partitions, "200")
+    try:
+        files.write_table(df, str(tmp_path / "t"), partition_by=("part",))
+    finally:
+        spark.conf.unset(size)
+        spark.conf.set(partitions, before)
+    counts = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("part=*")}
+    assert len(counts) == 10
+    heavy = counts.pop("part=0")
+    assert 2 <= heavy < 24 and set(counts.values()) == {1}
+    assert spark.read.parquet(str(tmp_path / "t")).agg({"id": "sum"}).first()[0] == 400_000 * 399_999 // 2
+    files.write_table(df.limit(10), str(tmp_path / "c"), "csv", ("part",))
+    assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 10
+
+
 def test_applicant_documents(spark, tmp_path):
     path = tmp_path / "nuevos.json"
     path.write_text('[{"perfil": {"Edad": 30, "extra": 1}}, {"ID_Cliente": "X", "historial": '
