@@ -6,7 +6,9 @@ The scores of all words of a text are summed and turned into a share per languag
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; so is everything
 when nothing could be learned. Ties go to the language that sorts first. Rows with a null
-language are not learned from. Repeated documents are scored each; other columns are not read.
+language are not learned from. Repeated documents are scored each; texts of any length are read whole,
+one at a time. Empty tables give no rows. Other columns are not read; a column with the name of a result
+is replaced.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aval.llm.words import find_letters, hash_share, per_text
+from aval.llm.words import find_letters, per_text
 from aval.session import discard, materialise
 
 UNDETERMINED = "und"
@@ -121,34 +123,40 @@ def _table(rows, langs: list[str], smoothing: float) -> tuple[dict[str, int], np
 
 
 def learn_languages(
-    docs: DataFrame, docs_per_language: int = 2_000, max_words: int = 100_000,
-    max_grams: int = 100_000, smoothing: float = 0.5,
+    docs: DataFrame, docs_per_language: int = 2_000, words_per_language: int = 25_000,
+    grams_per_language: int = 25_000, smoothing: float = 0.5,
 ) -> LanguageModel:
-    """Fit on about ``docs_per_language`` documents of each language, chosen by hashed id.
+    """Fit on about ``docs_per_language`` different documents of each language, chosen by their hash.
 
-    The sample bounds what is fitted; prediction covers every text. The model keeps the
-    ``max_words`` and ``max_grams`` most frequent tokens, so its size has a bound.
+    The hash is that of id and text, and rows equal in both count once, so neither rows without an id nor
+    repeated ids or rows lengthen the sample. It bounds what is fitted; prediction covers every text.
+    Every language proposes its ``words_per_language`` and ``grams_per_language`` most frequent tokens,
+    words only if seen twice; of a token that one proposes the counts in all languages are used.
+    So no language loses tokens to another, and the model is bounded per language.
     """
-    labelled = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    langs = sorted(sizes)
-    if not langs:
-        return LanguageModel([])
-    share = F.lit(0.0)
-    for lang in langs:
-        share = F.when(F.col("lang") == lang, docs_per_language / sizes[lang]).otherwise(share)
-    counts = (
-        labelled.where(hash_share(F.col("doc_id")) < share).select("lang", "text").mapInArrow(_count, _COUNTS)
-        .groupBy("lang", "kind", "token").agg(F.sum("n").alias("n")))
-    stored = materialise(counts, "language-counts")
-    words = (stored.where("kind = 0 and n > 1").orderBy(F.desc("n"), "token", "lang")
-             .limit(max_words).collect())
-    grams = (stored.where("kind > 0").orderBy(F.desc("n"), "token", "lang")
-             .limit(max_grams).collect())
-    discard(stored)
+    labelled = docs.where(F.col("lang").isNotNull()).select(
+        "lang", "text", F.xxhash64("doc_id", "text").alias("hash"))
+    shares = materialise(labelled.groupBy("lang").agg(
+        (docs_per_language / F.count(F.lit(1))).alias("share")), "language-shares")
+    place = F.shiftrightunsigned("hash", 11) / float(1 << 53)
+    # The stored shares are small, so Spark broadcasts them by their measured size.
+    sample = labelled.join(shares, "lang").where(place < F.col("share")).dropDuplicates(["lang", "hash"])
+    stored = materialise(
+        sample.select("lang", "text").mapInArrow(_count, _COUNTS)
+        .groupBy("lang", "kind", "token").agg(F.sum("n").alias("n")), "language-counts")
+    langs = sorted(r["lang"] for r in shares.select("lang").collect())
     model = LanguageModel(langs)
-    model.words, model.word_scores = _table(words, langs, smoothing)
-    model.grams, model.gram_scores = _table(grams, langs, smoothing)
+    for quota, kept, names in (
+        (words_per_language, "kind = 0", ("words", "word_scores")),
+        (grams_per_language, "kind > 0", ("grams", "gram_scores")),
+    ):
+        tokens = stored.where(kept)
+        frequent = tokens.where("kind > 0 or n > 1").withColumn("rank", F.row_number().over(
+            Window.partitionBy("lang").orderBy(F.desc("n"), "token")))
+        chosen = frequent.where(F.col("rank") <= quota).select("token").distinct()
+        for name, value in zip(names, _table(tokens.join(chosen, "token").collect(), langs, smoothing)):
+            setattr(model, name, value)
+    discard(stored, shares)
     return model
 
 

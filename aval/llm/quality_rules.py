@@ -174,6 +174,7 @@ def learn_rules(
 ) -> DecisionList:
     """Fit on at most ``sample_rows`` labelled documents, those with the smallest id hashes.
 
+    An id counts once, by the smallest of its rows, so repeated ids neither fill the sample nor weigh more.
     The bound is on what the learner sees, not on what the list is applied to. A rule joins the
     list if at least ``min_precision`` of the open rows it covers, in the part it was not grown
     on, are labelled 0, and it covers ``min_covered`` of them.
@@ -181,7 +182,9 @@ def learn_rules(
     known = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.min(label).alias("_label")))
-    labelled = statistics.join(known, "doc_id")
+    measures = [n for n in statistics.columns if n != "doc_id"]
+    labelled = statistics.join(known, "doc_id").groupBy("doc_id").agg(
+        F.min(F.struct("_label", *measures)).alias("_one")).select("doc_id", "_one.*")
     sample = smallest_hashes(labelled, sample_rows, "_label", "n_words", "word_chars")
     rows = sample.select(
         *[c.alias(n) for n, c in features().items()], "_label", F.xxhash64("doc_id").alias("_order")

@@ -8,7 +8,9 @@ links in a pair of tiles only a spanning forest leaves the task: the components
 
 Edge cases: null, empty and wordless texts have fingerprint 0 and link like any other. Fewer
 words than a shingle: the whole sequence is the only shingle. Repeated rows keep one row each.
-A component without a non-null id has a null id. Empty tables give no rows.
+A component without a non-null id has a null id. A bit set in exactly half the shingles is not set.
+Texts of any length are read whole, one at a time. Empty tables give no rows. Extra columns are
+carried along; columns with names of the results are replaced.
 """
 
 from __future__ import annotations
@@ -170,4 +172,4 @@ def near_duplicates(
         classes.select("fp", "_root").join(least, "_root", "left")
         .select("fp", "component_id", *named), "classes")
     discard(links)
-    return table.join(ids, "fp")
+    return table.drop("component_id", *([root] if root else [])).join(ids, "fp")

@@ -291,14 +291,14 @@ def _masks(first: DataFrame, docs: DataFrame, row: str, window: int, shard_passa
     return masks
 
 
-def _apply(window: int, schema: StructType):
+def _apply(window: int, schema: StructType, removed: str):
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.arange(62)
         for batch in batches:
             counts, gone, texts = [], [], []
-            ends, start, mask = _flat(batch.column("_removed"), "start", "mask")
+            ends, start, mask = _flat(batch.column(removed), "start", "mask")
             for row, text in enumerate(batch.column("text")):
                 words = find_words(text.as_py() or "")
                 drop, mine = None, slice(ends[row], ends[row + 1])
@@ -327,7 +327,7 @@ def remove_repeated(docs: DataFrame, window: int = 20, shard_passages: int = 64)
     docs = docs.drop("n_words", "n_removed", "kept_text")
     schema = StructType(docs.schema.fields + StructType.fromDDL(
         "n_words long, n_removed long, kept_text string").fields)
-    row = free_name(docs, "_row")
+    row, spans = free_name(docs, "_row"), free_name(docs, "_removed")
     docs = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     anchors = materialise(
         docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -355,6 +355,6 @@ def remove_repeated(docs: DataFrame, window: int = 20, shard_passages: int = 64)
         members.join(decided, ["anchor", "content"])
         .withColumn("mask", F.when(is_first, F.col("mask")).otherwise(every)).where("mask <> 0")
         .groupBy(F.col("row").alias(row))
-        .agg(F.collect_list(F.struct("start", "mask")).alias("_removed")))
+        .agg(F.collect_list(F.struct("start", "mask")).alias(spans)))
     discard(masks, first)
-    return docs.join(removed, row, "left").mapInArrow(_apply(window, schema), schema)
+    return docs.join(removed, row, "left").mapInArrow(_apply(window, schema, spans), schema)

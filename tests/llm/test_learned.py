@@ -42,6 +42,43 @@ def test_languages(spark, docs, empty):
     assert {r.lang_pred for r in language_id.predict_languages(docs, nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded_without_ids_and_counts_copies_once(spark):
+    # A third of the rows has no id, a third is one row over and over.
+    rows = [(None, f"alpha beta word{i}", "aa") for i in range(400)] + [(7, "same old text", "aa")] * 400 + [
+        (i, f"gamma delta term{i}", "bb") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn_languages(table, docs_per_language=100)
+    assert model.langs == ["aa", "bb"]
+    predict = model.predictor()
+    assert predict("beta alpha")[0] == "aa" and predict("delta gamma")[0] == "bb"
+    whole = language_id.learn_languages(table, docs_per_language=10_000)
+    assert {"alpha", "beta", "word", "gamma", "delta", "term"} == set(whole.words)  # the others are seen once
+    again = language_id.learn_languages(table.repartition(5), docs_per_language=100)
+    assert again.words == model.words and np.array_equal(again.gram_scores, model.gram_scores)
+
+
+def test_every_language_keeps_its_tokens_and_reads_those_of_others(spark):
+    rows = [(i, "big big big both both", "aa") for i in range(50)] + [(100, "small small both", "bb")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn_languages(table, words_per_language=2, grams_per_language=5)
+    assert set(model.words) == {"big", "both", "small"}
+    column = model.langs.index("bb")
+    # Seen once in bb, which is too few to propose the word there, but it counts.
+    assert model.word_scores[model.words["both"], column] > model.word_scores[model.words["big"], column]
+
+
+def test_rules_count_an_id_once(spark):
+    text = "some words of a text that has more than ten words in all of it"
+    docs = spark.createDataFrame(
+        [(1, text)] * 300 + [(2, text + " ###")] * 300 + [(i, text + (" ### ### ###" if i % 2 else "")) for i in range(3, 63)],
+        "doc_id long, text string")
+    labels = spark.range(1, 63).selectExpr("id as doc_id", "if(id % 2 = 1, 0, 1) as quality")
+    counts = quality_rules.text_statistics(docs, ["doc_id"])
+    first = quality_rules.learn_rules(counts, labels, sample_rows=62)
+    assert first == quality_rules.learn_rules(counts.dropDuplicates(), labels, sample_rows=62)
+    assert first.rules
+
+
 def test_shorter_grams_score_unseen_words():
     model = language_id.LanguageModel(["a", "b"], {}, {"ab": 0, "z": 1}, np.zeros((0, 2)), np.array([[2.0, -2.0], [-1.0, 1.0]]))
     assert model.unseen("ab").tolist() == [2.0, -2.0] and model.unseen("z")[1] == 1.0 and not model.unseen("q").any()

@@ -27,6 +27,38 @@ def test_mix_equals_sql(spark, docs, rows_per_range):
     assert set(docs.columns) <= set(mixed.columns)
 
 
+@pytest.mark.parametrize("rows_per_range", [10_000, 50])
+def test_mix_of_a_hot_id_equals_sql(spark, rows_per_range):
+    # Most rows have no id and few sizes, so the cut falls into a group of equal rows.
+    table = spark.range(900).selectExpr(
+        "if(id % 3 = 0, id, null) as doc_id", "if(id % 2 = 0, 'a', null) as source",
+        "repeat('w ', cast(id % 5 as int)) as text", "id as other")
+    mixed = mixing.mix_sources(table, word_count(F.col("text")), rows_per_range=rows_per_range)
+    got = mixed.select("doc_id", "size", "source_size", "target", "taken").toPandas()
+    con = duckdb.connect()
+    con.register("documents", table.drop("other").toPandas())
+    want = con.execute(ORACLES["op7_mixing"]).df()
+    left, right = (sorted(map(repr, f[list(got.columns)].astype(float).fillna(-1).values.tolist()))
+                   for f in (got, want))
+    assert left == right
+    again = mixing.mix_sources(table.repartition(7), word_count(F.col("text")), rows_per_range=rows_per_range)
+    assert columns(r.asDict() for r in again.collect()) == columns(r.asDict() for r in mixed.collect())
+
+
+def test_clashing_names_are_carried_or_replaced(spark, docs):
+    odd = docs.withColumns({n: F.lit(1) for n in (
+        "_mix", "_mix_key", "mix_source", "_removed", "_row", "row", "place", "_range", "edge", "hash")})
+    mixed = mixing.mix_sources(odd, word_count(F.col("text")))
+    assert set(mixed.columns) == {*odd.columns, *mixing.RESULTS} and mixed.count() == odd.count()
+    assert mixed.where("_mix <> 1 or _mix_key <> 1 or row <> 1 or edge <> 1").count() == 0
+    cut = substring_dedup.remove_repeated(odd)
+    assert set(cut.columns) == {*odd.columns, "n_words", "n_removed", "kept_text"}
+    assert cut.where("_removed <> 1").count() == 0
+    marked = simhash.fingerprints(odd, odd.columns).withColumns({"component_id": F.lit("x"), "root": F.lit("y")})
+    found = simhash.near_duplicates(marked, root="root")
+    assert sorted(found.columns) == sorted(marked.columns) and dict(found.dtypes)["component_id"] == "bigint"
+
+
 def test_mix_edges(spark, empty):
     assert mixing.mix_sources(empty, word_count(F.col("text"))).count() == 0
     zero = spark.createDataFrame([(1, "a", 0), (2, None, None)], "doc_id long, source string, n int")
@@ -50,9 +82,10 @@ def test_stages_keep_columns_and_clean_documents(spark, docs, tmp_path):
     spark.createDataFrame([(1, "line of text line of text")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     repeated = docs.union(docs.limit(3)).union(
         docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.lit("lonely words without an id")))
-    clashing = {n: F.lit(1) for n in ("_row", "_fp", "_toxicity", "_matches", "_least", "_root")}
+    clashing = {n: F.lit(1) for n in ("_mix_key", "_row", "_fp", "_toxicity", "_matches", "_least", "_root")}
     repeated.withColumns(clashing).write.parquet(f"{tmp_path}/documents.parquet")
     rows = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert set(rows.columns) < set(corpus_pipeline.mix(spark, rows, "").columns)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, rows, str(tmp_path))
         assert kept.schema == rows.schema, name
