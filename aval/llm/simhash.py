@@ -1,10 +1,11 @@
 """SimHash near duplicates: exact tiled comparison of all distinct fingerprints.
 
 Distinct fingerprints are cut into tiles by their number of set bits. Only tile pairs whose bit
-counts differ by at most the radius can hold links; those are joined and compared with numpy
-exclusive-or and bit counts. Inside a pair of tiles the rows are sorted by the bit count of
-their upper half, which skips blocks that differ beyond the radius in both halves together. Of the
-links in a pair of tiles only a spanning forest leaves the task: the components stay the same.
+counts differ by at most the radius can hold links; those are compared with numpy exclusive-or and
+bit counts. Tiles are dealt in groups, so that a task compares all tiles of two groups and the
+shuffle follows the groups, not the pairs of tiles. Inside a pair of groups the rows are sorted by
+the bit count of their upper half, which skips tiles whose upper halves alone differ beyond the
+radius. Of the links of a pair only a spanning forest leaves the task: the components stay the same.
 
 Edge cases: null, empty and wordless texts have fingerprint 0 and link like any other. Fewer
 words than a shingle: the whole sequence is the only shingle. Repeated rows keep one row each.
@@ -16,7 +17,8 @@ carried along; columns with names of the results are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from aval.session import discard, materialise
 
 _find = re.compile(rb"[^\x20\x09-\x0D]+").findall
 SEED = 42
+MOST_TASKS = 10_000  # of the comparison; beyond it a task gets several pairs of groups
 
 
 def text_fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -62,7 +65,14 @@ def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def _roots(links: list[tuple[int, int]], parent: np.ndarray) -> list[tuple[int, int]]:
+def _top(parent: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The root of every node."""
+    while not np.array_equal(up := parent[nodes], nodes):
+        nodes = up
+    return nodes
+
+
+def _join(parent: np.ndarray, links: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Join the links in ``parent``; those that connected something new."""
     used = []
     for i, j in links:
@@ -79,78 +89,107 @@ def _roots(links: list[tuple[int, int]], parent: np.ndarray) -> list[tuple[int,
     return used
 
 
-def _labels(parent: np.ndarray) -> np.ndarray:
-    while not np.array_equal(up := parent[parent], parent):
-        parent[:] = up
-    return parent
-
+def linked(
+    left: np.ndarray, right: np.ndarray | None, radius: int, rows: int = 256, columns: int = 4096,
+) -> list[tuple[int, int]]:
+    """Spanning forest of the links between two sides of fingerprints (uint64).
 
-def linked(left: np.ndarray, right: np.ndarray, radius: int, rows: int = 256) -> list[tuple[int, int]]:
-    """Spanning forest of the links between two tiles of fingerprints (uint64)."""
-    halves = [np.bitwise_count(x >> np.uint64(32)).astype(np.int64) for x in (left, right)]
-    order = [np.argsort(h, kind="stable") for h in halves]
-    left, right = left[order[0]], right[order[1]]
-    upper = [h[o] for h, o in zip(halves, order)]
-    parent = np.arange(len(left) + len(right))
+    Tiles of ``rows`` by ``columns`` are compared at once. ``right`` is None for the links within
+    one side, of which each pair is met once.
+    """
+    same = right is None
+    sides = []
+    for side in [left] if same else [left, right]:
+        upper = np.bitwise_count(side >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(upper, kind="stable")
+        sides.append((side[order], upper[order]))
+    (left, mine_upper), (right, upper) = sides[0], sides[-1]
+    offset = 0 if same else len(left)
+    parent = np.arange(offset + len(right))
     out: list[tuple[int, int]] = []
     for at in range(0, len(left), rows):
         mine = left[at : at + rows]
-        low = np.searchsorted(upper[1], upper[0][at] - radius, "left")
-        high = np.searchsorted(upper[1], upper[0][at + len(mine) - 1] + radius, "right")
-        for to in range(low, high, 4096):
-            theirs = right[to : min(to + 4096, high)]
-            near = np.bitwise_count(mine[:, None] ^ theirs[None, :]) <= radius
-            i, j = np.nonzero(near)
+        low = at if same else np.searchsorted(upper, mine_upper[at] - radius, "left")
+        high = np.searchsorted(upper, mine_upper[at + len(mine) - 1] + radius, "right")
+        for to in range(low, high, columns):
+            theirs = right[to : min(to + columns, high)]
+            i, j = np.nonzero(np.bitwise_count(mine[:, None] ^ theirs[None, :]) <= radius)
             if len(i):
-                labels = _labels(parent)
-                fresh = (labels[i + at] != labels[j + to + len(left)]) & (mine[i] != theirs[j])
-                pairs = zip((i[fresh] + at).tolist(), (j[fresh] + to + len(left)).tolist())
-                out += [(int(left[a]), int(right[b - len(left)])) for a, b in _roots(pairs, parent)]
+                a, b = i + at, j + to + offset
+                fresh = _top(parent, a) != _top(parent, b)
+                used = _join(parent, zip(a[fresh].tolist(), b[fresh].tolist()))
+                out += [(int(left[x]), int(right[y - offset])) for x, y in used]
     return out
 
 
 def _compare(radius: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for mine, theirs in zip(batch.column("mine"), batch.column("theirs")):
-                one, two = (x.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                            for x in (mine, theirs))
-                found = np.array(linked(one, two, radius), np.uint64).reshape(-1, 2).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            names = zip(batch.column("low").to_pylist(), batch.column("high").to_pylist())
+            for pair, upper, fps in zip(names, batch.column("upper").to_pylist(), batch.column("fps")):
+                yield pair, upper, fps.values.to_numpy(zero_copy_only=False).view(np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (low, high), tiles in groupby(rows(batches), key=lambda row: row[0]):
+            sides: tuple[list, list] = ([], [])
+            for _, upper, fps in tiles:
+                sides[upper].append(fps)
+            one, two = (np.concatenate(side) if side else np.empty(0, np.uint64) for side in sides)
+            found = linked(one, None if low == high else two, radius)
+            found = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
     return run
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = 4, tile_rows: int = 4096) -> DataFrame:
-    """Links (``a``, ``b``) that connect all of ``distinct.fp`` within ``radius`` bits.
+def dealt_tiles(
+    distinct: DataFrame, radius: int = 4, tile_rows: int = 1024, group_rows: int = 1 << 18,
+) -> DataFrame:
+    """Tiles (``fps``) of ``distinct.fp``, once for each pair of groups they belong to.
 
-    A tile holds about ``tile_rows`` fingerprints, so a task holds two tiles, whatever the number
-    of fingerprints. Tiles of a bit count are dealt over salts; the other side is copied to them.
+    Tiles of about ``tile_rows`` fingerprints of one bit count form groups of about ``group_rows``.
+    A pair of groups (``low``, ``high``) is the work of one task, which holds both; ``upper`` tells
+    the sides apart. So a fingerprint is shuffled once per group within the radius of its bit count,
+    which is 2 * radius + 1 times at most as long as a bit count fills one group. A tile is one row,
+    8 KB, so an Arrow batch of 10 000 rows stays under 100 MB.
     """
-    spark = distinct.sparkSession
     ones = distinct.select("fp", F.bit_count("fp").alias("ones"))
     sizes = {r["ones"]: r["count"] for r in ones.groupBy("ones").count().collect()}  # at most 65
-    tiles_of = {k: -(-n // tile_rows) for k, n in sizes.items()}
-    number = F.lit(1)
-    for k, n in tiles_of.items():
-        number = F.when(F.col("ones") == k, n).otherwise(number)
-    tiles = materialise(
-        ones.groupBy("ones", F.pmod(F.xxhash64("fp"), number).alias("tile"))
-        .agg(F.collect_list("fp").alias("fps")), "tiles")
-    most = max(tiles_of.values(), default=1)
-    salts = max(1, -(-most // 4))
-    tasks = max(spark.sparkContext.defaultParallelism, len(tiles_of) * salts)
-    mine = tiles.select(
-        F.explode(F.sequence(F.col("ones"), F.col("ones") + radius)).alias("at"),
-        (F.col("tile") % salts).alias("salt"), F.struct("ones", "tile").alias("name"),
-        F.col("fps").alias("mine")).repartition(tasks, "at", "salt")
-    theirs = tiles.select(
-        F.col("ones").alias("at"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
-        F.struct("ones", "tile").alias("other"), F.col("fps").alias("theirs")).withColumn(
-        "salt", F.col("salt").cast("long")).repartition(tasks, "at", "salt")
-    pairs = mine.join(theirs, ["at", "salt"]).where("name <= other").select("mine", "theirs")
-    return pairs.mapInArrow(_compare(radius), "a long, b long")
+
+    def parts(rows: int) -> list[int]:
+        return [-(-sizes.get(k, 0) // rows) for k in range(65)]
+
+    groups = parts(group_rows)
+    pairs = sum(groups[k] * sum(groups[k : k + radius + 1]) for k in range(65))
+    tasks = max(distinct.sparkSession.sparkContext.defaultParallelism, min(pairs, MOST_TASKS))
+    tile_count, group_count = (F.array(*map(F.lit, n)) for n in (parts(tile_rows), groups))
+
+    def name(bits: Column, group: Column) -> Column:
+        return F.shiftleft(bits.cast("long"), 32) + group
+
+    tiles = ones.groupBy(
+        "ones", F.pmod(F.xxhash64("fp"), F.get(tile_count, F.col("ones"))).alias("tile"),
+    ).agg(F.collect_list("fp").alias("fps"))
+    named = tiles.select(
+        name(F.col("ones"), F.pmod("tile", F.get(group_count, F.col("ones")))).alias("mine"), "fps",
+        F.explode(F.sequence(
+            F.greatest(F.col("ones") - radius, F.lit(0)), F.least(F.col("ones") + radius, F.lit(64)))
+        ).alias("bits"))
+    met = named.withColumn("groups", F.get(group_count, F.col("bits"))).where("groups > 0").select(
+        "mine", "fps", "bits", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group")
+    ).withColumn("other", name(F.col("bits"), F.col("group")))
+    return met.select(
+        F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+        (F.col("mine") > F.col("other")).alias("upper"), "fps",
+    ).repartition(tasks, "low", "high")
+
+
+def fingerprint_links(
+    distinct: DataFrame, radius: int = 4, tile_rows: int = 1024, group_rows: int = 1 << 18,
+) -> DataFrame:
+    """Links (``a``, ``b``) that connect all of ``distinct.fp`` within ``radius`` bits."""
+    dealt = dealt_tiles(distinct, radius, tile_rows, group_rows)
+    return dealt.sortWithinPartitions("low", "high").mapInArrow(_compare(radius), "a long, b long")
 
 
 def near_duplicates(

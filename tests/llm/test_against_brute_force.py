@@ -2,6 +2,7 @@ import random
 
 import brute
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -39,14 +40,15 @@ def test_fingerprints_and_components(spark, docs, texts):
     assert sorted((repr(r.doc_id), r.fp % 2**64, repr(r.component_id)) for r in rows) == expected
 
 
-def test_close_fingerprints_in_small_tiles(spark):
+@pytest.mark.parametrize("group_rows", [1 << 18, 40])
+def test_close_fingerprints_in_small_tiles(spark, group_rows):
     random.seed(5)
     base = [random.getrandbits(64) for _ in range(30)]
     values = {b ^ sum(1 << random.randrange(64) for _ in range(random.randrange(6))) for b in base * 8}
     rows = [(n, v) for n, v in enumerate(sorted(values))]
     signed = [(n, v - 2**64 if v >= 2**63 else v) for n, v in rows]
     table = spark.createDataFrame(signed, "doc_id long, fp long")
-    links = simhash.fingerprint_links(table.select("fp"), 4, tile_rows=4)
+    links = simhash.fingerprint_links(table.select("fp"), 4, tile_rows=4, group_rows=group_rows)
     from aval.llm.components import connected_components
 
     assert links.where("bit_count(a ^ b) > 4").count() == 0
@@ -58,6 +60,25 @@ def test_close_fingerprints_in_small_tiles(spark):
     assert len({next(iter(c)) for c in classes.values()}) == len(classes)
 
 
+def test_tiles_are_dealt_once_per_group_in_reach(spark):
+    shuffled = []
+    for rows in (2_000, 20_000):
+        table = spark.range(rows).select(F.xxhash64("id").alias("fp"))
+        dealt = simhash.dealt_tiles(table, 4, tile_rows=64)
+        held = dealt.agg(F.sum(F.size("fps")), F.max(F.size("fps"))).first()
+        assert held[1] < 150
+        shuffled.append(held[0] / rows)
+    assert max(shuffled) <= 9 and abs(shuffled[0] - shuffled[1]) < 0.2
+
+
+def test_a_side_compared_with_itself_meets_each_pair_once():
+    chain = np.array([(1 << n) - 1 for n in range(0, 64, 3)] * 2, np.uint64)
+    for rows, columns in ((256, 4096), (2, 3)):
+        links = simhash.linked(np.unique(chain), None, 4, rows, columns)
+        assert len(links) == 21 and all((a ^ b).bit_count() <= 4 for a, b in links)
+        assert len(simhash.linked(np.unique(chain)[:9], np.unique(chain)[9:], 4, rows, columns)) == 1
+
+
 @pytest.mark.parametrize("shard_passages", [64, 1])
 def test_substring_dedup(spark, docs, texts, shard_passages):
     random.seed(3)
