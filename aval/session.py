@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +15,7 @@ from aval.errors import PreparationError
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_FALLBACK: dict[str, str] = {}
+_GATHERED: ContextVar[list[DataFrame] | None] = ContextVar("gathered", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,9 +48,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._stored_at = path
+    if (gathered := _GATHERED.get()) is not None:
+        gathered.append(stored)
     return stored
 
 
+@contextmanager
+def gathered_tables() -> Iterator[list[DataFrame]]:
+    """The tables that are materialised inside, by this thread, for the caller to discard."""
+    tables: list[DataFrame] = []
+    token = _GATHERED.set(tables)
+    try:
+        yield tables
+    finally:
+        _GATHERED.reset(token)
+
+
 def discard(*stored: DataFrame) -> None:
     """Delete tables that ``materialise`` returned; others are left alone."""
     for df in stored:
