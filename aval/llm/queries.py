@@ -13,7 +13,13 @@ from aval.llm import pii, quality_rules, simhash, substring_dedup, toxicity, war
 from aval.llm.words import remainder, word_count
 from aval.session import materialise, shared_folder
 
-PSEUDONYM_KEY = "aval-development-key"  # a deployment passes its own
+PSEUDONYM_KEY_SETTING = "spark.aval.pseudonymKey"
+DEVELOPMENT_KEY = "aval-development-key"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key that the session names; the one for development where it names none."""
+    return spark.conf.get(PSEUDONYM_KEY_SETTING, None) or DEVELOPMENT_KEY
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +73,7 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, PSEUDONYM_KEY)
+    return pii.pseudonymise(docs, pseudonym_key(spark))
 
 
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:

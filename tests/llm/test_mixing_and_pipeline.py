@@ -1,3 +1,5 @@
+import os
+
 import brute
 import duckdb
 import pytest
@@ -7,6 +9,7 @@ import corpus_pipeline
 from aval.llm import decontaminate, language_id, mixing, pii, quality_rules, simhash, substring_dedup, toxicity
 from aval.llm.oracle import ORACLES
 from aval.llm.words import word_count
+from aval.session import shared_folder
 
 
 def columns(rows):
@@ -103,6 +106,23 @@ def test_stages_keep_columns_and_clean_documents(spark, docs, tmp_path):
     assert corpus_pipeline.run(spark, empty_dir).count() == 0
 
 
+def test_a_run_leaves_its_result_only_and_takes_a_key(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "not in any text")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(
+        [(n, f"born on 1980-02-{10 + n} as number {n} of {n * n} people", "s") for n in range(9)],
+        "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    before = set(os.listdir(shared_folder(spark)))
+    texts = {}
+    for key in ("one", "two", "one"):
+        out = corpus_pipeline.run(spark, str(tmp_path), key)
+        texts.setdefault(key, []).append(sorted((r.doc_id, r.text) for r in out.collect()))
+    left = set(os.listdir(shared_folder(spark))) - before
+    assert sorted(name.rsplit("-", 1)[0] for name in left) == ["stage-5"] * 3
+    assert texts["one"][0] == texts["one"][1] != texts["two"][0]
+    assert spark.conf.get("spark.aval.pseudonymKey", None) is None
+
+
 def test_classes_without_an_id_or_with_one_id_keep_a_row_each(spark):
     one, two, three = ("alpha beta gamma delta epsilon", "red green blue black white grey", "just some other words")
     table = spark.createDataFrame(
