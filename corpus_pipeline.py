@@ -4,7 +4,11 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. ``run`` writ
 result as Parquet in the shared folder and hands the stored rows to the next. All stages but the last
 return the columns of ``documents``. They accept empty tables, repeated rows and nulls in any
 column as the operators define them; extra columns are carried along, whatever they are called:
-the columns that a stage works with get names that are free.
+the columns that a stage works with get names that are free. What a stage stored besides its result
+is deleted once the result is written.
+
+The pseudonyms' key is the session setting ``spark.aval.pseudonymKey``, for ``run`` also its argument;
+the key written in the code serves development only, since it lets every reader undo the pseudonyms.
 """
 
 from __future__ import annotations
@@ -13,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aval.llm import decontaminate, mixing, pii, simhash, toxicity
-from aval.llm.queries import PSEUDONYM_KEY
+from aval.llm.queries import PSEUDONYM_KEY_SETTING, pseudonym_key
 from aval.llm.words import free_name, remainder, word_count
-from aval.session import discard, materialise
+from aval.session import discard, gathered_tables, materialise
 
 ORACLE_SQL = None  # learned scores, bit distances and keyed permutations have no SQL form
 
@@ -61,7 +65,7 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     ``n_chars`` follows the text, since addresses may change their length.
     """
-    changed = pii.pseudonymise(docs, PSEUDONYM_KEY)
+    changed = pii.pseudonymise(docs, pseudonym_key(spark))
     if "n_chars" not in docs.columns:
         return changed
     kind = docs.schema["n_chars"].dataType
@@ -82,11 +86,21 @@ STAGES = [
 ]
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    stored = []
-    for number, (_, stage) in enumerate(STAGES, 1):
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{number}")
-        discard(*stored)
-        stored = [docs]
+def run(spark: SparkSession, sf_dir: str, key: str | None = None) -> DataFrame:
+    """All stages over ``documents``; ``key`` takes the place of the session's for this run."""
+    before = spark.conf.get(PSEUDONYM_KEY_SETTING, None)
+    if key is not None:
+        spark.conf.set(PSEUDONYM_KEY_SETTING, key)
+    docs, stored = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    try:
+        for number, (_, stage) in enumerate(STAGES, 1):
+            with gathered_tables() as made:
+                docs = materialise(stage(spark, docs, sf_dir), f"stage-{number}")
+            discard(*stored, *(table for table in made if table is not docs))
+            stored = [docs]
+    finally:
+        if key is not None and before is None:
+            spark.conf.unset(PSEUDONYM_KEY_SETTING)
+        elif key is not None:
+            spark.conf.set(PSEUDONYM_KEY_SETTING, before)
     return docs
