@@ -1,7 +1,9 @@
 import base64
 import hashlib
+import random
 import re
 
+import brute
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,3 +114,16 @@ def test_slash_dates_of_both_layouts_stay_different(spark):
     assert late.sum() == 44_249 and set(out.d[late]) == set(out.p[late])
     assert (out.d == out.p).sum() < 100
     assert masked(["12/25/1899", "13/25/2000", "02/30/2000"], spark) == ["12/25/1899", "13/25/2000", "02/30/2000"]
+
+
+def test_digits_and_cards_equal_a_plain_feistel_network(spark):
+    from pyspark.sql import functions as F
+
+    random.seed(8)
+    digits = ["".join(random.choice("0123456789") for _ in range(n)) for n in range(2, 20) for _ in range(8)]
+    table = spark.createDataFrame([(d,) for d in digits], "d string")
+    got = table.select("d", pii.permute_digits(F.col("d"), "k", F.lit("t")).alias("p")).collect()
+    assert {r.d: r.p for r in got} == {d: brute.permuted_digits(d, "k", "t") for d in digits}
+    cards = [d for d in digits if len(d) >= 13] + ["4041894974608795", "4524132264652876"]
+    assert masked([f"card {n}." for n in cards], spark, "k") == [
+        f"card {brute.card_pseudonym(n, 'k')}." for n in cards]
