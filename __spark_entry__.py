@@ -270,9 +270,11 @@ def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _client_values(df: DataFrame) -> DataFrame:
-    """Totals to the cent; averages to the unit, because averages of few decimals fall on exact
-    rounding ties, where the order of summation would show."""
-    return _rounded(df, {c.TOTAL_AMOUNT: 2, c.BALANCE: 0})
+    """Totals to the cent, averages to the sixth decimal. Averages of few decimals fall on exact
+    rounding ties, where the order of summation would show, so both sides add a little that moves
+    them off (for values of four decimals all but those of a multiple of 10 000 rows)."""
+    off_ties = df.withColumn(c.BALANCE, F.col(c.BALANCE) + 3e-8)
+    return _rounded(off_ties, {c.TOTAL_AMOUNT: 2, c.BALANCE: 6})
 
 
 @_query("aggregate_by_client")
@@ -742,7 +744,7 @@ def kmeans_fixed_point(spark: SparkSession, sf_dir: str) -> DataFrame:
         long.groupBy(F.col("propio").alias(c.SEGMENT), "variable").agg(F.avg("x").alias("media"))
         .join(F.broadcast(centres), [c.SEGMENT, "variable"])
         .agg(F.count("*").alias("centros"),
-             F.round(F.max(F.abs(F.col("media") - F.col("centro"))), 1).alias("desvio")))
+             F.round(F.max(F.abs(F.col("media") - F.col("centro"))), 3).alias("desvio")))
     return counted.crossJoin(F.broadcast(shifts))  # one row each
 
 

@@ -367,7 +367,8 @@ FROM applicants""", "applicants")
 # --- Helpers for statements ----------------------------------------------------------------
 
 _CLIENT_COLUMNS = """ID_Cliente, Edad, Ingreso_Declarado, Antiguedad_Laboral, Tipo_Vivienda,
-  round(Monto_Total, 2) AS Monto_Total, round(Saldo_Promedio_Mensual) AS Saldo_Promedio_Mensual,
+  round(Monto_Total, 2) AS Monto_Total,
+  round(Saldo_Promedio_Mensual + 0.00000003, 6) AS Saldo_Promedio_Mensual,
   Frecuencia_Deposito_Max, Num_Transacciones, Score_Buro, Creditos_Activos,
   Mantiene_Morosidad_Previa, credito_aprobado"""
 
