@@ -163,3 +163,26 @@ def test_strength_follows_from_the_interval(spark):
         "k int, silueta double, error_estandar double, metrica string")
     got = {r["k"]: (r["estructura"], r["estructura_segura"]) for r in sg.with_suggestion(table).collect()}
     assert got == {2: ("fuerte", False), 3: ("fuerte", True), 4: ("débil", True), 5: (None, None)}
+
+
+@pytest.mark.parametrize("block, group_rows", [(7, 7), (7, 20), (25, 1)])
+def test_euclidean_silhouette_over_many_groups(cloud, block, group_rows):
+    df, points, labels = cloud
+    far = df.withColumn("v", F.transform("v", lambda x: x + 1e5))  # squares of a far cloud lose digits
+    for rows, tolerance in ((df, 1e-12), (far, 1e-8)):
+        found = {r["id"]: r["silueta"] for r in sg.silhouette_euclidean(
+            rows, "v", "segmento", "id", block, group_rows=group_rows).collect()}
+        assert len(found) == 60
+        for i, value in enumerate(brute(points, labels, False)):
+            assert math.isclose(found[i], value, abs_tol=tolerance)
+
+
+def test_pairs_are_measured_like_differences():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(50, 4)), rng.normal(size=(40, 4))
+    y[:10] = x[:10] + 1e-9
+    y[10] = x[10]
+    y[11, 0] = np.inf
+    with np.errstate(all="ignore"):
+        straight = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(-1))
+    assert np.allclose(sg._distances(x, y), straight, rtol=1e-12, atol=0)
