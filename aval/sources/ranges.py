@@ -11,7 +11,9 @@ feed (CSV), also at those inside strings. What state a piece begins in follows f
 
 No file is read as one string and no task holds more than a split or a record, so lists of any length
 are read by as many tasks as their size gives. A record keeps the place where it ends, which
-orders records as in the file. The pieces are stored once, with their running sums.
+orders records as in the file. The pieces are stored once. Running sums are taken of them without their text
+first; the text is shuffled once, by split, where most records end in the split they begin in. Only what
+is before the first end of a split, and behind its last, goes on to another task.
 """
 
 from __future__ import annotations
@@ -55,25 +57,31 @@ def _json_depths(piece: Column) -> tuple[Column, Column, Column]:
 
 
 def _pieces(spark: SparkSession, path: str, separator: str) -> DataFrame:
-    """Stored pieces with ``parity`` after them and their depth for both beginnings of the split."""
+    """Stored pieces with their quotes and their change of depth for both beginnings."""
     scan = spark.read.option("lineSep", separator).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.col("_metadata.file_size").alias("file_size"), F.monotonically_increasing_id().alias("place"),
         F.col("value").alias("piece"))
     quotes, outside, inside = _json_depths(F.col("piece")) if separator == JSON_CLOSE else (
         _count(F.col("piece"), '"'), F.lit(0), F.lit(0))
-    begun = scan.withColumns({"quotes": quotes, "outside": outside, "inside": inside}).withColumn(
-        "begins", _before(F.col("quotes"), _in_split()) % 2)
+    head = F.substring(F.regexp_replace("piece", r"^[\s\x{FEFF}]+", ""), 1, 1)
+    return materialise(scan.withColumns({
+        "quotes": quotes, "outside": outside, "inside": inside, "head": head,
+        "bytes": F.octet_length("piece") + 1}), "pieces")
+
+
+def _running(pieces: DataFrame) -> DataFrame:
+    """``parity`` after each piece and its depth for both beginnings of the split."""
+    begun = pieces.withColumn("begins", _before(F.col("quotes"), _in_split()) % 2)
     so_far = _in_split().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def depth(first: int) -> Column:
         change = F.when(F.col("begins") == first, F.col("outside")).otherwise(F.col("inside"))
         return F.sum(change).over(so_far)
 
-    return materialise(begun.select(
-        "file", "block", "file_size", "place", "piece",
-        ((F.col("begins") + F.col("quotes")) % 2).alias("parity"),
-        depth(0).alias("depth_outside"), depth(1).alias("depth_inside")), "pieces")
+    return begun.withColumns({
+        "parity": (F.col("begins") + F.col("quotes")) % 2, "depth_outside": depth(0), "depth_inside": depth(1),
+    }).drop("begins", "quotes", "outside", "inside")
 
 
 def _entries(pieces: DataFrame) -> DataFrame:
@@ -83,8 +91,7 @@ def _entries(pieces: DataFrame) -> DataFrame:
 
     splits = pieces.groupBy("file", "block").agg(
         last("parity"), last("depth_outside"), last("depth_inside"), F.max("place").alias("last"), F.min("place").alias("least"),
-        F.substring(F.regexp_replace(F.min_by("piece", "place"), r"^[\s\x{FEFF}]+", ""), 1, 1).alias("opening"),
-        F.max("file_size").alias("file_size"), F.sum(F.octet_length("piece") + 1).alias("bytes"))
+        F.min_by("head", "place").alias("opening"), F.max("file_size").alias("file_size"), F.sum("bytes").alias("bytes"))
     begun = splits.withColumn("entry", _before(F.col("parity"), _in_file()) % 2)
     change = F.when(F.col("entry") == 0, F.col("depth_outside")).otherwise(F.col("depth_inside"))
     whole = Window.partitionBy("file")
@@ -109,31 +116,47 @@ def cut_records(spark: SparkSession, path: str, separator: str) -> DataFrame:
     """
     pieces = _pieces(spark, path, separator)
     is_json = separator == JSON_CLOSE
-    known = pieces.join(materialise(_entries(pieces), "splits"), ["file", "block"])
+    light = materialise(_running(pieces.drop("piece")), "depths")
+    entries = materialise(_entries(light), "splits")
     outside = (F.col("entry") + F.col("parity")) % 2 == 0
     depth = F.col("entry_depth") + F.when(F.col("entry") == 0, F.col("depth_outside")).otherwise(
         F.col("depth_inside"))
     base = F.when(F.col("opening") == "[", 1).otherwise(0)
     closed = ~F.coalesce(F.col("place") == F.col("open_place"), F.lit(False))
     ends = outside & (depth == base) & closed if is_json else outside
-    marked = known.withColumn("end", F.when(ends, F.col("place")))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.join(entries, ["file", "block"]).withColumn("end", F.when(ends, F.col("place")))
+
     # Backwards, since a frame that ends with the partition is computed anew for every row.
     following = Window.partitionBy("file", "block").orderBy(F.desc("place")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     later = Window.partitionBy("file").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
-    first_ends = marked.groupBy("file", "block").agg(F.min("end").alias("first_end")).select(
-        "file", "block", F.last(F.when(F.col("first_end").isNotNull(), F.struct("block", "first_end")),
+    first_ends = marked(light).groupBy("file", "block").agg(F.min("end").alias("first_end")).select(
+        "file", "block", "first_end", F.last(F.when(F.col("first_end").isNotNull(), F.struct("block", "first_end")),
                                 ignorenulls=True).over(later).alias("next"))
-    placed = marked.withColumn("here", F.last("end", ignorenulls=True).over(following)).join(
+    running = _running(pieces.drop("file_size", "head", "bytes"))
+    placed = marked(running).withColumn("here", F.last("end", ignorenulls=True).over(following)).join(
         first_ends, ["file", "block"])
     split = F.when(F.col("here").isNotNull(), F.col("block")).otherwise(F.col("next.block"))
+    record = ["file", "opening", "first_place", "unclosed", "end_block", "end_place"]
     keyed = placed.select(
         "file", "opening", "first_place", "unclosed", split.alias("end_block"), F.coalesce("here", "next.first_end").alias("end_place"),
-        F.struct("block", "place", "piece").alias("part"))
-    parts = F.transform(F.array_sort(F.collect_list("part")), lambda p: p["piece"])
-    begins = F.min(F.struct("part.block", "part.place"))
-    return keyed.groupBy("file", "opening", "first_place", "unclosed", "end_block", "end_place").agg(
-        F.array_join(parts, separator).alias("value"), begins.alias("begins")).select(
+        "block", "first_end", F.struct("place", "piece").alias("part"))
+
+    def joined(parts: str, text: str) -> Column:
+        in_order = F.array_sort(F.collect_list(parts))
+        return F.array_join(F.transform(in_order, lambda p: p[text]), separator).alias("value")
+
+    # The rows of a split are in one task already; of a record that begins in it and ends in it, all pieces are.
+    local = keyed.groupBy(*record, "block", "first_end").agg(
+        joined("part", "piece"), F.min("part.place").alias("least"))
+    whole = F.coalesce((F.col("end_block") == F.col("block")) & (F.col("end_place") != F.col("first_end")), F.lit(False))
+    begins = F.struct("block", F.col("least").alias("place"))
+    crossing = local.where(~whole).select(*record, begins.alias("begins"), F.struct("block", "value").alias("part"))
+    records = local.where(whole).select(*record, "value", begins.alias("begins")).unionByName(
+        crossing.groupBy(*record).agg(joined("part", "value"), F.min("begins").alias("begins")))
+    return records.select(
         F.struct("file", F.col("end_block").alias("block"), F.col("end_place").alias("place")).alias(PLACE),
         "opening", "value", "unclosed", (F.col("begins") == F.col("first_place")).alias("first"))
 

@@ -1,9 +1,12 @@
 import json
+import os
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as entry
 from aval import config as c
 from aval.errors import MissingPathError, ParseError, SourceNotFoundError, UnsupportedFormatError
 from aval.operators.cleaning import keep_first
@@ -328,3 +331,11 @@ def test_numbering_many_splits_and_filtered_rows(spark, tmp_path, splits):
     assert [r["x"] for r in got.orderBy("n").collect()] == [str(i) for i in range(2_000)]
     filtered = numbered(with_place(files.load_source(spark, str(tmp_path), fmt="csv")).where("x % 3 = 0"), "n")
     assert [r["n"] for r in filtered.orderBy("n").collect()] == list(range(1, 668))
+
+
+def test_lists_are_written_in_more_files_as_rows_grow(spark):
+    rows = spark.range(1_000).select(F.col("id").alias("k"), F.concat(F.lit("a}, {\"["), F.col("id")).alias("t"))
+    path = entry._write_lists(spark, rows, 2, "k", file_rows=100)
+    assert len([n for n in os.listdir(path) if n.startswith("part-")]) == 10
+    read = numbered(files.load_source(spark, path, schema=rows.schema, place=True), "n").collect()
+    assert sorted((r.n, r.k, r.t) for r in read) == [(i + 1, i, f'a}}, {{"[{i}') for i in range(1_000)]
