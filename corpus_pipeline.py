@@ -39,17 +39,24 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of the rows of a class that share this id, one stays. Each class without any id keeps one row
     of its own, and so does each of several classes whose smallest id is the same. Rows are
     numbered in the table that is stored with the fingerprints, so the numbers hold whatever
-    executors are lost or added between its scans.
+    executors are lost or added between its scans. What is kept is a bit per row, 64 to a row of the
+    table to join, so that it stays small enough to broadcast and the texts need no shuffle.
     """
     row, fp = free_name(docs, "_row"), free_name(docs, "_fp")
+    word, bits = free_name(docs, "_word"), free_name(docs, "_bits")
     marked = docs.withColumn(row, F.monotonically_increasing_id())
     table = materialise(simhash.fingerprints(marked, marked.columns, result=fp), "fingerprints")
     classes = simhash.near_duplicates(
         table.select("doc_id", F.col(row).alias("_row"), F.col(fp).alias("fp")), root="_class")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     grouped = classes.groupBy("_class").agg(best.alias("_best"))
-    kept = materialise(grouped.select(F.col("_best._row").alias(row)), "kept")
-    return table.join(kept, row, "left_semi").select(*docs.columns)
+    number = F.col("_best._row")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(63).cast("int"))
+    kept = materialise(
+        grouped.groupBy(F.shiftright(number, 6).alias(word)).agg(F.bit_or(bit).alias(bits)), "kept")
+    return (
+        table.withColumn(word, F.shiftright(row, 6)).join(kept, word)
+        .where(F.getbit(bits, F.col(row).bitwiseAND(63).cast("int")) == 1).select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

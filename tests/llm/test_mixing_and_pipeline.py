@@ -135,3 +135,20 @@ def test_classes_without_an_id_or_with_one_id_keep_a_row_each(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, table, "").collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [
         (0, one), (0, two), (5, one + " zeta"), (5, three)]
+
+
+def test_near_duplicates_are_dropped_without_a_shuffle_of_texts(spark):
+    """What stays is joined as bits: a broadcast where the row numbers themselves were too many for one."""
+    rows = [(n, " ".join(f"w{(n * 7919 + i * i * 31) % 9973}" for i in range(30))) for n in range(3_000)]
+    docs = spark.createDataFrame(rows + rows[:500], "doc_id long, text string").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        ids = [r.doc_id for r in kept.collect()]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    found = simhash.near_duplicates(simhash.fingerprints(docs, ["doc_id"])).toPandas()
+    assert sorted(ids) == sorted(set(found["component_id"]))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
