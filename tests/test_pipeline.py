@@ -16,6 +16,7 @@ from aval.operators.metrics import require_models
 from aval.plans import pipeline as pl
 from aval.plans import report as rp
 from aval.plans.scoring import Scorer, document_clients
+from aval.session import spread
 from aval.sources import derived as dv
 from aval.sources.applicants import APPLICANT_SCHEMA, flatten_applicants
 from aval.streaming.applicants import read_stream, score_stream
@@ -246,3 +247,16 @@ def test_report_is_written_whole(fitted, sources, spark, tmp_path):
     assert sizes.agg(F.sum("n_clientes")).first()[0] == fitted[0].segments.count()
     rp.write_report({"importancia_principales": tables["importancia_principales"]}, str(tmp_path / "csv"), "csv")
     assert spark.read.csv(f"{tmp_path}/csv/importancia_principales", header=True).count() == 2
+
+
+def test_training_rows_are_spread_over_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(40_000).coalesce(1)
+    dealt = [len(p) for p in spread(rows, 40_000).rdd.glom().collect()]
+    assert len(dealt) == min(cores, 8) and sum(dealt) == 40_000 and max(dealt) < 1.1 * min(dealt)
+    assert spread(rows, 5_000) is rows
+    assert len(spread(rows, 40_000, most=1_000, least=1).rdd.glom().collect()) == max(cores, 40)
+
+
+def test_forest_rows_keep_their_nodes(spark):
+    assert md.random_forest(10, c.TrainingConfig()).getCacheNodeIds()
