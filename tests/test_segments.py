@@ -186,3 +186,39 @@ def test_pairs_are_measured_like_differences():
     with np.errstate(all="ignore"):
         straight = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(-1))
     assert np.allclose(sg._distances(x, y), straight, rtol=1e-12, atol=0)
+
+
+def test_all_starts_of_all_k_share_the_scans(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame(np.round(rng.normal(size=(900, 3)), 3).tolist(), "x double, `y.z` double, w double")
+    rows = rows.repartition(4).persist()
+    names, calls, whole = ["x", "y.z", "w"], [], sg._centre_sums
+    monkeypatch.setattr(sg, "_centre_sums", lambda c, m: calls.append(len(c)) or whole(c, m))
+    found = sg.fit_segments_by_k(rows, names, [4, 2], starts=3, iterations=100, checked=True)
+    assert calls[0] == 6 and len(calls) <= 100 and calls == sorted(calls, reverse=True)
+    data = sg.assemble(rows, names).select("features").persist()
+    for k, model in found.items():
+        best = min((sg.KMeans(k=k, maxIter=100, seed=42 + start, initSteps=2, tol=1e-4).fit(data)
+                    for start in range(3)), key=lambda m: m.summary.trainingCost)
+        assert math.isclose(model.cost, best.summary.trainingCost, rel_tol=1e-9)
+        assert np.allclose(model.centres, sorted(map(list, best.clusterCenters())), atol=1e-9)
+
+
+def test_the_fitted_models_silhouette_is_not_measured_again(groups, monkeypatch):
+    config, training = c.EvaluationConfig(segment_counts=(2, 3)), c.TrainingConfig(segment_starts=2)
+    model = sg.fit_segments(groups, ["x", "y"], 3, starts=2)
+    own, counts, measure = sg.model_silhouette(groups, model, "id"), [], sg.model_silhouette
+    monkeypatch.setattr(sg, "model_silhouette", lambda d, m, *a: counts.append(m.k) or measure(d, m, *a))
+    rows = {r["k"]: r["silueta"] for r in sg.silhouette_by_k(
+        groups, ["x", "y"], "id", config, training, None, model, own).collect()}
+    assert counts == [2] and rows[3] == own.value
+
+
+def test_anchor_cells_may_be_empty_and_few(spark):
+    rng = np.random.default_rng(6)
+    points, labels = rng.normal(size=(40, 2)).tolist(), [0] * 3 + [7] * 37
+    df = spark.createDataFrame([(i, s, p) for i, (s, p) in enumerate(zip(labels, points))],
+                               "id int, segmento int, v array<double>")
+    found = sg.silhouette_by_anchors(df, "v", "segmento", "id")
+    assert math.isclose(found.value, float(np.mean(brute(points, labels, False))), abs_tol=1e-12)
+    assert found.error == 0.0 and found.rows == 40
