@@ -222,3 +222,21 @@ def test_anchor_cells_may_be_empty_and_few(spark):
     found = sg.silhouette_by_anchors(df, "v", "segmento", "id")
     assert math.isclose(found.value, float(np.mean(brute(points, labels, False))), abs_tol=1e-12)
     assert found.error == 0.0 and found.rows == 40
+
+
+def test_groupings_share_the_distances(cloud, monkeypatch):
+    df, points, labels = cloud
+    other = [None if i % 11 == 5 else -1 if i % 2 else 4 for i in range(60)]
+    both = df.withColumn("otra", F.when(F.col("id") % 11 != 5, F.when(F.col("id") % 2 == 1, -1).otherwise(4)))
+    calls, pairs = [], sg._pair_sums
+    monkeypatch.setattr(sg, "_pair_sums", lambda groupings: calls.append(groupings) or pairs(groupings))
+    found = {(r["agrupacion"], r["id"]): (r["segmento"], r["silueta"]) for r in sg.silhouettes_euclidean(
+        both, "v", ["segmento", "otra"], "id", 7, group_rows=20).collect()}
+    assert calls == [[[0, 1, 2], [-1, 4]]]
+    kept = [i for i in range(60) if other[i] is not None]
+    second = brute([points[i] for i in kept], [other[i] for i in kept], False)
+    wanted = {("segmento", i): (labels[i], v) for i, v in enumerate(brute(points, labels, False))}
+    wanted |= {("otra", i): (other[i], v) for i, v in zip(kept, second)}
+    assert found.keys() == wanted.keys()
+    for at, (label, value) in wanted.items():
+        assert found[at][0] == label and math.isclose(found[at][1], value, abs_tol=1e-12)
