@@ -240,3 +240,8 @@ def test_groupings_share_the_distances(cloud, monkeypatch):
     assert found.keys() == wanted.keys()
     for at, (label, value) in wanted.items():
         assert found[at][0] == label and math.isclose(found[at][1], value, abs_tol=1e-12)
+
+
+def test_packing_and_moving_are_sent_by_value():
+    for function in (sg._as_blocks(), sg._centre_sums([np.zeros((2, 3))], np.zeros(3))):
+        assert "<locals>" in function.__qualname__  # workers need not import this package
