@@ -260,3 +260,13 @@ def test_training_rows_are_spread_over_the_cores(spark):
 
 def test_forest_rows_keep_their_nodes(spark):
     assert md.random_forest(10, c.TrainingConfig()).getCacheNodeIds()
+
+
+def test_each_folds_scores_are_stored_when_its_model_is_fitted(spark):
+    rows = spark.range(120).selectExpr(
+        "id", "CAST(id % 7 AS DOUBLE) AS x", "CAST(id % 5 AS DOUBLE) AS y", f"CAST(id % 2 AS INT) AS {c.TARGET}",
+        f"CAST(id % 3 AS INT) AS {c.FOLD}").persist()
+    found = md.cross_validate(rows, ["x", "y"], c.EvaluationConfig(folds=3), c.TrainingConfig(trees=2))
+    assert found.inputFiles() and all("/fold-scores-" in f for f in found.inputFiles())
+    counted = {(r[c.MODEL], r[c.FOLD]): r["count"] for r in found.groupBy(c.MODEL, c.FOLD).count().collect()}
+    assert counted == {(m, f): 40 for m in (c.LOGISTIC, c.FOREST) for f in range(3)}
