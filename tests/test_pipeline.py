@@ -1,6 +1,7 @@
 """The whole pipeline, its models, scoring, report and stream, on derived sources."""
 
 import json
+import time
 from dataclasses import replace
 from pathlib import Path
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from aval import config as c
 from aval.errors import EvaluationError, InvalidTrainingDataError, NotTrainedError, PreparationError, SourceNotFoundError
 from aval.operators import models as md
+from aval.operators import segments as sg
 from aval.operators.features import fit_features
 from aval.operators.metrics import require_models
 from aval.plans import pipeline as pl
@@ -270,3 +272,55 @@ def test_each_folds_scores_are_stored_when_its_model_is_fitted(spark):
     assert found.inputFiles() and all("/fold-scores-" in f for f in found.inputFiles())
     counted = {(r[c.MODEL], r[c.FOLD]): r["count"] for r in found.groupBy(c.MODEL, c.FOLD).count().collect()}
     assert counted == {(m, f): 40 for m in (c.LOGISTIC, c.FOREST) for f in range(3)}
+
+
+def _overlapping(calls):
+    """Names of the calls that began before another one had ended."""
+    return {a for a, since, to in calls for b, begin, end in calls if a != b and since < end and begin < to}
+
+
+def test_a_run_fits_side_by_side_and_k_means_once(sources, monkeypatch):
+    calls, ks = [], []
+
+    def timed(module, name):
+        whole = getattr(module, name)
+
+        def call(*args, **kwargs):
+            since = time.monotonic()
+            try:
+                return whole(*args, **kwargs)
+            finally:
+                calls.append((name, since, time.monotonic()))
+        monkeypatch.setattr(module, name, call)
+
+    by_k = sg.fit_segments_by_k
+    monkeypatch.setattr(sg, "fit_segments_by_k", lambda r, v, k, *a, **o: ks.append(k) or by_k(r, v, k, *a, **o))
+    for module, name in ((pl, "fit_classifiers"), (pl, "cross_validate"), (sg, "fit_segments_by_k")):
+        timed(module, name)
+    config = replace(CONFIG, training=c.TrainingConfig(trees=3, segment_starts=2))
+    trained, evaluation = pl.run(*sources, config)
+    assert _overlapping(calls) == {"fit_classifiers", "cross_validate", "fit_segments_by_k"}
+    assert [k for k in ks if k] == [[2, 3]]
+    apart = pl.train(trained.prepared, config)
+    assert np.allclose(apart.segmentation.centres, trained.segmentation.centres, rtol=0, atol=1e-9)
+    again = pl.evaluate(apart, config)
+    for one, two in ((evaluation.comparison, again.comparison), (evaluation.silhouette, again.silhouette)):
+        columns = [n for n, t in one.dtypes if t != "double"]
+        assert one.select(columns).exceptAll(two.select(columns)).isEmpty()
+    for k, found in {r["k"]: r["silueta"] for r in evaluation.silhouette.collect()}.items():
+        assert abs(found - again.silhouette.where(F.col("k") == k).first()["silueta"]) < 1e-9
+
+
+def test_large_tables_are_validated_with_fewer_fits_at_once(spark, monkeypatch):
+    rows = spark.range(120).selectExpr(
+        "id", "CAST(id % 7 AS DOUBLE) AS x", "CAST(id % 5 AS DOUBLE) AS y", f"CAST(id % 2 AS INT) AS {c.TARGET}",
+        f"CAST(id % 4 AS INT) AS {c.FOLD}").persist()
+    workers, pool = [], md.ThreadPoolExecutor
+    monkeypatch.setattr(md, "ThreadPoolExecutor", lambda n: workers.append(n) or pool(n))
+    only, config = {c.LOGISTIC: md.logistic_regression}, c.EvaluationConfig(folds=4)
+    found = []
+    for most in (md._ROWS_AT_ONCE, 360, 1):
+        monkeypatch.setattr(md, "_ROWS_AT_ONCE", most)
+        scored = md.cross_validate(rows, ["x", "y"], config, classifiers=only)
+        found.append(sorted(map(tuple, scored.collect())))
+    assert workers == [8, 3, 2] and found[0] == found[1] == found[2]

@@ -245,3 +245,14 @@ def test_groupings_share_the_distances(cloud, monkeypatch):
 def test_packing_and_moving_are_sent_by_value():
     for function in (sg._as_blocks(), sg._centre_sums([np.zeros((2, 3))], np.zeros(3))):
         assert "<locals>" in function.__qualname__  # workers need not import this package
+
+
+def test_the_seeding_scans_do_not_choose_a_solver(groups, monkeypatch):
+    made, kmeans = [], sg.KMeans
+    monkeypatch.setattr(sg, "KMeans", lambda **o: made.append(o) or kmeans(**o))
+    sg.fit_segments(groups, ["x", "y"], 3, starts=2)
+    assert [o.pop("solver") for o in made] == ["block"] * 2
+    data = sg.assemble(groups, ["x", "y"]).select("features").persist()
+    for options in made:
+        chosen, block = (np.array(kmeans(**options, solver=s).fit(data).clusterCenters()) for s in ("row", "block"))
+        assert np.array_equal(chosen, block)
