@@ -291,14 +291,15 @@ def _masks(first: DataFrame, docs: DataFrame, row: str, window: int, shard_passa
     return masks
 
 
-def _apply(window: int, schema: StructType, removed: str):
+def _apply(window: int, schema: StructType):
+    """The passages to remove are the last column, whatever its name."""
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.arange(62)
         for batch in batches:
             counts, gone, texts = [], [], []
-            ends, start, mask = _flat(batch.column(removed), "start", "mask")
+            ends, start, mask = _flat(batch.columns[-1], "start", "mask")
             for row, text in enumerate(batch.column("text")):
                 words = find_words(text.as_py() or "")
                 drop, mine = None, slice(ends[row], ends[row + 1])
@@ -357,4 +358,4 @@ def remove_repeated(docs: DataFrame, window: int = 20, shard_passages: int = 64)
         .groupBy(F.col("row").alias(row))
         .agg(F.collect_list(F.struct("start", "mask")).alias(spans)))
     discard(masks, first)
-    return docs.join(removed, row, "left").mapInArrow(_apply(window, schema, spans), schema)
+    return docs.join(removed, row, "left").mapInArrow(_apply(window, schema), schema)
